@@ -1,0 +1,28 @@
+"""Join-side helpers: broadcast only behind a size bound.
+
+* Dimensions bounded by the domain (regions, venues, the calendar) are
+  broadcast with ``F.broadcast`` at the call site.
+* Everything else is left to AQE, which converts a sort-merge join into a
+  broadcast join only when the *measured* size of a side is under
+  ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+* :func:`broadcast_if_small` is for the case in between — a side expected to
+  be small (a topic vocabulary) joined to a very large, exploded side, where
+  waiting for AQE would first shuffle the large side.  It counts the small
+  side (one cheap job), broadcasts it only under ``max_rows``, and otherwise
+  returns it untouched so the join stays a shuffle join.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Return ``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows,
+    else ``df`` unchanged.  Counting stops early: only ``max_rows + 1`` rows
+    are needed to decide."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
