@@ -1,13 +1,28 @@
 """Jobs: backfill over a run-date range (BKF-1), the monthly reference load
-(LOD-1) and the daily warehouse load (flow B)."""
+(LOD-1) and the daily warehouse load (flow B).
+
+The compute functions (``reference_load``, ``warehouse_increment``) take and
+return DataFrames, so they are testable without storage.  The ``run_*``
+functions wire them to storage: landed JSON in, versioned snapshots (reference
+tables) and append-only parquet (warehouse) out.  Between steps the written
+tables are re-read, which also cuts the lineage — a lost executor recomputes
+from the last written table, not from the landing files.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.keys import latest_per_key
-from ..sources.landing import run_date_filter
+from .. import schemas
+from ..functions.temporal import epoch_ms_to_ts
+from ..operators.keys import assign_dense_ids, latest_per_key, max_id, resolve_fk
+from ..operators.merge import insert_ignore, upsert
+from ..sinks.writers import append_rows, read_snapshot, write_snapshot
+from ..sources.landing import empty_frame, read_bars, read_landing, run_date_filter
+from . import dims, facts, normalize
 
 
 def first_occurrence(df: DataFrame, keys: list[str], run_dates, run_date_col: str = "run_date",
@@ -21,3 +36,202 @@ def first_occurrence(df: DataFrame, keys: list[str], run_dates, run_date_col: st
     pruned to the range."""
     rows = df.where(run_date_filter(run_date_col, run_dates))
     return latest_per_key(rows, keys, [run_date_col] + list(tie_break or []), descending=False)
+
+
+# ---------------------------------------------------------------------------
+# LOD-1: monthly reference load
+# ---------------------------------------------------------------------------
+
+REF_SCHEMAS = {
+    "regions": "id long, region string, local_open string, local_close string, "
+               "updated_time timestamp_ntz, hash_row string",
+    "exchanges": "id long, region_id long, name string, updated_time timestamp_ntz, "
+                 "hash_row string",
+    "industries": "id long, industry string, sector string",
+    "sic_industries": "id long, sic_industry string, sic_sector string",
+    "companies": "id long, exchange_id long, industry_id long, sic_id long, name string, "
+                 "ticker string, is_delisted boolean, category string, currency string, "
+                 "location string, updated_time timestamp_ntz, hash_row string",
+}
+
+
+def _fill_ids(df: DataFrame, order_by: list[str], id_col: str = "id") -> DataFrame:
+    """Keep existing ids; give rows without one dense ids after the max."""
+    have = df.where(F.col(id_col).isNotNull())
+    new = df.where(F.col(id_col).isNull()).drop(id_col)
+    numbered = assign_dense_ids(new, order_by, start=max_id(have, id_col), id_col=id_col)
+    return have.unionByName(numbered)
+
+
+def _upsert_table(current: DataFrame, batch: DataFrame, keys, cols, run_ts, hash_mode):
+    batch = batch.withColumn("_order", F.lit(0))
+    merged = upsert(current, batch, keys, cols, order_by=["_order"], run_ts=run_ts,
+                    hash_mode=hash_mode)
+    return _fill_ids(merged, keys)
+
+
+def reference_load(current: dict[str, DataFrame], normalised: dict[str, DataFrame], run_ts,
+                   hash_mode: str = "json"):
+    """LOD-1: regions → exchanges(region_id) → industries → sic → companies
+    (three foreign keys), in foreign-key order.
+
+    Returns ``(tables, quarantine, report)``: the next version of each table
+    (with an ``action`` column: inserted/updated/unchanged/kept), the rows
+    whose foreign key did not resolve (with ``table`` and ``reason``), and
+    the affected-row counts per table and action (DQ-6).  Unresolved rows are
+    quarantined; every other row still loads (the intent of the "skipping"
+    messages, without the all-or-nothing rollback)."""
+    out, bad = {}, []
+
+    regions = _upsert_table(current["regions"], normalised["regions"], ["region"],
+                            ["local_open", "local_close"], run_ts, hash_mode)
+    out["regions"] = regions
+
+    ex, ex_missed = resolve_fk(normalised["exchanges"], regions.select("id", "region"),
+                               ["region"], alias="region_id")
+    bad.append(ex_missed.select(F.lit("exchanges").alias("table"),
+                                F.to_json(F.struct(*normalised["exchanges"].columns)).alias("row"),
+                                "reason"))
+    out["exchanges"] = _upsert_table(current["exchanges"], ex.select("name", "region_id"),
+                                     ["name"], ["region_id"], run_ts, hash_mode)
+
+    for name, keys in (("industries", ["industry", "sector"]),
+                       ("sic_industries", ["sic_industry", "sic_sector"])):
+        batch = normalised[name].select(*keys)
+        merged = insert_ignore(current[name], batch.withColumn("id", F.lit(None).cast("long")),
+                               keys)
+        merged = merged.withColumn("action", F.when(F.col("inserted"), F.lit("inserted"))
+                                   .otherwise(F.lit("kept"))).drop("inserted")
+        out[name] = _fill_ids(merged, keys)
+
+    comp = normalised["companies"]
+    c1, m1 = resolve_fk(comp, out["exchanges"].select("id", "name"), {"exchange": "name"},
+                        alias="exchange_id")
+    c2, m2 = resolve_fk(c1, out["industries"].select("id", "industry", "sector"),
+                        ["industry", "sector"], alias="industry_id")
+    c3, m3 = resolve_fk(c2, out["sic_industries"].select("id", "sic_industry", "sic_sector"),
+                        ["sic_industry", "sic_sector"], alias="sic_id")
+    for m in (m1, m2, m3):
+        bad.append(m.select(F.lit("companies").alias("table"),
+                            F.to_json(F.struct(*comp.columns)).alias("row"), "reason"))
+    cols = ["exchange_id", "industry_id", "sic_id", "name", "category", "currency", "location"]
+    out["companies"] = _upsert_table(current["companies"], c3, ["ticker", "is_delisted"], cols,
+                                     run_ts, hash_mode)
+
+    quarantine = reduce(lambda a, b: a.unionByName(b), bad)
+    report = reduce(lambda a, b: a.unionByName(b), [
+        t.groupBy("action").agg(F.count(F.lit(1)).alias("rows"))
+         .select(F.lit(n).alias("table"), "action", "rows") for n, t in out.items()])
+    return out, quarantine, report
+
+
+def run_reference_load(spark: SparkSession, landing: str, root: str, run_date: str, run_ts,
+                       hash_mode: str = "json"):
+    """Monthly flow A end to end: landed ``markets`` / ``companies`` drops of
+    ``run_date`` → normalise → load in FK order → a new snapshot per table.
+
+    A missing drop is an error (the reference reads by run date and fails).
+    Returns (quarantine, report) read back from what was written."""
+    markets = read_landing(spark, f"{landing}/markets", run_date, schemas.MARKETS)
+    companies_raw = read_landing(spark, f"{landing}/companies", run_date, schemas.COMPANIES_RAW)
+    normalised = normalize.normalise_all(markets, companies_raw)
+    current = {}
+    for name, ddl in REF_SCHEMAS.items():
+        snap = read_snapshot(spark, root, name)
+        current[name] = snap if snap is not None else spark.createDataFrame([], ddl)
+        current[name] = current[name].drop("action")
+    tables, quarantine, report = reference_load(current, normalised, run_ts, hash_mode)
+    # write in FK order; each snapshot is immutable, the pointer moves last
+    for name in ("regions", "exchanges", "industries", "sic_industries", "companies"):
+        write_snapshot(spark, tables[name], root, name)
+    write_snapshot(spark, quarantine, root, "quarantine")
+    write_snapshot(spark, report, root, "load_report")
+    return read_snapshot(spark, root, "quarantine"), read_snapshot(spark, root, "load_report")
+
+
+# ---------------------------------------------------------------------------
+# flow B: daily warehouse load
+# ---------------------------------------------------------------------------
+
+WAREHOUSE_DDL = {
+    "dim_time": schemas.DIM_TIME,
+    "dim_companies": schemas.DIM_COMPANIES,
+    "dim_topics": schemas.DIM_TOPICS,
+    "dim_news": schemas.DIM_NEWS,
+    "fact_candles": schemas.FACT_CANDLES,
+    "fact_news_companies": schemas.FACT_NEWS_COMPANIES,
+    "fact_news_topics": schemas.FACT_NEWS_TOPICS,
+}
+
+# facts are partitioned by day so that an insert-if-new load reads only the
+# days it touches and a re-run of a day never scans history
+PARTITIONS = {"fact_candles": "time_id", "dim_news": "time_id"}
+
+
+def read_warehouse(spark: SparkSession, root: str, name: str) -> DataFrame:
+    path = f"{root.rstrip('/')}/{name}"
+    try:
+        return spark.read.schema(WAREHOUSE_DDL[name]).parquet(path)
+    except Exception:  # noqa: BLE001 — not written yet: an empty typed table
+        return empty_frame(spark, WAREHOUSE_DDL[name])
+
+
+def new_dimension_rows(wh: dict[str, DataFrame], extract: DataFrame, news: DataFrame,
+                       bars: DataFrame, run_date) -> dict[str, DataFrame]:
+    """DIM-2..DIM-5: the rows to append to each dimension for one run."""
+    dates = (bars.select(epoch_ms_to_ts("time_stamp").cast("date").alias("date"))
+             .unionByName(extract.sparkSession.range(1).select(
+                 F.lit(run_date).cast("date").alias("date"))))
+    return {
+        "dim_companies": dims.new_companies(wh["dim_companies"], extract),
+        "dim_time": dims.new_dates(wh["dim_time"], dates),
+        "dim_topics": dims.new_topics(wh["dim_topics"], news),
+        "dim_news": dims.new_news(wh["dim_news"], news, run_date),
+    }
+
+
+def new_fact_rows(wh: dict[str, DataFrame], news: DataFrame, bars: DataFrame
+                  ) -> dict[str, DataFrame]:
+    """FCT-1..FCT-3: the rows to append to each fact, given dimensions that
+    already include this run's new rows."""
+    return {
+        "fact_candles": facts.new_candles(wh["fact_candles"], bars, wh["dim_companies"]),
+        "fact_news_topics": facts.new_topic_links(wh["fact_news_topics"], news,
+                                                  wh["dim_topics"], wh["dim_news"]),
+        "fact_news_companies": facts.new_company_links(wh["fact_news_companies"], news,
+                                                       wh["dim_companies"], wh["dim_news"]),
+    }
+
+
+def run_daily_load(spark: SparkSession, landing: str, ref_root: str, root: str, run_date: str):
+    """Daily flow B end to end for one run date.
+
+    Inputs: the landed news and bars of ``run_date`` (a missing drop is an
+    empty day) and the reference snapshots (company extract, DIM-1).  The
+    dimensions are appended first and re-read, then the facts; every step
+    is insert-if-new, so running a day twice changes nothing.  Returns the
+    number of rows appended per table (read back from the written data)."""
+    news = read_landing(spark, f"{landing}/news", run_date, schemas.NEWS_RAW, missing="skip")
+    bars = read_bars(spark, f"{landing}/ohlcs", run_date)
+    ref = {n: read_snapshot(spark, ref_root, n) for n in REF_SCHEMAS}
+    extract = dims.company_extract(ref["companies"], ref["exchanges"], ref["regions"],
+                                   ref["industries"], ref["sic_industries"])
+    wh = {n: read_warehouse(spark, root, n) for n in WAREHOUSE_DDL}
+    added = {}
+    for name, rows in new_dimension_rows(wh, extract, news, bars, run_date).items():
+        added[name] = _append(spark, rows, root, name)
+    wh = {n: read_warehouse(spark, root, n) for n in WAREHOUSE_DDL}
+    for name, rows in new_fact_rows(wh, news, bars).items():
+        added[name] = _append(spark, rows, root, name)
+    return added
+
+
+def _append(spark: SparkSession, rows: DataFrame, root: str, name: str) -> int:
+    """SNK-4 append; the row count is observed during the write (DQ-6), not
+    computed by a second pass."""
+    cols = [f.name for f in WAREHOUSE_DDL[name].fields]
+    path = f"{root.rstrip('/')}/{name}"
+    seen = Observation(f"append_{name}")
+    observed = rows.select(*cols).observe(seen, F.count(F.lit(1)).alias("rows"))
+    append_rows(observed, path, cols, partition_by=PARTITIONS.get(name))
+    return int(seen.get.get("rows", 0))
