@@ -1,6 +1,7 @@
 from .clean import allowlist, drop_incomplete_distinct, rename_fields
 from .keys import (assign_dense_ids, assign_hash_ids, latest_id_per_key, latest_per_key, max_id,
                    resolve_fk)
+from .parallel import ensure_parallelism
 from .merge import insert_ignore, insert_new, merge_report, null_key_rows, upsert
 from .quality import check_fk, check_length, check_not_null, check_unique, profile, quarantine
 from .sets import assemble_capped, union_sources
@@ -10,5 +11,5 @@ __all__ = [
     "assign_hash_ids", "latest_id_per_key", "latest_per_key", "max_id", "resolve_fk",
     "insert_ignore", "insert_new", "merge_report", "null_key_rows", "upsert", "check_fk",
     "check_length", "check_not_null", "check_unique", "profile", "quarantine",
-    "assemble_capped", "union_sources",
+    "assemble_capped", "union_sources", "ensure_parallelism",
 ]

@@ -56,7 +56,13 @@ def assign_dense_ids(df: DataFrame, order_by: list[str], start=0, id_col: str =
     :func:`max_id`).
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_by).withColumn("_pid", F.spark_partition_id())
+    # checkpoint once: both branches below (counts, local numbers) must see the
+    # same partition ids, and a nondeterministic partition id blocks exchange
+    # reuse — without it the range shuffle would run twice.  The checkpoint
+    # goes to the shared checkpoint folder, so it survives a lost executor.
+    ranged = (df.repartitionByRange(n, *order_by)
+              .withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

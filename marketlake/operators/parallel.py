@@ -1,0 +1,23 @@
+"""Parallelism guard for CPU-heavy per-row work.
+
+A parquet file is split by row group; a table written as one row group scans
+as ONE task, and whatever runs before the first shuffle (tokenising whole
+texts, hashing long strings) then runs on one core.  On a cluster reading
+thousands of files the scan already has far more partitions than cores and a
+repartition would be a wasted full shuffle — so the guard only spreads the
+rows when the scan has fewer partitions than the session's parallelism.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` (default: the default
+    parallelism) if it currently has fewer partitions; else return it as is.
+    Only the partition count of the plan is inspected (no job runs)."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df

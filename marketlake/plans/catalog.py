@@ -31,6 +31,7 @@ from .. import operators as op
 from ..functions import (epoch_ms_to_ts, format_compact_ts, round_half_up, row_hash_concat,
                          row_hash_json, time_id, ts_to_epoch_ms, word_tokens)
 from ..operators.joins import broadcast_if_small
+from ..operators.parallel import ensure_parallelism
 from ..session import scratch_path
 from ..sinks.writers import export_tables
 from ..sources import (Tables, day_range, empty_frame, filter_time_id, rename_bars,
@@ -731,8 +732,9 @@ def bridge_news_topics(spark, d):
     # topic vocabulary: the words of the benchmark passages (quoted by documents)
     vocab_words = t.benchmark.select(F.explode(word_tokens("text")).alias("name")).distinct()
     topics = op.assign_dense_ids(vocab_words, ["name"]).withColumnRenamed("id", "topic_id")
-    words = t.documents.select(F.col("doc_id").alias("new_id"),
-                               F.explode(word_tokens("text")).alias("name"))
+    docs = ensure_parallelism(t.documents.select("doc_id", "text"))
+    words = docs.select(F.col("doc_id").alias("new_id"),
+                        F.explode(word_tokens("text")).alias("name"))
     links = (words.join(broadcast_if_small(topics), "name")
              .groupBy("new_id", "topic_id")
              .agg(F.count(F.lit(1)).cast("double").alias("relevance_score")))
