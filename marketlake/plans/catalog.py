@@ -973,6 +973,87 @@ def stream_increment(spark, d):
     return spark.read.schema(ev.schema).parquet(out)
 
 
+# ---------------------------------------------------------------------------
+# LOD-1: the monthly reference load on drops derived from the driver tables
+# ---------------------------------------------------------------------------
+
+def _reference_drops(t: Tables):
+    """markets / companies drops in the vendor shapes, from nation, region
+    and customer (venue = nation, region = region, sector = region,
+    industry = market segment, SIC code = nation key)."""
+    n, r, c = t.nation, t.region, t.customer
+    geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    markets = geo.select(F.lit("Equity").alias("market_type"), F.col("r_name").alias("region"),
+                         F.col("n_name").alias("primary_exchanges"),
+                         F.lit("09:30").alias("local_open"), F.lit("16:00").alias("local_close"),
+                         F.lit("open").alias("current_status"), F.lit("").alias("notes"))
+    companies = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey).select(
+        F.col("c_name").alias("name"),
+        F.concat(F.lit("T"), F.col("c_custkey").cast("string")).alias("ticker"),
+        (F.col("c_acctbal") < 0).alias("isDelisted"), F.lit("CS").alias("category"),
+        F.lit("USD").alias("currency"), F.col("n_name").alias("location"),
+        F.col("c_mktsegment").alias("industry"), F.col("r_name").alias("sector"),
+        F.col("n_name").alias("exchange"), F.col("c_nationkey").cast("string").alias("sic"),
+        F.col("c_mktsegment").alias("sicIndustry"), F.col("n_name").alias("sicSector"))
+    return markets, companies
+
+
+def _reference_tables(spark, d):
+    from .jobs import REF_SCHEMAS, reference_load
+    markets, companies_raw = _reference_drops(Tables(spark, d))
+    normalised = normalize.normalise_all(markets, companies_raw, kept_exchanges=None)
+    current = {n: spark.createDataFrame([], ddl) for n, ddl in REF_SCHEMAS.items()}
+    return reference_load(current, normalised, RUN_TS)
+
+
+_REF_SQL = f"""
+WITH geo AS (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey),
+     co AS (SELECT c_name AS name, 'T' || CAST(c_custkey AS VARCHAR) AS ticker,
+                   c_acctbal < 0 AS is_delisted, n_name, r_name, c_mktsegment
+            FROM customer JOIN geo ON c_nationkey = n_nationkey),
+     ex AS (SELECT n_name, row_number() OVER (ORDER BY n_name) AS exchange_id
+            FROM (SELECT DISTINCT n_name FROM geo)),
+     ind AS (SELECT c_mktsegment, r_name, row_number() OVER (ORDER BY c_mktsegment, r_name)
+                    AS industry_id FROM (SELECT DISTINCT c_mktsegment, r_name FROM co)),
+     sic AS (SELECT c_mktsegment, n_name, row_number() OVER (ORDER BY c_mktsegment, n_name)
+                    AS sic_id FROM (SELECT DISTINCT c_mktsegment, n_name FROM co)),
+     j AS (SELECT co.*, exchange_id, industry_id, sic_id FROM co
+           JOIN ex USING (n_name) JOIN ind USING (c_mktsegment, r_name)
+           JOIN sic USING (c_mktsegment, n_name))
+SELECT row_number() OVER (ORDER BY ticker, is_delisted) AS id, exchange_id, industry_id, sic_id,
+       name, ticker, is_delisted, 'CS' AS category, 'USD' AS currency, n_name AS location,
+       md5(to_json({{'category': 'CS', 'currency': 'USD', 'exchange_id': exchange_id,
+                    'industry_id': industry_id, 'location': n_name, 'name': name,
+                    'sic_id': sic_id}})) AS hash_row,
+       TIMESTAMP '{RUN_TS}' AS updated_time, 'inserted' AS action
+FROM j
+"""
+
+
+@query("reference_load", _REF_SQL)
+def reference_load_q(spark, d):
+    tables, _, _ = _reference_tables(spark, d)
+    return tables["companies"].select(
+        "id", "exchange_id", "industry_id", "sic_id", "name", "ticker", "is_delisted",
+        "category", "currency", "location", "hash_row", "updated_time", "action")
+
+
+@query("reference_load_report", """
+WITH geo AS (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey),
+     co AS (SELECT * FROM customer JOIN geo ON c_nationkey = n_nationkey)
+SELECT 'regions' AS "table", 'inserted' AS action, count(DISTINCT r_name) AS "rows" FROM geo
+UNION ALL SELECT 'exchanges', 'inserted', count(DISTINCT n_name) FROM geo
+UNION ALL SELECT 'industries', 'inserted',
+                 count(*) FROM (SELECT DISTINCT c_mktsegment, r_name FROM co)
+UNION ALL SELECT 'sic_industries', 'inserted',
+                 count(*) FROM (SELECT DISTINCT c_mktsegment, n_name FROM co)
+UNION ALL SELECT 'companies', 'inserted', count(*) FROM co
+""")
+def reference_load_report(spark, d):
+    _, _, report = _reference_tables(spark, d)
+    return report
+
+
 def entry_query(spark, sf_dir):
     """The flagship query (QRY-9/10): top-10 tickers by traded volume."""
     return topk_volume(spark, sf_dir)

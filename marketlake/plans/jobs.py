@@ -55,19 +55,24 @@ REF_SCHEMAS = {
 }
 
 
-def _fill_ids(df: DataFrame, order_by: list[str], id_col: str = "id") -> DataFrame:
-    """Keep existing ids; give rows without one dense ids after the max."""
+def _fill_ids(df: DataFrame, order_by: list[str], start: int, id_col: str = "id") -> DataFrame:
+    """Keep existing ids; give rows without one dense ids after ``start``.
+
+    Reference tables are small and feed the next table's key lookup, so the
+    next version is materialised once (``checkpoint`` into the shared
+    checkpoint folder): later steps read it instead of re-running the merge
+    — this cuts the lineage between the FK-ordered steps."""
     have = df.where(F.col(id_col).isNotNull())
     new = df.where(F.col(id_col).isNull()).drop(id_col)
-    numbered = assign_dense_ids(new, order_by, start=max_id(have, id_col), id_col=id_col)
-    return have.unionByName(numbered)
+    numbered = assign_dense_ids(new, order_by, start=start, id_col=id_col)
+    return have.unionByName(numbered).checkpoint(eager=True)
 
 
 def _upsert_table(current: DataFrame, batch: DataFrame, keys, cols, run_ts, hash_mode):
     batch = batch.withColumn("_order", F.lit(0))
     merged = upsert(current, batch, keys, cols, order_by=["_order"], run_ts=run_ts,
                     hash_mode=hash_mode)
-    return _fill_ids(merged, keys)
+    return _fill_ids(merged, keys, start=max_id(current))
 
 
 def reference_load(current: dict[str, DataFrame], normalised: dict[str, DataFrame], run_ts,
@@ -102,7 +107,7 @@ def reference_load(current: dict[str, DataFrame], normalised: dict[str, DataFram
                                keys)
         merged = merged.withColumn("action", F.when(F.col("inserted"), F.lit("inserted"))
                                    .otherwise(F.lit("kept"))).drop("inserted")
-        out[name] = _fill_ids(merged, keys)
+        out[name] = _fill_ids(merged, keys, start=max_id(current[name]))
 
     comp = normalised["companies"]
     c1, m1 = resolve_fk(comp, out["exchanges"].select("id", "name"), {"exchange": "name"},

@@ -48,18 +48,23 @@ def sic_industries(companies_raw: DataFrame) -> DataFrame:
     return drop_incomplete_distinct(rows)
 
 
-def companies(companies_raw: DataFrame) -> DataFrame:
+def companies(companies_raw: DataFrame, kept_exchanges=KEPT_EXCHANGES,
+              currency: str = KEPT_CURRENCY) -> DataFrame:
     """NRM-5: the 11 company columns, complete rows only, distinct, listed on
-    a kept exchange and quoted in the kept currency."""
+    a kept exchange and quoted in the kept currency (``kept_exchanges=None``
+    keeps every venue)."""
     rows = drop_incomplete_distinct(rename_fields(companies_raw, schemas.COMPANY_RENAMES))
-    return allowlist(rows, "exchange", KEPT_EXCHANGES, currency=KEPT_CURRENCY)
+    if kept_exchanges is None:
+        return rows.where(F.col("currency") == F.lit(currency))
+    return allowlist(rows, "exchange", kept_exchanges, currency=currency)
 
 
-def normalise_all(markets: DataFrame, companies_raw: DataFrame) -> dict[str, DataFrame]:
+def normalise_all(markets: DataFrame, companies_raw: DataFrame,
+                  kept_exchanges=KEPT_EXCHANGES) -> dict[str, DataFrame]:
     return {
         "regions": regions(markets),
         "exchanges": exchanges(markets),
         "industries": industries(companies_raw),
         "sic_industries": sic_industries(companies_raw),
-        "companies": companies(companies_raw),
+        "companies": companies(companies_raw, kept_exchanges),
     }
