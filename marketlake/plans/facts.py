@@ -72,14 +72,18 @@ def new_company_links(fact: DataFrame, news: DataFrame, dim_companies: DataFrame
                        "relevance_score", "ticker_sentiment_score", "ticker_sentiment_label")
 
 
-def candle_rows(bars: DataFrame, dim_companies: DataFrame) -> DataFrame:
+def candle_rows(bars: DataFrame, dim_companies: DataFrame, run_date=None) -> DataFrame:
     """FCT-3 rows from the vendor's daily bars.
 
     ``bars`` carries our column names (:func:`sources.read_bars` /
     :func:`sources.rename_bars` do the PRJ-2 rename).  Resolve the ticker to
     its latest company id (inner join: unknown tickers drop), drop bars
-    without a weighted price (FLT-5), default a missing OTC flag to false,
-    and derive ``time_id`` from the bar's own timestamp (epoch ms)."""
+    without a weighted price (FLT-5), default a missing OTC flag to false.
+    ``time_id`` is the run date's (PRJ-5) when ``run_date`` is given — one
+    daily drop — else it is derived from each bar's own epoch-ms timestamp
+    (bars of many days, e.g. a backfill)."""
+    day = (F.lit(run_date).cast("date") if run_date is not None
+           else epoch_ms_to_ts("time_stamp"))
     latest = latest_id_per_key(dim_companies, "ticker", ["updated_time", "id"]) \
         .withColumnRenamed("id", "company_id")
     rows = (bars.join(latest, "ticker")
@@ -90,13 +94,14 @@ def candle_rows(bars: DataFrame, dim_companies: DataFrame) -> DataFrame:
                     F.col("time_stamp").cast("string").alias("time_stamp"),
                     F.col("num_of_trades").cast("long").alias("num_of_trades"),
                     F.coalesce(F.col("is_otc"), F.lit(False)).alias("is_otc"),
-                    time_id(epoch_ms_to_ts("time_stamp")).alias("time_id")))
+                    time_id(day).alias("time_id")))
     return rows
 
 
-def new_candles(fact: DataFrame, bars: DataFrame, dim_companies: DataFrame) -> DataFrame:
+def new_candles(fact: DataFrame, bars: DataFrame, dim_companies: DataFrame,
+                run_date=None) -> DataFrame:
     """FCT-3: candles whose (company_id, time_id) is not stored yet.  The
     anti-join reads only the fact partitions (time_id) the batch touches."""
-    rows = insert_new(fact, candle_rows(bars, dim_companies), ["company_id", "time_id"],
+    rows = insert_new(fact, candle_rows(bars, dim_companies, run_date), ["company_id", "time_id"],
                       order_by=["company_id", "time_id", "time_stamp"], prune_on="time_id")
     return rows.select(hash_id(["company_id", "time_id"]).alias("id"), *rows.columns)

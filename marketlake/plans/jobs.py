@@ -15,13 +15,15 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.temporal import epoch_ms_to_ts
 from ..operators.keys import assign_dense_ids, latest_per_key, max_id, resolve_fk
 from ..operators.merge import insert_ignore, upsert
-from ..sinks.writers import append_rows, read_snapshot, write_snapshot
-from ..sources.landing import empty_frame, read_bars, read_landing, run_date_filter
+from ..sinks.writers import append_rows, read_snapshot, write_run_date, write_snapshot
+from ..sources.landing import (empty_frame, read_bars, read_lake, read_landing,
+                               run_date_filter)
 from . import dims, facts, normalize
 
 
@@ -195,12 +197,13 @@ def new_dimension_rows(wh: dict[str, DataFrame], extract: DataFrame, news: DataF
     }
 
 
-def new_fact_rows(wh: dict[str, DataFrame], news: DataFrame, bars: DataFrame
+def new_fact_rows(wh: dict[str, DataFrame], news: DataFrame, bars: DataFrame, run_date=None
                   ) -> dict[str, DataFrame]:
     """FCT-1..FCT-3: the rows to append to each fact, given dimensions that
     already include this run's new rows."""
     return {
-        "fact_candles": facts.new_candles(wh["fact_candles"], bars, wh["dim_companies"]),
+        "fact_candles": facts.new_candles(wh["fact_candles"], bars, wh["dim_companies"],
+                                          run_date),
         "fact_news_topics": facts.new_topic_links(wh["fact_news_topics"], news,
                                                   wh["dim_topics"], wh["dim_news"]),
         "fact_news_companies": facts.new_company_links(wh["fact_news_companies"], news,
@@ -208,16 +211,42 @@ def new_fact_rows(wh: dict[str, DataFrame], news: DataFrame, bars: DataFrame
     }
 
 
-def run_daily_load(spark: SparkSession, landing: str, ref_root: str, root: str, run_date: str):
-    """Daily flow B end to end for one run date.
+def ingest_landing(spark: SparkSession, landing: str, lake: str, run_date: str) -> None:
+    """SRC-2 → SNK-2: convert the day's landed JSON (news, bars) once into the
+    parquet lake ``{lake}/{news,ohlcs}/run_date=…``.
 
-    Inputs: the landed news and bars of ``run_date`` (a missing drop is an
-    empty day) and the reference snapshots (company extract, DIM-1).  The
-    dimensions are appended first and re-read, then the facts; every step
-    is insert-if-new, so running a day twice changes nothing.  Returns the
-    number of rows appended per table (read back from the written data)."""
+    A JSON array is one task per file; after this hop every read is a
+    columnar, partition-pruned parquet scan.  A missing or empty drop writes
+    nothing; dynamic partition overwrite makes a re-run replace only this
+    run date."""
+    d = F.lit(run_date).cast("date").alias("run_date")
     news = read_landing(spark, f"{landing}/news", run_date, schemas.NEWS_RAW, missing="skip")
     bars = read_bars(spark, f"{landing}/ohlcs", run_date)
+    write_run_date(news.select("*", d), lake, "news")
+    write_run_date(bars.select("*", d), lake, "ohlcs")
+
+
+def read_day(spark: SparkSession, lake: str, prefix: str, schema, run_date) -> DataFrame:
+    """SRC-3: one run date of a lake table (empty, typed, if never written)."""
+    full = T.StructType(schema.fields + [T.StructField("run_date", T.DateType())])
+    return read_lake(spark, lake, prefix, run_date, required=False,
+                     schema=full).drop("run_date")
+
+
+def run_daily_load(spark: SparkSession, landing: str, ref_root: str, root: str, run_date: str,
+                   lake: str | None = None):
+    """Daily flow B end to end for one run date.
+
+    The landed news and bars of ``run_date`` are first converted into the
+    parquet lake (``lake``, default ``{root}/_lake``); a missing drop is an
+    empty day.  The reference snapshots give the company extract (DIM-1).
+    The dimensions are appended first and re-read, then the facts; every step
+    is insert-if-new, so running a day twice changes nothing.  Returns the
+    number of rows appended per table (observed during the writes)."""
+    lake = lake or f"{root.rstrip('/')}/_lake"
+    ingest_landing(spark, landing, lake, run_date)
+    news = read_day(spark, lake, "news", schemas.NEWS_RAW, run_date)
+    bars = read_day(spark, lake, "ohlcs", schemas.OHLC, run_date)
     ref = {n: read_snapshot(spark, ref_root, n) for n in REF_SCHEMAS}
     extract = dims.company_extract(ref["companies"], ref["exchanges"], ref["regions"],
                                    ref["industries"], ref["sic_industries"])
@@ -226,7 +255,7 @@ def run_daily_load(spark: SparkSession, landing: str, ref_root: str, root: str,
     for name, rows in new_dimension_rows(wh, extract, news, bars, run_date).items():
         added[name] = _append(spark, rows, root, name)
     wh = {n: read_warehouse(spark, root, n) for n in WAREHOUSE_DDL}
-    for name, rows in new_fact_rows(wh, news, bars).items():
+    for name, rows in new_fact_rows(wh, news, bars, run_date).items():
         added[name] = _append(spark, rows, root, name)
     return added
 
