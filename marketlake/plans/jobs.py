@@ -21,6 +21,7 @@ from .. import schemas
 from ..functions.temporal import epoch_ms_to_ts
 from ..operators.keys import assign_dense_ids, latest_per_key, max_id, resolve_fk
 from ..operators.merge import insert_ignore, upsert
+from ..operators.quality import check_fk, check_unique, profile
 from ..sinks.writers import append_rows, read_snapshot, write_run_date, write_snapshot
 from ..sources.landing import (empty_frame, read_bars, read_lake, read_landing,
                                run_date_filter)
@@ -269,3 +270,24 @@ def _append(spark: SparkSession, rows: DataFrame, root: str, name: str) -> int:
     observed = rows.select(*cols).observe(seen, F.count(F.lit(1)).alias("rows"))
     append_rows(observed, path, cols, partition_by=PARTITIONS.get(name))
     return int(seen.get.get("rows", 0))
+
+
+def warehouse_quality(wh: dict[str, DataFrame]) -> DataFrame:
+    """DQ-1..DQ-4 over the whole warehouse as ONE report DataFrame
+    ``(table, check, column_name, violations)``: NOT NULL and text widths
+    (one scan per table), id uniqueness, and every foreign key of the DDL.
+    Nothing is collected; the caller writes or shows the report."""
+    parts = []
+    for name, df in wh.items():
+        nn, widths = schemas.NOT_NULL.get(name, []), schemas.MAX_LENGTH.get(name, {})
+        if nn or widths:
+            parts.append(profile(df, nn, widths).select(F.lit(name).alias("table"), "*"))
+        parts.append(check_unique(df, ["id"]).agg(F.count(F.lit(1)).alias("violations"))
+                     .select(F.lit(name).alias("table"), F.lit("unique").alias("check"),
+                             F.lit("id").alias("column_name"), "violations"))
+    for child, col, parent in schemas.FOREIGN_KEYS:
+        bad = check_fk(wh[child], wh[parent], {col: "id"})
+        parts.append(bad.agg(F.count(F.lit(1)).alias("violations"))
+                     .select(F.lit(child).alias("table"), F.lit(f"fk->{parent}").alias("check"),
+                             F.lit(col).alias("column_name"), "violations"))
+    return reduce(lambda a, b: a.unionByName(b), parts)

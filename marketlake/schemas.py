@@ -120,15 +120,39 @@ WAREHOUSE_TABLES = (
     "fact_candles", "fact_news_companies", "fact_news_topics",
 )
 
-# NOT NULL columns and text widths of the target DDL (data-quality rules)
+# NOT NULL columns, text widths and foreign keys of the
+# warehouse DDL (the data-quality rules checked by jobs.warehouse_quality).
 NOT_NULL = {
     "dim_time": ["date"],
-    "dim_companies": ["name", "ticker"],
+    "dim_companies": ["ticker", "is_delisted", "exchange", "region"],
     "dim_topics": ["name"],
-    "dim_news": ["title", "url", "time_published"],
+    "dim_news": ["title", "url", "time_published", "overall_sentiment_score",
+                 "overall_sentiment_label"],
     "fact_candles": ["company_id", "volume", "volume_weighted", "open", "close", "high",
                      "low", "time_stamp", "num_of_trades"],
     "fact_news_companies": ["company_id", "new_id", "relevance_score",
                             "ticker_sentiment_score", "ticker_sentiment_label"],
     "fact_news_topics": ["new_id", "topic_id", "relevance_score"],
 }
+
+MAX_LENGTH = {
+    "dim_time": {"day_of_week": 10, "month": 10, "quarter": 10},
+    "dim_companies": {"name": 255, "ticker": 10, "category": 255, "currency": 10,
+                      "location": 255, "exchange": 100, "region": 50, "industry": 255,
+                      "sector": 255, "sic_industry": 255, "sic_sector": 255},
+    "dim_topics": {"name": 255},
+    "dim_news": {"time_published": 15, "overall_sentiment_label": 255},
+    "fact_candles": {"time_stamp": 15},
+    "fact_news_companies": {"ticker_sentiment_label": 100},
+    "fact_news_topics": {},
+}
+
+FOREIGN_KEYS = [  # (child table, child column, parent table)
+    ("dim_news", "time_id", "dim_time"),
+    ("fact_candles", "company_id", "dim_companies"),
+    ("fact_candles", "time_id", "dim_time"),
+    ("fact_news_companies", "company_id", "dim_companies"),
+    ("fact_news_companies", "new_id", "dim_news"),
+    ("fact_news_topics", "new_id", "dim_news"),
+    ("fact_news_topics", "topic_id", "dim_topics"),
+]

@@ -154,6 +154,14 @@ def test_reference_load_and_daily_load(spark, landing, tmp_dir):
     with pytest.raises(KeyError):
         read_table(spark, wh, "nope")
 
+    # the whole warehouse passes its DDL rules
+    report = jobs.warehouse_quality({n: read_table(spark, wh, n) for n in schemas.WAREHOUSE_TABLES})
+    bad = [tuple(r) for r in report.collect() if r["violations"]]
+    assert bad == []
+    per_column = sum(len(schemas.NOT_NULL[t]) + len(schemas.MAX_LENGTH[t])
+                     for t in schemas.WAREHOUSE_TABLES)
+    assert report.count() == per_column + 7 + len(schemas.FOREIGN_KEYS)
+
     # a re-run of the day appends nothing
     again = jobs.run_daily_load(spark, landing, ref, wh, "2025-07-10")
     assert set(again.values()) == {0}
