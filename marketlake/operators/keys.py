@@ -48,30 +48,34 @@ def assign_dense_ids(df: DataFrame, order_by: list[str], start=0, id_col: str =
     """KEY-1 for dimension rows: ids ``start+1, start+2, …`` in ``order_by``
     order, dense and gap-free, without pulling the rows into one task.
 
-    The rows are range-partitioned on ``order_by``; each partition numbers its
-    own rows, and a prefix sum over the per-partition counts (one row per
-    partition — bounded by the partition count, so it is broadcast) shifts
-    each partition's numbers.  ``order_by`` must be unique per row.
-    ``start`` is the target's current ``max(id)`` (a scalar; see
-    :func:`max_id`).
+    The rows are range-partitioned on ``order_by`` and sorted within each
+    partition; ``monotonically_increasing_id`` then gives each row its
+    position inside its partition (documented layout: partition id in the
+    upper 31 bits, record number in the lower 33).  A prefix sum over the
+    per-partition counts (one row per partition — bounded by the partition
+    count, so it is broadcast) shifts each partition's positions.
+    ``order_by`` must be unique per row.  ``start`` is the target's current
+    ``max(id)`` (a scalar; see :func:`max_id`).
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # checkpoint once: both branches below (counts, local numbers) must see the
-    # same partition ids, and a nondeterministic partition id blocks exchange
-    # reuse — without it the range shuffle would run twice.  The checkpoint
-    # goes to the shared checkpoint folder, so it survives a lost executor.
+    # checkpoint once: partition ids and positions are assigned at run time,
+    # so both branches below (counts, positions) must read the same
+    # materialised rows — the checkpoint also pins them across retries of a
+    # lost executor (it lives in the shared checkpoint folder).
+    pid = F.spark_partition_id()
     ranged = (df.repartitionByRange(n, *order_by)
-              .withColumn("_pid", F.spark_partition_id())
+              .sortWithinPartitions(*order_by)
+              .withColumn("_pid", pid)
+              .withColumn("_pos", F.monotonically_increasing_id()
+                          - F.shiftleft(pid.cast("long"), 33))
               .checkpoint(eager=True))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = ranged.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_by)))
-    numbered = local.join(F.broadcast(offsets), "_pid")
+    numbered = ranged.join(F.broadcast(offsets), "_pid")
     out = numbered.withColumn(
-        id_col, (F.lit(int(start)) + F.col("_off") + F.col("_local")).cast("long"))
-    return out.drop("_pid", "_local", "_off")
+        id_col, (F.lit(int(start)) + F.col("_off") + F.col("_pos") + F.lit(1)).cast("long"))
+    return out.drop("_pid", "_pos", "_off")
 
 
 def resolve_fk(df: DataFrame, dim: DataFrame, on: list[str] | dict, id_col: str = "id",

@@ -65,8 +65,9 @@ def _fill_ids(df: DataFrame, order_by: list[str], start: int, id_col: str = "id"
     next version is materialised once (``checkpoint`` into the shared
     checkpoint folder): later steps read it instead of re-running the merge
     — this cuts the lineage between the FK-ordered steps."""
-    have = df.where(F.col(id_col).isNotNull())
-    new = df.where(F.col(id_col).isNull()).drop(id_col)
+    merged = df.checkpoint(eager=True)
+    have = merged.where(F.col(id_col).isNotNull())
+    new = merged.where(F.col(id_col).isNull()).drop(id_col)
     numbered = assign_dense_ids(new, order_by, start=start, id_col=id_col)
     return have.unionByName(numbered).checkpoint(eager=True)
 
@@ -95,8 +96,10 @@ def reference_load(current: dict[str, DataFrame], normalised: dict[str, DataFram
                             ["local_open", "local_close"], run_ts, hash_mode)
     out["regions"] = regions
 
+    # the looked-up dimensions (regions, venues, industry codes) are bounded
+    # by the domain and already materialised: broadcast them
     ex, ex_missed = resolve_fk(normalised["exchanges"], regions.select("id", "region"),
-                               ["region"], alias="region_id")
+                               ["region"], alias="region_id", bounded=True)
     bad.append(ex_missed.select(F.lit("exchanges").alias("table"),
                                 F.to_json(F.struct(*normalised["exchanges"].columns)).alias("row"),
                                 "reason"))
@@ -114,11 +117,11 @@ def reference_load(current: dict[str, DataFrame], normalised: dict[str, DataFram
 
     comp = normalised["companies"]
     c1, m1 = resolve_fk(comp, out["exchanges"].select("id", "name"), {"exchange": "name"},
-                        alias="exchange_id")
+                        alias="exchange_id", bounded=True)
     c2, m2 = resolve_fk(c1, out["industries"].select("id", "industry", "sector"),
-                        ["industry", "sector"], alias="industry_id")
+                        ["industry", "sector"], alias="industry_id", bounded=True)
     c3, m3 = resolve_fk(c2, out["sic_industries"].select("id", "sic_industry", "sic_sector"),
-                        ["sic_industry", "sic_sector"], alias="sic_id")
+                        ["sic_industry", "sic_sector"], alias="sic_id", bounded=True)
     for m in (m1, m2, m3):
         bad.append(m.select(F.lit("companies").alias("table"),
                             F.to_json(F.struct(*comp.columns)).alias("row"), "reason"))
