@@ -50,7 +50,9 @@ def insert_new(target: DataFrame, batch: DataFrame, keys: list[str], order_by=No
         batch = latest_per_key(batch, keys, order_by)
     existing = target.select(*keys)
     if prune_on:
-        touched = batch.select(prune_on).distinct()
+        # distinct partition values (days): bounded by the calendar → broadcast,
+        # which also lets dynamic partition pruning skip untouched directories
+        touched = F.broadcast(batch.select(prune_on).distinct())
         existing = existing.join(touched, prune_on, "left_semi")
     return batch.join(existing, keys, "left_anti")
 

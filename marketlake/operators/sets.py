@@ -27,13 +27,16 @@ def assemble_capped(batches: DataFrame, cap: int, run_date_col: str = "run_date"
     it is complete and kept; when it hit the cap (``>= cap``) it is truncated
     and the other zones are kept instead.
 
-    The count per run date is a grouped aggregate (one row per day), joined
-    back on the day — no window over a whole day, so a day holding most of
-    the rows is still spread over many tasks.
+    The count per run date is a grouped aggregate (partial counts per map
+    partition, one row per day), broadcast back to the rows — no window over
+    a whole day, so a day holding most of the rows is still spread over many
+    tasks.
     """
     sizes = (batches.groupBy(run_date_col)
              .agg(F.count_if(F.col(zone_col) == full_zone).alias("_full_n")))
-    tagged = batches.join(sizes, run_date_col)
+    # one row per run date: bounded by the calendar, so it is broadcast and
+    # the batches are never shuffled by day (a hot day stays spread out)
+    tagged = batches.join(F.broadcast(sizes), run_date_col)
     is_full = F.col(zone_col) == full_zone
     keep = (is_full & (F.col("_full_n") < cap)) | (~is_full & (F.col("_full_n") >= cap))
     return tagged.where(keep).drop("_full_n")
