@@ -27,15 +27,17 @@ def null_key_rows(batch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def insert_new(target: DataFrame, batch: DataFrame, keys: list[str], order_by=None,
-               dedupe_batch: bool = True, prune_on: str | None = None) -> DataFrame:
+               dedupe_batch: bool = True, prune_on: str | None = None,
+               descending: bool = True) -> DataFrame:
     """MRG-3 (JON-8/9/10/11): the batch rows whose key is not yet in ``target``.
 
     * null key parts are removed (see :func:`null_key_rows`): a stored key is
       never null, so ``NOT IN`` and ``NOT EXISTS`` agree with this anti-join
       on every row that could be stored;
     * ``dedupe_batch`` keeps one row per key inside the batch (the first by
-      ``order_by``, latest first); with ``False`` every copy of a new key is
-      returned, as a plain ``NOT IN`` insert would do;
+      ``order_by``: latest first, or earliest with ``descending=False`` — what
+      a sequence of daily insert-only runs keeps); with ``False`` every copy
+      of a new key is returned, as a plain ``NOT IN`` insert would do;
     * the anti-join is a ``left_anti`` equi-join on all key columns — never a
       tuple ``NOT IN``, which plans as a nested-loop join;
     * ``prune_on`` names a partition column that is part of the key: the
@@ -47,7 +49,7 @@ def insert_new(target: DataFrame, batch: DataFrame, keys: list[str], order_by=No
     if dedupe_batch:
         if order_by is None:
             order_by = keys
-        batch = latest_per_key(batch, keys, order_by)
+        batch = latest_per_key(batch, keys, order_by, descending=descending)
     existing = target.select(*keys)
     if prune_on:
         # distinct partition values (days): bounded by the calendar → broadcast,

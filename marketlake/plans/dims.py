@@ -25,6 +25,13 @@ from ..sources.landing import day_range
 NEWS_KEY = ["title", "url", "time_published"]
 
 
+def as_date(run_date) -> F.Column:
+    """A run date given as text/date (one run) or as a column (a range)."""
+    if isinstance(run_date, F.Column):
+        return run_date.cast("date")
+    return F.lit(run_date).cast("date")
+
+
 def company_extract(companies: DataFrame, exchanges: DataFrame, regions: DataFrame,
                     industries: DataFrame, sic_industries: DataFrame,
                     as_of=None) -> DataFrame:
@@ -77,22 +84,38 @@ def topic_names(news: DataFrame) -> DataFrame:
             .select(F.col("t.topic").alias("name")).where("name is not null").distinct())
 
 
-def new_topics(dim_topics: DataFrame, news: DataFrame) -> DataFrame:
-    """DIM-4: topic names not in dim_topics yet, with dense ids."""
-    rows = insert_new(dim_topics, topic_names(news), ["name"], dedupe_batch=False)
-    return assign_dense_ids(rows, ["name"], start=max_id(dim_topics))
+def new_topics(dim_topics: DataFrame, news: DataFrame, first_by: str | None = None
+               ) -> DataFrame:
+    """DIM-4: topic names not in dim_topics yet, with dense ids.
+
+    With ``first_by`` (a run-date column, for a backfill over many days) the
+    ids follow (first run date, name) — the ids a sequence of daily runs
+    would have given."""
+    if first_by is None:
+        rows = insert_new(dim_topics, topic_names(news), ["name"], dedupe_batch=False)
+        return assign_dense_ids(rows, ["name"], start=max_id(dim_topics))
+    seen = (news.select(F.col(first_by).alias("_first"), F.explode("topics").alias("t"))
+            .select("_first", F.col("t.topic").alias("name")).where("name is not null")
+            .groupBy("name").agg(F.min("_first").alias("_first")))
+    rows = insert_new(dim_topics, seen, ["name"], dedupe_batch=False)
+    return assign_dense_ids(rows, ["_first", "name"], start=max_id(dim_topics)).drop("_first")
 
 
 def news_rows(news: DataFrame, run_date) -> DataFrame:
-    """DIM-5 shape: article columns + ``time_id`` of the run date + hash id."""
+    """DIM-5 shape: article columns + ``time_id`` of the run date + hash id.
+    ``run_date`` is one date or a column (each article's own run date)."""
     cols = ["title", "url", "time_published", "authors", "summary", "source",
             "overall_sentiment_score", "overall_sentiment_label"]
     return news.select(hash_id(NEWS_KEY).alias("id"), *cols,
-                       time_id(F.lit(run_date).cast("date")).alias("time_id"))
+                       time_id(as_date(run_date)).alias("time_id"))
 
 
 def new_news(dim_news: DataFrame, news: DataFrame, run_date) -> DataFrame:
     """DIM-5: articles not in dim_news yet (key title, url, time_published),
-    one row per key."""
-    return insert_new(dim_news, news_rows(news, run_date), NEWS_KEY,
-                      order_by=NEWS_KEY + ["source"])
+    one row per key — for a range, the one of the earliest run date (its
+    ``time_id``), as daily runs would have stored."""
+    rows = news_rows(news, run_date)
+    tie = ["source", "url"]                  # inside one run: the largest wins
+    if isinstance(run_date, F.Column):       # over a range: earliest run first
+        return insert_new(dim_news, rows, NEWS_KEY, order_by=[F.col("time_id") * -1, *tie])
+    return insert_new(dim_news, rows, NEWS_KEY, order_by=tie)

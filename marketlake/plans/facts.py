@@ -19,38 +19,54 @@ from ..operators.merge import insert_new
 from .dims import NEWS_KEY
 
 
-def topic_links(news: DataFrame, dim_topics: DataFrame, dim_news: DataFrame) -> DataFrame:
+def _first_cols(news: DataFrame, first_by: str | None) -> list:
+    return [F.col(first_by).alias("_first")] if first_by else []
+
+
+def topic_links(news: DataFrame, dim_topics: DataFrame, dim_news: DataFrame,
+                first_by: str | None = None) -> DataFrame:
     """FCT-1 rows: one (new_id, topic_id, relevance_score) per article topic.
 
     Explode first, then resolve: the topic name against ``dim_topics`` (inner
     join: unknown topics are dropped), the article against ``dim_news``
     (semi join on the derived id: articles not stored are dropped)."""
-    exploded = news.select(hash_id(NEWS_KEY).alias("new_id"), F.explode("topics").alias("t"))
+    exploded = news.select(hash_id(NEWS_KEY).alias("new_id"), *_first_cols(news, first_by),
+                           F.explode("topics").alias("t"))
     links = exploded.select(
-        "new_id", F.col("t.topic").alias("name"),
+        "new_id", *(["_first"] if first_by else []), F.col("t.topic").alias("name"),
         F.col("t.relevance_score").try_cast("double").alias("relevance_score"))
     topics = dim_topics.select(F.col("id").alias("topic_id"), "name")
     return (links.join(topics, "name")
             .join(dim_news.select(F.col("id").alias("new_id")), "new_id", "left_semi")
-            .select("new_id", "topic_id", "relevance_score"))
+            .select("new_id", "topic_id", "relevance_score", *(["_first"] if first_by else [])))
+
+
+def _dedupe_order(first_by, *tie):
+    """Inside one run the largest ``tie`` wins; over a range the earliest run
+    date wins first (negated day number), then the same ``tie`` rule — what a
+    sequence of daily runs would have kept."""
+    if first_by:
+        return dict(order_by=[F.datediff(F.lit("1970-01-01"), F.col("_first")), *tie])
+    return dict(order_by=list(tie))
 
 
 def new_topic_links(fact: DataFrame, news: DataFrame, dim_topics: DataFrame,
-                    dim_news: DataFrame) -> DataFrame:
+                    dim_news: DataFrame, first_by: str | None = None) -> DataFrame:
     """FCT-1: bridge rows not stored yet (key new_id, topic_id), with ids."""
-    rows = insert_new(fact, topic_links(news, dim_topics, dim_news), ["new_id", "topic_id"],
-                      order_by=["new_id", "topic_id", "relevance_score"])
+    rows = insert_new(fact, topic_links(news, dim_topics, dim_news, first_by),
+                      ["new_id", "topic_id"], **_dedupe_order(first_by, "relevance_score"))
     return rows.select(hash_id(["new_id", "topic_id"]).alias("id"), "new_id", "topic_id",
                        "relevance_score")
 
 
-def company_links(news: DataFrame, dim_companies: DataFrame, dim_news: DataFrame) -> DataFrame:
+def company_links(news: DataFrame, dim_companies: DataFrame, dim_news: DataFrame,
+                  first_by: str | None = None) -> DataFrame:
     """FCT-2 rows: one mention per (article, ticker) with its sentiment; each
     ticker resolves to the id of its latest company row (KEY-3)."""
-    exploded = news.select(hash_id(NEWS_KEY).alias("new_id"),
+    exploded = news.select(hash_id(NEWS_KEY).alias("new_id"), *_first_cols(news, first_by),
                            F.explode("ticker_sentiment").alias("s"))
     links = exploded.select(
-        "new_id", F.col("s.ticker").alias("ticker"),
+        "new_id", *(["_first"] if first_by else []), F.col("s.ticker").alias("ticker"),
         F.col("s.relevance_score").try_cast("double").alias("relevance_score"),
         F.col("s.ticker_sentiment_score").try_cast("double").alias("ticker_sentiment_score"),
         F.col("s.ticker_sentiment_label").alias("ticker_sentiment_label"))
@@ -59,15 +75,15 @@ def company_links(news: DataFrame, dim_companies: DataFrame, dim_news: DataFrame
     return (links.join(latest, "ticker")
             .join(dim_news.select(F.col("id").alias("new_id")), "new_id", "left_semi")
             .select("new_id", "company_id", "relevance_score", "ticker_sentiment_score",
-                    "ticker_sentiment_label"))
+                    "ticker_sentiment_label", *(["_first"] if first_by else [])))
 
 
 def new_company_links(fact: DataFrame, news: DataFrame, dim_companies: DataFrame,
-                      dim_news: DataFrame) -> DataFrame:
+                      dim_news: DataFrame, first_by: str | None = None) -> DataFrame:
     """FCT-2: bridge rows not stored yet (key new_id, company_id), with ids."""
-    rows = insert_new(fact, company_links(news, dim_companies, dim_news),
+    rows = insert_new(fact, company_links(news, dim_companies, dim_news, first_by),
                       ["new_id", "company_id"],
-                      order_by=["new_id", "company_id", "ticker_sentiment_score"])
+                      **_dedupe_order(first_by, "ticker_sentiment_score", "relevance_score"))
     return rows.select(hash_id(["new_id", "company_id"]).alias("id"), "new_id", "company_id",
                        "relevance_score", "ticker_sentiment_score", "ticker_sentiment_label")
 
@@ -82,8 +98,12 @@ def candle_rows(bars: DataFrame, dim_companies: DataFrame, run_date=None) -> Dat
     ``time_id`` is the run date's (PRJ-5) when ``run_date`` is given — one
     daily drop — else it is derived from each bar's own epoch-ms timestamp
     (bars of many days, e.g. a backfill)."""
-    day = (F.lit(run_date).cast("date") if run_date is not None
-           else epoch_ms_to_ts("time_stamp"))
+    if run_date is None:
+        day = epoch_ms_to_ts("time_stamp")
+    elif isinstance(run_date, F.Column):
+        day = run_date.cast("date")
+    else:
+        day = F.lit(run_date).cast("date")
     latest = latest_id_per_key(dim_companies, "ticker", ["updated_time", "id"]) \
         .withColumnRenamed("id", "company_id")
     rows = (bars.join(latest, "ticker")

@@ -152,3 +152,53 @@ def read_bars(spark: SparkSession, directory: str, run_date: str,
         .otherwise(F.from_json(body, schemas.OHLC_ENVELOPE).getField("results"))
     return (raw.select(F.explode(bars).alias("bar"))
             .select(rename_bars("bar").alias("bar")).select("bar.*"))
+
+
+def run_dates_between(start: str, end: str) -> list[str]:
+    """Inclusive list of run dates (parameters, bounded by the range length)."""
+    a = dt.date.fromisoformat(start)
+    b = dt.date.fromisoformat(end)
+    return [(a + dt.timedelta(days=i)).isoformat() for i in range((b - a).days + 1)]
+
+
+def _range_glob(directory: str, run_dates: list[str]) -> str:
+    tokens = ",".join(run_date_token(d) for d in run_dates)
+    return f"{directory.rstrip('/')}/*-{{{tokens}}}.json"
+
+
+def _file_run_date() -> F.Column:
+    """Run date of the file a row came from (``…-YYYYMMDD.json``)."""
+    name = F.col("_metadata.file_name")
+    return F.to_date(F.regexp_extract(name, r"-(\d{8})\.json$", 1), "yyyyMMdd")
+
+
+def read_landing_range(spark: SparkSession, directory: str, run_dates: list[str],
+                       schema: T.StructType, multiline: bool = True) -> DataFrame:
+    """SRC-1/2 over many run dates in ONE scan: every landed file of the
+    dates, each row tagged with the ``run_date`` of its file name.  Dates
+    without a file contribute nothing."""
+    try:
+        df = spark.read.schema(schema).option("multiLine", multiline) \
+            .json(_range_glob(directory, run_dates))
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            raise
+        return empty_frame(spark, T.StructType(schema.fields + [
+            T.StructField("run_date", T.DateType())]))
+    return df.select("*", _file_run_date().alias("run_date"))
+
+
+def read_bars_range(spark: SparkSession, directory: str, run_dates: list[str]) -> DataFrame:
+    """:func:`read_bars` over many run dates in one scan, with ``run_date``."""
+    try:
+        raw = spark.read.option("wholetext", True).text(_range_glob(directory, run_dates))
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            raise
+        return empty_frame(spark, T.StructType(schemas.OHLC.fields + [
+            T.StructField("run_date", T.DateType())]))
+    body = F.trim(F.col("value"))
+    bars = F.when(body.startswith("["), F.from_json(body, T.ArrayType(schemas.OHLC_RAW))) \
+        .otherwise(F.from_json(body, schemas.OHLC_ENVELOPE).getField("results"))
+    return (raw.select(F.explode(bars).alias("bar"), _file_run_date().alias("run_date"))
+            .select(rename_bars("bar").alias("bar"), "run_date").select("bar.*", "run_date"))

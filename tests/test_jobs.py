@@ -216,3 +216,35 @@ def test_stream_increment_rerun_adds_nothing(spark, tmp_dir):
     assert rows(got, "event_id") == [(i,) for i in range(2, 10)]
     run_increment(spark, f"{landing}/*", ev.schema, target, ["event_id"], out, ck)
     assert spark.read.parquet(out).count() == 8
+
+
+def test_backfill_equals_daily_loads(spark, landing, tmp_dir):
+    """BKF-1 invariant: one range job gives the same warehouse as daily runs."""
+    ms = int(dt.datetime(2025, 7, 11).timestamp() * 1000)
+    land(landing, "ohlcs", "20250711", [
+        {"T": "AAA", "v": 5, "vw": 11.0, "o": 11, "c": 12, "h": 12, "l": 10, "t": ms, "n": 2},
+        {"T": "BBB", "v": 6, "vw": 2.0, "o": 2, "c": 2, "h": 2, "l": 2, "t": ms, "n": 1}])
+    land(landing, "news", "20250711", [
+        # re-published: same key as on 07-10 → stays with its first run date
+        news_item("Up", "20250710T101500", [{"topic": "Technology", "relevance_score": "0.2"},
+                                             {"topic": "Energy", "relevance_score": "0.7"}],
+                  [{"ticker": "BBB", "relevance_score": "0.4", "ticker_sentiment_score": "0.2",
+                    "ticker_sentiment_label": "Bullish"}]),
+        news_item("Down", "20250711T090000", [{"topic": "Alpha", "relevance_score": "0.5"}],
+                  [{"ticker": "AAA", "relevance_score": "0.9", "ticker_sentiment_score": "-0.5",
+                    "ticker_sentiment_label": "Bearish"}]),
+    ])
+    ref = os.path.join(tmp_dir, "ref")
+    jobs.run_reference_load(spark, landing, ref, "2025-05-01", "2025-05-01 00:00:00")
+    daily, ranged = os.path.join(tmp_dir, "daily"), os.path.join(tmp_dir, "range")
+    for day in ("2025-07-10", "2025-07-11", "2025-07-12"):
+        jobs.run_daily_load(spark, landing, ref, daily, day)
+    added = jobs.run_backfill(spark, landing, ref, ranged, "2025-07-10", "2025-07-12")
+    assert added["fact_candles"] == 3
+    for name in schemas.WAREHOUSE_TABLES:
+        a = read_table(spark, daily, name)
+        b = read_table(spark, ranged, name)
+        cols = [c for c in a.columns if c != "authors"]
+        assert rows(a, *cols) == rows(b, *cols), name
+    topics = dict((r["name"], r["id"]) for r in read_table(spark, ranged, "dim_topics").collect())
+    assert topics == {"Nope": 1, "Technology": 2, "Alpha": 3, "Energy": 4}
