@@ -248,3 +248,21 @@ def test_backfill_equals_daily_loads(spark, landing, tmp_dir):
         assert rows(a, *cols) == rows(b, *cols), name
     topics = dict((r["name"], r["id"]) for r in read_table(spark, ranged, "dim_topics").collect())
     assert topics == {"Nope": 1, "Technology": 2, "Alpha": 3, "Energy": 4}
+
+
+def test_command_line(spark, landing, tmp_dir, capsys):
+    from marketlake.__main__ import main
+    ref, wh = os.path.join(tmp_dir, "ref"), os.path.join(tmp_dir, "wh")
+    assert main(["reference-load", "--landing", landing, "--ref", ref,
+                 "--run-date", "2025-05-01"], spark) == 0
+    assert main(["backfill", "--landing", landing, "--ref", ref, "--warehouse", wh,
+                 "--start", "2025-07-10", "--end", "2025-07-12"], spark) == 0
+    out = capsys.readouterr().out
+    added = json.loads(out.strip().splitlines()[-1])
+    assert added["fact_candles"] == 1 and added["dim_news"] == 2
+    q = os.path.join(tmp_dir, "quality")
+    assert main(["quality", "--warehouse", wh, "--out", q], spark) == 0
+    assert spark.read.json(q).where("violations > 0").count() == 0
+    e = os.path.join(tmp_dir, "export")
+    assert main(["export", "--warehouse", wh, "--out", e, "--format", "csv"], spark) == 0
+    assert spark.read.option("header", True).csv(f"{e}/dim_news").count() == 2
