@@ -13,11 +13,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` (default: the default
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
+                       by: list[str] | None = None) -> DataFrame:
+    """Spread ``df`` over ``min_partitions`` (default: the default
     parallelism) if it currently has fewer partitions; else return it as is.
-    Only the partition count of the plan is inspected (no job runs)."""
+    Only the partition count of the plan is inspected (no job runs).
+
+    ``by`` hash-partitions on those columns (deterministic on a retry, no
+    pre-sort); without it rows are dealt round-robin."""
     sc = df.sparkSession.sparkContext
     want = min_partitions or sc.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    return df.repartition(want) if have < want else df
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *by) if by else df.repartition(want)

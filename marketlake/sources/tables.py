@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators.parallel import ensure_parallelism
 
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -20,8 +21,19 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Tables whose size grows with the data, and the key each is spread on when
+# its files scan as fewer splits than the cluster has cores.
+SPREAD_KEYS = {"lineitem": ["l_orderkey"], "orders": ["o_orderkey"]}
+
+
 class Tables:
-    """Lazy accessor: ``Tables(spark, d).lineitem`` reads that table once."""
+    """Lazy accessor: ``Tables(spark, d).lineitem`` reads that table once.
+
+    Large tables pass through :func:`ensure_parallelism`: when the files
+    scan as fewer splits than the session's parallelism (one big row group)
+    the rows are hash-spread on the table key before any work; on a cluster
+    with many splits this is a no-op.  Column pruning and filters still
+    reach the scan below the spread."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self._cache = spark, sf_dir, {}
@@ -30,7 +42,10 @@ class Tables:
         if name.startswith("_") or name not in DRIVER_TABLES:
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = driver_table(self.spark, self.sf_dir, name)
+            df = driver_table(self.spark, self.sf_dir, name)
+            if name in SPREAD_KEYS:
+                df = ensure_parallelism(df, by=SPREAD_KEYS[name])
+            self._cache[name] = df
         return self._cache[name]
 
 
