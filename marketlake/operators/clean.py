@@ -23,8 +23,9 @@ def allowlist(df: DataFrame, col: str, allowed: list, **equals) -> DataFrame:
 
 def rename_fields(df: DataFrame, mapping: dict[str, str], keep_only: bool = True) -> DataFrame:
     """PRJ-1/PRJ-2: pick and rename fields (``{source: target}``) in one
-    projection.  Missing source fields become typed nulls is NOT done here:
-    read with an explicit schema instead."""
+    projection (``keep_only=False`` renames and keeps the other columns).
+    Fields a file may lack are handled by reading with an explicit schema,
+    which yields typed nulls."""
     if keep_only:
         return df.select(*[F.col(f"`{s}`").alias(t) for s, t in mapping.items()])
     return df.withColumnsRenamed(mapping)

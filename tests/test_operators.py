@@ -208,3 +208,16 @@ def test_allowlist_and_drop_incomplete(spark):
     clean = op.drop_incomplete_distinct(df)
     kept = op.allowlist(clean, "exchange", ["NASDAQ", "NYSE"], currency="USD")
     assert rows(kept, "sector") == [("",), ("x",)]
+
+
+def test_unwrap_envelope_required_and_optional(spark):
+    from pyspark.sql import types as T
+    from marketlake.sources import unwrap_envelope
+    payload = T.StructType([T.StructField("k", T.LongType())])
+    df = spark.createDataFrame([(1, '{"feed": [{"k": 1}, {"k": 2}]}'), (2, '{"feed": []}'),
+                                (3, '{"other": 1}')], "id int, body string")
+    req = unwrap_envelope(df, "body", "feed", payload, required=True)
+    assert rows(req, "id", "_envelope_error", "k") == [(1, False, 1), (1, False, 2),
+                                                       (3, True, None)]
+    opt = unwrap_envelope(df, "body", "feed", payload, required=False)
+    assert rows(opt, "id", "k") == [(1, 1), (1, 2)]
