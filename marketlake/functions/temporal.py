@@ -62,3 +62,9 @@ def calendar_columns(date_col) -> list[Column]:
         F.quarter(d).cast("string").alias("quarter"),
         F.year(d).cast("int").alias("year"),
     ]
+
+
+def published_day(c) -> Column:
+    """``yyyymmdd`` (int) of a ``YYYYMMDDTHHMMSS`` publication time — the
+    partition of a news row; null when the text is malformed."""
+    return F.substring(_c(c), 1, 8).try_cast("int")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_id
-from ..functions.temporal import calendar_columns, time_id
+from ..functions.temporal import calendar_columns, published_day, time_id
 from ..operators.keys import assign_dense_ids, max_id
 from ..operators.merge import insert_new
 from ..sources.landing import day_range
@@ -107,15 +107,22 @@ def news_rows(news: DataFrame, run_date) -> DataFrame:
     cols = ["title", "url", "time_published", "authors", "summary", "source",
             "overall_sentiment_score", "overall_sentiment_label"]
     return news.select(hash_id(NEWS_KEY).alias("id"), *cols,
-                       time_id(as_date(run_date)).alias("time_id"))
+                       time_id(as_date(run_date)).alias("time_id"),
+                       published_day("time_published").alias("published_day"))
 
 
 def new_news(dim_news: DataFrame, news: DataFrame, run_date) -> DataFrame:
     """DIM-5: articles not in dim_news yet (key title, url, time_published),
     one row per key — for a range, the one of the earliest run date (its
-    ``time_id``), as daily runs would have stored."""
+    ``time_id``), as daily runs would have stored.  A row whose publication
+    time does not parse has no ``published_day`` and is left out (it would
+    break the CHAR(15) rule; see ``warehouse_quality`` / ``null_key_rows``)."""
     rows = news_rows(news, run_date)
     tie = ["source", "url"]                  # inside one run: the largest wins
+    # published_day is a function of the key, so the target is read only in
+    # the partitions (publication days) the batch touches
+    keys = NEWS_KEY + ["published_day"]
     if isinstance(run_date, F.Column):       # over a range: earliest run first
-        return insert_new(dim_news, rows, NEWS_KEY, order_by=[F.col("time_id") * -1, *tie])
-    return insert_new(dim_news, rows, NEWS_KEY, order_by=tie)
+        return insert_new(dim_news, rows, keys, order_by=[F.col("time_id") * -1, *tie],
+                          prune_on="published_day")
+    return insert_new(dim_news, rows, keys, order_by=tie, prune_on="published_day")

@@ -2,7 +2,10 @@
 
 Scale notes: every fact row derives its news id from the article row
 (``xxhash64`` of title, url, time_published), so the link to ``dim_news`` is
-an existence check on one long, not a join on long text.  Topic and company
+an existence check on one long, not a join on long text.  The bridges are
+partitioned by the article's publication day (also derived from the row),
+so the daily insert-if-new reads only the partitions of the batch's days,
+not the whole history.  Topic and company
 dimensions are looked up with inner equi-joins that AQE turns into broadcast
 joins while they are small; nothing is collected.
 """
@@ -13,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_id
-from ..functions.temporal import epoch_ms_to_ts, time_id
+from ..functions.temporal import epoch_ms_to_ts, published_day, time_id
 from ..operators.keys import latest_id_per_key
 from ..operators.merge import insert_new
 from .dims import NEWS_KEY
@@ -31,14 +34,17 @@ def topic_links(news: DataFrame, dim_topics: DataFrame, dim_news: DataFrame,
     join: unknown topics are dropped), the article against ``dim_news``
     (semi join on the derived id: articles not stored are dropped)."""
     exploded = news.select(hash_id(NEWS_KEY).alias("new_id"), *_first_cols(news, first_by),
+                           published_day("time_published").alias("published_day"),
                            F.explode("topics").alias("t"))
     links = exploded.select(
-        "new_id", *(["_first"] if first_by else []), F.col("t.topic").alias("name"),
+        "new_id", "published_day", *(["_first"] if first_by else []),
+        F.col("t.topic").alias("name"),
         F.col("t.relevance_score").try_cast("double").alias("relevance_score"))
     topics = dim_topics.select(F.col("id").alias("topic_id"), "name")
     return (links.join(topics, "name")
             .join(dim_news.select(F.col("id").alias("new_id")), "new_id", "left_semi")
-            .select("new_id", "topic_id", "relevance_score", *(["_first"] if first_by else [])))
+            .select("new_id", "topic_id", "relevance_score", "published_day",
+                    *(["_first"] if first_by else [])))
 
 
 def _dedupe_order(first_by, *tie):
@@ -54,9 +60,10 @@ def new_topic_links(fact: DataFrame, news: DataFrame, dim_topics: DataFrame,
                     dim_news: DataFrame, first_by: str | None = None) -> DataFrame:
     """FCT-1: bridge rows not stored yet (key new_id, topic_id), with ids."""
     rows = insert_new(fact, topic_links(news, dim_topics, dim_news, first_by),
-                      ["new_id", "topic_id"], **_dedupe_order(first_by, "relevance_score"))
+                      ["new_id", "topic_id", "published_day"], prune_on="published_day",
+                      **_dedupe_order(first_by, "relevance_score"))
     return rows.select(hash_id(["new_id", "topic_id"]).alias("id"), "new_id", "topic_id",
-                       "relevance_score")
+                       "relevance_score", "published_day")
 
 
 def company_links(news: DataFrame, dim_companies: DataFrame, dim_news: DataFrame,
@@ -64,9 +71,11 @@ def company_links(news: DataFrame, dim_companies: DataFrame, dim_news: DataFrame
     """FCT-2 rows: one mention per (article, ticker) with its sentiment; each
     ticker resolves to the id of its latest company row (KEY-3)."""
     exploded = news.select(hash_id(NEWS_KEY).alias("new_id"), *_first_cols(news, first_by),
+                           published_day("time_published").alias("published_day"),
                            F.explode("ticker_sentiment").alias("s"))
     links = exploded.select(
-        "new_id", *(["_first"] if first_by else []), F.col("s.ticker").alias("ticker"),
+        "new_id", "published_day", *(["_first"] if first_by else []),
+        F.col("s.ticker").alias("ticker"),
         F.col("s.relevance_score").try_cast("double").alias("relevance_score"),
         F.col("s.ticker_sentiment_score").try_cast("double").alias("ticker_sentiment_score"),
         F.col("s.ticker_sentiment_label").alias("ticker_sentiment_label"))
@@ -75,17 +84,19 @@ def company_links(news: DataFrame, dim_companies: DataFrame, dim_news: DataFrame
     return (links.join(latest, "ticker")
             .join(dim_news.select(F.col("id").alias("new_id")), "new_id", "left_semi")
             .select("new_id", "company_id", "relevance_score", "ticker_sentiment_score",
-                    "ticker_sentiment_label", *(["_first"] if first_by else [])))
+                    "ticker_sentiment_label", "published_day",
+                    *(["_first"] if first_by else [])))
 
 
 def new_company_links(fact: DataFrame, news: DataFrame, dim_companies: DataFrame,
                       dim_news: DataFrame, first_by: str | None = None) -> DataFrame:
     """FCT-2: bridge rows not stored yet (key new_id, company_id), with ids."""
     rows = insert_new(fact, company_links(news, dim_companies, dim_news, first_by),
-                      ["new_id", "company_id"],
+                      ["new_id", "company_id", "published_day"], prune_on="published_day",
                       **_dedupe_order(first_by, "ticker_sentiment_score", "relevance_score"))
     return rows.select(hash_id(["new_id", "company_id"]).alias("id"), "new_id", "company_id",
-                       "relevance_score", "ticker_sentiment_score", "ticker_sentiment_label")
+                       "relevance_score", "ticker_sentiment_score", "ticker_sentiment_label",
+                       "published_day")
 
 
 def candle_rows(bars: DataFrame, dim_companies: DataFrame, run_date=None) -> DataFrame:

@@ -175,9 +175,11 @@ WAREHOUSE_DDL = {
     "fact_news_topics": schemas.FACT_NEWS_TOPICS,
 }
 
-# facts are partitioned by day so that an insert-if-new load reads only the
-# days it touches and a re-run of a day never scans history
-PARTITIONS = {"fact_candles": "time_id", "dim_news": "time_id"}
+# facts are partitioned by day (candles: trading day; news and its bridges:
+# publication day) so an insert-if-new load reads only the days it touches
+# and a re-run of a day never scans history
+PARTITIONS = {"fact_candles": "time_id", "dim_news": "published_day",
+              "fact_news_topics": "published_day", "fact_news_companies": "published_day"}
 
 
 def read_warehouse(spark: SparkSession, root: str, name: str) -> DataFrame:

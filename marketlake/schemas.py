@@ -98,11 +98,14 @@ DIM_COMPANIES = T.StructType(
 
 DIM_TOPICS = _struct(("id", L), ("name", S))
 
+# News tables carry ``published_day`` (yyyymmdd of ``time_published``) as
+# their partition column: the natural key contains the publication time, so
+# an insert-if-new only has to read the partitions of the batch's days.
 DIM_NEWS = _struct(
     ("id", L), ("title", S), ("url", S), ("time_published", S)).add(
     "authors", T.ArrayType(S)).add("summary", S).add("source", S).add(
     "overall_sentiment_score", D).add("overall_sentiment_label", S).add(
-    "time_id", T.IntegerType())
+    "time_id", T.IntegerType()).add("published_day", T.IntegerType())
 
 FACT_CANDLES = _struct(
     ("id", L), ("company_id", L), ("volume", L), ("volume_weighted", D), ("open", D),
@@ -111,9 +114,11 @@ FACT_CANDLES = _struct(
 
 FACT_NEWS_COMPANIES = _struct(
     ("id", L), ("company_id", L), ("new_id", L), ("relevance_score", D),
-    ("ticker_sentiment_score", D), ("ticker_sentiment_label", S))
+    ("ticker_sentiment_score", D), ("ticker_sentiment_label", S)).add(
+    "published_day", T.IntegerType())
 
-FACT_NEWS_TOPICS = _struct(("id", L), ("new_id", L), ("topic_id", L), ("relevance_score", D))
+FACT_NEWS_TOPICS = _struct(("id", L), ("new_id", L), ("topic_id", L), ("relevance_score", D)).add(
+    "published_day", T.IntegerType())
 
 WAREHOUSE_TABLES = (
     "dim_time", "dim_companies", "dim_topics", "dim_news",

@@ -63,3 +63,23 @@ def test_broadcast_if_small(spark):
     small, big = spark.range(5), spark.range(1000)
     assert "BroadcastHashJoin" in plan(big.join(broadcast_if_small(small, 10), "id"), "simple")
     assert broadcast_if_small(small, 2) is small        # over the bound: left as is
+
+
+def test_insert_new_reads_only_touched_partitions(spark, tmp_dir):
+    """A day-partitioned target is pruned at run time to the days of a batch
+    read from the lake (dynamic partition pruning through the broadcast
+    semi join of ``prune_on``)."""
+    from pyspark.sql import functions as F
+    from marketlake import operators as op
+    spark.range(0, 3000).select((F.col("id") % 1000).alias("k"),
+                                (F.lit(20250701) + F.col("id") / 1000).cast("int").alias("day")) \
+        .write.partitionBy("day").parquet(f"{tmp_dir}/t")
+    spark.createDataFrame([(1, 20250702, "2025-07-10"), (5000, 20250702, "2025-07-10"),
+                           (7, 20250703, "2025-07-09")], "k long, day int, run_date string") \
+        .write.partitionBy("run_date").parquet(f"{tmp_dir}/lake")
+    target = spark.read.parquet(f"{tmp_dir}/t")
+    batch = spark.read.parquet(f"{tmp_dir}/lake").where(F.col("run_date") == "2025-07-10") \
+        .drop("run_date")
+    new = op.insert_new(target, batch, ["k", "day"], dedupe_batch=False, prune_on="day")
+    assert "dynamicpruningexpression(day" in plan(new)
+    assert sorted(tuple(r) for r in new.collect()) == [(5000, 20250702)]
