@@ -28,7 +28,7 @@ def null_key_rows(batch: DataFrame, keys: list[str]) -> DataFrame:
 
 def insert_new(target: DataFrame, batch: DataFrame, keys: list[str], order_by=None,
                dedupe_batch: bool = True, prune_on: str | None = None,
-               descending: bool = True) -> DataFrame:
+               descending: bool = True, touched=None) -> DataFrame:
     """MRG-3 (JON-8/9/10/11): the batch rows whose key is not yet in ``target``.
 
     * null key parts are removed (see :func:`null_key_rows`): a stored key is
@@ -40,10 +40,12 @@ def insert_new(target: DataFrame, batch: DataFrame, keys: list[str], order_by=No
       of a new key is returned, as a plain ``NOT IN`` insert would do;
     * the anti-join is a ``left_anti`` equi-join on all key columns — never a
       tuple ``NOT IN``, which plans as a nested-loop join;
-    * ``prune_on`` names a partition column that is part of the key: the
-      target is first semi-joined to the batch's values of that column, so a
-      date-partitioned fact only reads the days the batch touches (dynamic
-      partition pruning).
+    * ``prune_on`` names a partition column that is part of the key (or a
+      function of it): the target is restricted to the partitions the batch
+      touches.  ``touched`` says which: a list of values (known up front,
+      e.g. the run date — static pruning at planning, no extra pass), a
+      DataFrame holding a superset of the values (semi join → dynamic
+      partition pruning), or None for the batch's own distinct values.
     """
     batch = batch.where(_all([F.col(k).isNotNull() for k in keys]))
     if dedupe_batch:
@@ -51,11 +53,14 @@ def insert_new(target: DataFrame, batch: DataFrame, keys: list[str], order_by=No
             order_by = keys
         batch = latest_per_key(batch, keys, order_by, descending=descending)
     existing = target.select(*keys)
-    if prune_on:
+    if prune_on and isinstance(touched, (list, tuple, set)):
+        existing = existing.where(F.col(prune_on).isin(list(touched)))
+    elif prune_on:
         # distinct partition values (days): bounded by the calendar → broadcast,
         # which also lets dynamic partition pruning skip untouched directories
-        touched = F.broadcast(batch.select(prune_on).distinct())
-        existing = existing.join(touched, prune_on, "left_semi")
+        values = batch if touched is None else touched
+        days = F.broadcast(values.select(prune_on).distinct())
+        existing = existing.join(days, prune_on, "left_semi")
     return batch.join(existing, keys, "left_anti")
 
 

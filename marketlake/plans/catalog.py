@@ -661,8 +661,9 @@ def insert_new_exists(spark, d):
              .agg(F.sum("l_quantity").alias("volume")))
     target = t.orders.select(F.col("o_custkey").alias("company_id"),
                              time_id("o_orderdate").alias("time_id"))
+    days = t.lineitem.select(time_id("l_shipdate").alias("time_id"))   # cheap superset
     return op.insert_new(target, batch, ["company_id", "time_id"], dedupe_batch=False,
-                         prune_on="time_id")
+                         prune_on="time_id", touched=days)
 
 
 @query("dim_time", """
@@ -824,7 +825,10 @@ def fact_candles(spark, d):
                                   F.lit(RUN_TS).cast("timestamp_ntz").alias("updated_time"))
     early = t.events.where(F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz"))
     stored = facts.candle_rows(_event_bars(early), companies)
-    rows = facts.new_candles(stored, _event_bars(t.events), companies)
+    # the bars' days, read straight off the raw event times (a superset of
+    # the candle days) — pruning the stored facts without re-running the bars
+    days = t.events.select(time_id(F.to_date("ts")).alias("time_id"))
+    rows = facts.new_candles(stored, _event_bars(t.events), companies, days=days)
     return rows.drop("id")
 
 

@@ -122,7 +122,9 @@ def new_news(dim_news: DataFrame, news: DataFrame, run_date) -> DataFrame:
     # published_day is a function of the key, so the target is read only in
     # the partitions (publication days) the batch touches
     keys = NEWS_KEY + ["published_day"]
+    days = news.select(published_day("time_published").alias("published_day"))
     if isinstance(run_date, F.Column):       # over a range: earliest run first
         return insert_new(dim_news, rows, keys, order_by=[F.col("time_id") * -1, *tie],
-                          prune_on="published_day")
-    return insert_new(dim_news, rows, keys, order_by=tie, prune_on="published_day")
+                          prune_on="published_day", touched=days)
+    return insert_new(dim_news, rows, keys, order_by=tie, prune_on="published_day",
+                      touched=days)

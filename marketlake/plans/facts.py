@@ -47,6 +47,12 @@ def topic_links(news: DataFrame, dim_topics: DataFrame, dim_news: DataFrame,
                     *(["_first"] if first_by else [])))
 
 
+def _news_days(news: DataFrame) -> DataFrame:
+    """Publication days of the batch's articles — read off the article rows
+    (one pruned column), a superset of the days of any bridge row."""
+    return news.select(published_day("time_published").alias("published_day"))
+
+
 def _dedupe_order(first_by, *tie):
     """Inside one run the largest ``tie`` wins; over a range the earliest run
     date wins first (negated day number), then the same ``tie`` rule — what a
@@ -61,7 +67,7 @@ def new_topic_links(fact: DataFrame, news: DataFrame, dim_topics: DataFrame,
     """FCT-1: bridge rows not stored yet (key new_id, topic_id), with ids."""
     rows = insert_new(fact, topic_links(news, dim_topics, dim_news, first_by),
                       ["new_id", "topic_id", "published_day"], prune_on="published_day",
-                      **_dedupe_order(first_by, "relevance_score"))
+                      touched=_news_days(news), **_dedupe_order(first_by, "relevance_score"))
     return rows.select(hash_id(["new_id", "topic_id"]).alias("id"), "new_id", "topic_id",
                        "relevance_score", "published_day")
 
@@ -93,6 +99,7 @@ def new_company_links(fact: DataFrame, news: DataFrame, dim_companies: DataFrame
     """FCT-2: bridge rows not stored yet (key new_id, company_id), with ids."""
     rows = insert_new(fact, company_links(news, dim_companies, dim_news, first_by),
                       ["new_id", "company_id", "published_day"], prune_on="published_day",
+                      touched=_news_days(news),
                       **_dedupe_order(first_by, "ticker_sentiment_score", "relevance_score"))
     return rows.select(hash_id(["new_id", "company_id"]).alias("id"), "new_id", "company_id",
                        "relevance_score", "ticker_sentiment_score", "ticker_sentiment_label",
@@ -130,9 +137,15 @@ def candle_rows(bars: DataFrame, dim_companies: DataFrame, run_date=None) -> Dat
 
 
 def new_candles(fact: DataFrame, bars: DataFrame, dim_companies: DataFrame,
-                run_date=None) -> DataFrame:
+                run_date=None, days=None) -> DataFrame:
     """FCT-3: candles whose (company_id, time_id) is not stored yet.  The
-    anti-join reads only the fact partitions (time_id) the batch touches."""
+    anti-join reads only the fact partitions (time_id) the batch touches:
+    ``days`` when the caller knows them (a list: a run date, a backfill
+    range; or a cheap DataFrame superset with a ``time_id`` column), else
+    the batch's own days."""
+    if days is None and run_date is not None and not isinstance(run_date, F.Column):
+        days = [int(str(run_date).replace("-", "")[:8])]
     rows = insert_new(fact, candle_rows(bars, dim_companies, run_date), ["company_id", "time_id"],
-                      order_by=["company_id", "time_id", "time_stamp"], prune_on="time_id")
+                      order_by=["company_id", "time_id", "time_stamp"], prune_on="time_id",
+                      touched=days)
     return rows.select(hash_id(["company_id", "time_id"]).alias("id"), *rows.columns)

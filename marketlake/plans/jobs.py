@@ -312,8 +312,9 @@ def run_backfill(spark: SparkSession, landing: str, ref_root: str, root: str, st
     added = {name: _append(spark, rows, root, name) for name, rows in new_dims.items()}
     wh = {n: read_warehouse(spark, root, n) for n in WAREHOUSE_DDL}
     new_facts = {
-        "fact_candles": facts.new_candles(wh["fact_candles"], bars, wh["dim_companies"],
-                                          F.col("run_date")),
+        "fact_candles": facts.new_candles(
+            wh["fact_candles"], bars, wh["dim_companies"], F.col("run_date"),
+            days=[int(d.replace("-", "")) for d in run_dates_between(start, end)]),
         "fact_news_topics": facts.new_topic_links(wh["fact_news_topics"], news,
                                                   wh["dim_topics"], wh["dim_news"],
                                                   first_by="run_date"),
