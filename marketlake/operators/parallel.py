@@ -15,14 +15,19 @@ from pyspark.sql import DataFrame
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
                        by: list[str] | None = None) -> DataFrame:
-    """Spread ``df`` over ``min_partitions`` (default: the default
-    parallelism) if it currently has fewer partitions; else return it as is.
+    """Spread ``df`` if it has fewer partitions than ``min_partitions``
+    (default: the default parallelism, i.e. the cores); else return it as is.
     Only the partition count of the plan is inspected (no job runs).
 
     ``by`` hash-partitions on those columns (deterministic on a retry, no
-    pre-sort); without it rows are dealt round-robin."""
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
+    pre-sort) into ``spark.sql.shuffle.partitions`` parts — the count later
+    joins on the same key use, so such a join finds its side already
+    partitioned; without ``by`` rows are dealt round-robin."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
-    return df.repartition(want, *by) if by else df.repartition(want)
+    if by:
+        n = max(want, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return df.repartition(n, *by)
+    return df.repartition(want)
