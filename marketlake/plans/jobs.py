@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.temporal import epoch_ms_to_ts
+from ..functions.temporal import epoch_ms_to_ts, published_day
 from ..operators.keys import assign_dense_ids, latest_per_key, max_id, resolve_fk
 from ..operators.merge import insert_ignore, upsert
 from ..operators.quality import check_fk, check_unique, profile
-from ..sinks.writers import append_rows, read_snapshot, write_run_date, write_snapshot
+from ..sinks.writers import (append_rows, observed_rows, read_snapshot, write_run_date,
+                             write_snapshot)
 from ..sources.landing import (empty_frame, read_bars, read_bars_range, read_lake,
                                read_landing, read_landing_range, run_date_filter,
                                run_dates_between)
@@ -240,23 +241,54 @@ def read_day(spark: SparkSession, lake: str, prefix: str, schema, run_date) -> D
                      schema=full).drop("run_date")
 
 
+def daily_quarantine(news: DataFrame, bars: DataFrame, dim_companies: DataFrame,
+                     run_date) -> DataFrame:
+    """DQ-5 for flow B: the landed rows a daily load leaves out, with why.
+
+    Articles whose key (title, url, time_published) has a null part or whose
+    publication time does not parse; bars without a weighted price (FLT-5)
+    or whose ticker is not a company.  One row per left-out input row:
+    ``(run_date, source, reason, row)`` with the row as JSON text."""
+    key_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in dims.NEWS_KEY])
+    bad_time = published_day("time_published").isNull()
+    news_bad = news.where(key_null | bad_time).select(
+        F.lit("news").alias("source"),
+        F.when(key_null, F.lit("null title/url/time_published"))
+        .otherwise(F.lit("unparseable time_published")).alias("reason"),
+        F.to_json(F.struct(*news.columns)).alias("row"))
+    tickers = dim_companies.select("ticker").distinct()
+    unknown = bars.join(tickers, "ticker", "left_anti").select(
+        F.lit("ohlcs").alias("source"), F.lit("unknown ticker").alias("reason"),
+        F.to_json(F.struct(*bars.columns)).alias("row"))
+    no_vw = bars.join(tickers, "ticker", "left_semi").where(
+        F.col("volume_weighted").isNull()).select(
+        F.lit("ohlcs").alias("source"), F.lit("null volume_weighted").alias("reason"),
+        F.to_json(F.struct(*bars.columns)).alias("row"))
+    return (news_bad.unionByName(unknown).unionByName(no_vw)
+            .withColumn("run_date", dims.as_date(run_date)))
+
+
 def run_daily_load(spark: SparkSession, landing: str, ref_root: str, root: str, run_date: str,
-                   lake: str | None = None):
+                   lake: str | None = None, extract_as_of=None):
     """Daily flow B end to end for one run date.
 
     The landed news and bars of ``run_date`` are first converted into the
     parquet lake (``lake``, default ``{root}/_lake``); a missing drop is an
-    empty day.  The reference snapshots give the company extract (DIM-1).
-    The dimensions are appended first and re-read, then the facts; every step
-    is insert-if-new, so running a day twice changes nothing.  Returns the
-    number of rows appended per table (observed during the writes)."""
+    empty day.  The reference snapshots give the company extract (DIM-1;
+    ``extract_as_of`` keeps only companies changed on that day, default:
+    every current company — dim_companies is insert-new by ticker, so the
+    superset is safe).  The dimensions are appended first and re-read, then
+    the facts; every step is insert-if-new, so running a day twice changes
+    nothing.  Rows left out go to ``{root}/_quarantine/run_date=…`` with a
+    reason.  Returns the number of rows appended per table (observed during
+    the writes)."""
     lake = lake or f"{root.rstrip('/')}/_lake"
     ingest_landing(spark, landing, lake, run_date)
     news = read_day(spark, lake, "news", schemas.NEWS_RAW, run_date)
     bars = read_day(spark, lake, "ohlcs", schemas.OHLC, run_date)
     ref = {n: read_snapshot(spark, ref_root, n) for n in REF_SCHEMAS}
     extract = dims.company_extract(ref["companies"], ref["exchanges"], ref["regions"],
-                                   ref["industries"], ref["sic_industries"])
+                                   ref["industries"], ref["sic_industries"], as_of=extract_as_of)
     wh = {n: read_warehouse(spark, root, n) for n in WAREHOUSE_DDL}
     added = {}
     for name, rows in new_dimension_rows(wh, extract, news, bars, run_date).items():
@@ -264,9 +296,22 @@ def run_daily_load(spark: SparkSession, landing: str, ref_root: str, root: str,
     wh = {n: read_warehouse(spark, root, n) for n in WAREHOUSE_DDL}
     for name, rows in new_fact_rows(wh, news, bars, run_date).items():
         added[name] = _append(spark, rows, root, name)
+    bad = daily_quarantine(news, bars, wh["dim_companies"], run_date)
+    write_run_date(bad, root, "_quarantine")
+    added["quarantine"] = _quarantined(spark, root, run_date)
     return added
 
 
+def _quarantined(spark: SparkSession, root: str, run_date: str) -> int:
+    """Rows quarantined for one run date: a count of that one (small,
+    partition-pruned) directory; an empty day may have written nothing."""
+    try:
+        q = spark.read.parquet(f"{root.rstrip('/')}/_quarantine")
+    except Exception:  # noqa: BLE001 — nothing quarantined yet
+        return 0
+    return q.where(F.col("run_date") == F.lit(run_date).cast("date")).count()
+
+
 def ingest_range(spark: SparkSession, landing: str, lake: str, run_dates: list[str]) -> None:
     """BKF-1 landing hop: every landed news and bars file of ``run_dates`` in
     ONE scan each (each row tagged with the run date of its file name),
@@ -334,7 +379,7 @@ def _append(spark: SparkSession, rows: DataFrame, root: str, name: str) -> int:
     seen = Observation(f"append_{name}")
     observed = rows.select(*cols).observe(seen, F.count(F.lit(1)).alias("rows"))
     append_rows(observed, path, cols, partition_by=PARTITIONS.get(name))
-    return int(seen.get.get("rows", 0))
+    return observed_rows(seen, lambda: 0)   # a collapsed plan means no rows
 
 
 def warehouse_quality(wh: dict[str, DataFrame]) -> DataFrame:

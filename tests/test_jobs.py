@@ -146,6 +146,10 @@ def test_reference_load_and_daily_load(spark, landing, tmp_dir):
     assert added["fact_candles"] == 1             # BBB null vw dropped, ZZZ unknown dropped
     assert added["fact_news_topics"] == 2         # Up×Technology, Up×Nope ("Quiet" has none)
     assert added["fact_news_companies"] == 1      # AAA only; ZZZ not a company
+    assert added["quarantine"] == 2               # ZZZ bar (unknown ticker), BBB bar (null vw)
+    q = spark.read.parquet(os.path.join(wh, "_quarantine"))
+    assert rows(q, "source", "reason") == [("ohlcs", "null volume_weighted"),
+                                           ("ohlcs", "unknown ticker")]
     candles = read_table(spark, wh, "fact_candles", time_id="20250710")
     c = candles.first()
     assert c["volume"] == 3_000_000_000 and c["is_otc"] is False
@@ -164,7 +168,9 @@ def test_reference_load_and_daily_load(spark, landing, tmp_dir):
 
     # a re-run of the day appends nothing
     again = jobs.run_daily_load(spark, landing, ref, wh, "2025-07-10")
-    assert set(again.values()) == {0}
+    assert {v for k, v in again.items() if k != "quarantine"} == {0}
+    # the day's quarantine is rewritten, not appended, on a re-run
+    assert spark.read.parquet(os.path.join(wh, "_quarantine")).count() == 2
     # an empty trading day is a no-op, not an error
     assert set(jobs.run_daily_load(spark, landing, ref, wh, "2025-07-12").values()) <= {0, 1}
 
