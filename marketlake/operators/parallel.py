@@ -24,8 +24,12 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
     joins on the same key use, so such a join finds its side already
     partitioned; without ``by`` rows are dealt round-robin."""
     spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 — e.g. a Spark Connect session: leave as is
+        return df
+    if have >= want:
         return df
     if by:
         n = max(want, int(spark.conf.get("spark.sql.shuffle.partitions")))
