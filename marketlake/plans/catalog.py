@@ -1058,6 +1058,23 @@ def reference_load_report(spark, d):
     return report
 
 
+@query("company_extract", f"""
+WITH geo AS (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey)
+SELECT c_name AS name, 'T' || CAST(c_custkey AS VARCHAR) AS ticker, c_acctbal < 0 AS is_delisted,
+       'CS' AS category, 'USD' AS currency, n_name AS location, n_name AS exchange,
+       r_name AS region, c_mktsegment AS industry, r_name AS sector,
+       c_mktsegment AS sic_industry, n_name AS sic_sector, TIMESTAMP '{RUN_TS}' AS updated_time
+FROM customer JOIN geo ON c_nationkey = n_nationkey
+""")
+def company_extract_q(spark, d):
+    """DIM-1 over the loaded reference snapshot: the companies changed on
+    the run day, denormalised through four left joins."""
+    tables, _, _ = _reference_tables(spark, d)
+    return dims.company_extract(tables["companies"], tables["exchanges"], tables["regions"],
+                                tables["industries"], tables["sic_industries"],
+                                as_of=RUN_TS[:10])
+
+
 def entry_query(spark, sf_dir):
     """The flagship query (QRY-9/10): top-10 tickers by traded volume."""
     return topk_volume(spark, sf_dir)
