@@ -53,7 +53,11 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-# Fixed parameters of the driver queries (run dates, thresholds).
+# Fixed parameters of the driver queries (run dates, thresholds).  Every query
+# still reads its whole tables: KNOWN_NATIONS_BELOW shapes the *dimension* a
+# foreign key is resolved against (venues not loaded yet), so that the whole
+# customer table has both resolvable rows and rows for quarantine; the
+# UPSERT_* dates split orders into a stored base and an overlapping delta.
 RUN_DAY = "1997-03-15"
 RUN_TS = "2025-07-10 00:00:00"
 RUN_TIME_ID = 20250710
