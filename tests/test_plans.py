@@ -83,3 +83,17 @@ def test_insert_new_reads_only_touched_partitions(spark, tmp_dir):
     new = op.insert_new(target, batch, ["k", "day"], dedupe_batch=False, prune_on="day")
     assert "dynamicpruningexpression(day" in plan(new)
     assert sorted(tuple(r) for r in new.collect()) == [(5000, 20250702)]
+
+
+def test_hot_day_is_never_shuffled_by_day(spark):
+    """SET-2 on a batch where one day holds most rows: the per-day counts are
+    broadcast back, so no exchange partitions the rows by run_date."""
+    p = plan(Q["capped_batches"](spark, SF))
+    assert "BroadcastHashJoin" in p
+    assert "Exchange hashpartitioning(run_date" not in p
+
+
+def test_counts_combine_before_the_shuffle(spark):
+    for name in ("count_by_exchange", "dq_unique", "daily_totals", "mentions_star"):
+        p = plan(Q[name](spark, SF), "simple")
+        assert "partial_count" in p or "partial_sum" in p, name
