@@ -26,9 +26,11 @@ def write_run_date(df: DataFrame, root: str, prefix: str, run_date_col: str = "r
 
     Dynamic partition overwrite replaces only the run dates present in the
     batch, so re-running a day is idempotent and other days are untouched.
-    Rows are clustered by the partition column first so each task writes
-    few files per date (no small-file storm)."""
-    (df.repartition(run_date_col)
+    The ``rebalance`` hint clusters rows by the partition column, so each
+    date gets few files (no small-file storm), and lets AQE split a hot date
+    over several tasks and files (no single straggler writing a third of the
+    data)."""
+    (df.hint("rebalance", run_date_col)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(run_date_col).format(fmt).save(f"{root.rstrip('/')}/{prefix}"))
 
@@ -36,11 +38,15 @@ def write_run_date(df: DataFrame, root: str, prefix: str, run_date_col: str = "r
 def append_rows(df: DataFrame, path: str, columns: list[str],
                 partition_by: str | None = None) -> None:
     """SNK-4: ``INSERT INTO t(cols) SELECT cols`` — append with an explicit
-    column list (after an insert-if-new anti-join, MRG-3)."""
-    w = df.select(*columns).write.mode("append")
+    column list (after an insert-if-new anti-join, MRG-3).  A partitioned
+    append is rebalanced on the partition column: few, evenly sized files per
+    day, a hot day split by AQE over several tasks."""
+    rows = df.select(*columns)
     if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+        rows.hint("rebalance", partition_by).write.mode("append") \
+            .partitionBy(partition_by).parquet(path)
+    else:
+        rows.write.mode("append").parquet(path)
 
 
 # ---- versioned snapshots (reference tables) --------------------------------
