@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the vendor's publication-time text format.
 COMPACT_TS_FORMAT = "yyyyMMdd'T'HHmmss"
 
 

@@ -14,6 +14,9 @@ def _struct(*fields):
 
 
 # ---- landing shapes -------------------------------------------------------
+# The vendor's field names and types (landing JSON), the
+# vendor→column renames and the target column lists below must equal the
+# source data and the warehouse DDL.
 
 MARKETS = _struct(
     ("market_type", S), ("region", S), ("primary_exchanges", S), ("local_open", S),
