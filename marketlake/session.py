@@ -67,15 +67,18 @@ def apply_defaults(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only if unset."""
-    current = spark.conf.get(CHECKPOINT_CONF, None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    """Return the shared checkpoint folder; create a local one only if unset.
+
+    ``spark.checkpoint.dir`` is read from the session (the cluster's shared
+    folder).  Only when it is absent — tests, a bare local session — is a
+    local folder created; it is registered with the SparkContext (the core
+    setting itself cannot be changed on a running session)."""
+    sc = spark.sparkContext
+    current = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="marketlake-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
 
 
