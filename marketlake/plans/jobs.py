@@ -68,8 +68,10 @@ def _fill_ids(df: DataFrame, order_by: list[str], start: int, id_col: str = "id"
     checkpoint folder): later steps read it instead of re-running the merge
     — this cuts the lineage between the FK-ordered steps."""
     merged = df.checkpoint(eager=True)
-    have = merged.where(F.col(id_col).isNotNull())
     new = merged.where(F.col(id_col).isNull()).drop(id_col)
+    if new.limit(1).count() == 0:      # no new key this run (the usual month)
+        return merged
+    have = merged.where(F.col(id_col).isNotNull())
     numbered = assign_dense_ids(new, order_by, start=start, id_col=id_col)
     return have.unionByName(numbered).checkpoint(eager=True)
 
