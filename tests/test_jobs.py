@@ -6,7 +6,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from marketlake import schemas
 from marketlake.plans import analytics as qa
