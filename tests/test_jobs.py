@@ -271,3 +271,19 @@ def test_command_line(spark, landing, tmp_dir, capsys):
     e = os.path.join(tmp_dir, "export")
     assert main(["export", "--warehouse", wh, "--out", e, "--format", "csv"], spark) == 0
     assert spark.read.option("header", True).csv(f"{e}/dim_news").count() == 2
+
+
+def test_stream_increment_with_watermark(spark, tmp_dir):
+    """Bounded-state form: dedupe within a watermark on the event time."""
+    from marketlake.streaming import run_increment
+    t0 = dt.datetime(2025, 7, 10)
+    ev = spark.createDataFrame([(i, t0 + dt.timedelta(minutes=i)) for i in range(10)],
+                               "event_id long, ts timestamp_ntz")
+    ev = ev.selectExpr("event_id", "cast(ts as timestamp) as ts")
+    landing = os.path.join(tmp_dir, "in")
+    ev.where("event_id < 7").write.parquet(f"{landing}/d1")
+    ev.where("event_id >= 3").write.parquet(f"{landing}/d2")
+    out, ck = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck")
+    run_increment(spark, f"{landing}/*", ev.schema, ev.where("event_id < 2"), ["event_id"],
+                  out, ck, watermark=("ts", "1 day"))
+    assert rows(spark.read.parquet(out), "event_id") == [(i,) for i in range(2, 10)]
