@@ -17,13 +17,15 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 # Settings every job relies on.  Session-level SQL confs only; cluster sizing
-# (executors, memory) belongs to spark-submit.
+# (executors, memory) belongs to spark-submit.  UTC matters for results
+# (epoch-ms <-> timestamp_ntz conversions follow the session zone).  Dynamic
+# partition overwrite is passed per write by the writers, not set here, so a
+# caller's own overwrites keep their meaning.
 SQL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
 }
