@@ -1,4 +1,4 @@
-from .numeric import round_half_up
+from .numeric import exact_mean, round_half_up
 from .hashing import distinct_from, hash_id, row_hash, row_hash_concat, row_hash_json
 from .temporal import (calendar_columns, epoch_ms_to_ts, format_compact_ts, parse_compact_ts,
                        published_day, time_id, ts_to_epoch_ms)
@@ -8,5 +8,5 @@ __all__ = [
     "distinct_from", "hash_id", "row_hash", "row_hash_concat", "row_hash_json",
     "calendar_columns", "epoch_ms_to_ts", "format_compact_ts", "parse_compact_ts",
     "time_id", "ts_to_epoch_ms", "is_blank", "last_token", "split_explode", "trim_ws",
-    "word_tokens", "round_half_up", "published_day",
+    "word_tokens", "round_half_up", "published_day", "exact_mean",
 ]

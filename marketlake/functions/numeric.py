@@ -16,3 +16,20 @@ def round_half_up(c, digits: int) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     scale = float(10 ** digits)
     return F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+
+
+def exact_mean(c, decimals: int) -> Column:
+    """Aggregate: mean of values that carry at most ``decimals`` decimals
+    (prices in cents, …), computed from an exact integer sum.
+
+    Each value is turned once into integer units (``round(x * 10^d)``), the
+    units are summed as a long (exact, so independent of the summation order
+    — i.e. of partitioning and of retries), and the mean is one division by
+    the count and one by the unit.  A floating-point ``avg`` sums in task
+    order; its last bits, and any rounding of a value that sits on a half,
+    then differ from run to run and from engine to engine.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    unit = float(10 ** decimals)
+    units = F.round(c * F.lit(unit)).cast("long")
+    return F.sum(units) / F.count(c) / F.lit(unit)

@@ -93,15 +93,17 @@ def top_volume(joined: DataFrame, k: int = 10, key: str = "ticker",
 
 
 def price_trend(joined: DataFrame, tickers, key: str = "ticker",
-                ts_col: str = "time_stamp", price_col: str = "close") -> DataFrame:
+                ts_col: str = "time_stamp", price_col: str = "close", mean=F.avg) -> DataFrame:
     """QRY-11 (FLT-3, AGG-5, SRT-2): mean close per (ticker, time) for the
     chosen tickers.  ``tickers`` is a list (``isin``) or a DataFrame of
-    tickers (semi join — it may be derived, e.g. the top movers)."""
+    tickers (semi join — it may be derived, e.g. the top movers).  ``mean``
+    is the aggregate (default ``avg``; :func:`functions.exact_mean` for
+    order-independent results)."""
     if isinstance(tickers, DataFrame):
         chosen = joined.join(tickers.select(key), key, "left_semi")
     else:
         chosen = joined.where(F.col(key).isin(list(tickers)))
-    return (chosen.groupBy(key, ts_col).agg(F.avg(price_col).alias("avg_close"))
+    return (chosen.groupBy(key, ts_col).agg(mean(price_col).alias("avg_close"))
             .orderBy(key, ts_col))
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import operators as op
-from ..functions import (epoch_ms_to_ts, format_compact_ts, round_half_up, row_hash_concat,
+from ..functions import (epoch_ms_to_ts, exact_mean, format_compact_ts, row_hash_concat,
                          row_hash_json, time_id, ts_to_epoch_ms, word_tokens)
 from ..operators.joins import broadcast_if_small
 from ..operators.parallel import ensure_parallelism
@@ -138,15 +138,19 @@ WITH j AS (SELECT p_name AS ticker, CAST(l_shipdate AS DATE) AS trade_date,
            FROM lineitem JOIN part ON l_partkey = p_partkey),
      top AS (SELECT ticker FROM j GROUP BY ticker
              ORDER BY sum(l_quantity) DESC, ticker LIMIT 3)
-SELECT ticker, trade_date, floor(avg(close) * 10000.0 + 0.5) / 10000.0 AS avg_close
+SELECT ticker, trade_date,
+       CAST(sum(CAST(round(close * 1000000.0) AS BIGINT)) AS DOUBLE) / count(close) / 1000000.0
+       AS avg_close
 FROM j WHERE ticker IN (SELECT ticker FROM top)
 GROUP BY ticker, trade_date
 """)
 def price_trend(spark, d):
     joined = part_candles(Tables(spark, d))
     chosen = qa.top_volume(joined, k=3)
-    out = qa.price_trend(joined, chosen, ts_col="trade_date")
-    return out.withColumn("avg_close", round_half_up("avg_close", 4))
+    # the mean of micro-unit prices from an exact integer sum: identical for
+    # any partitioning (a float avg of tied values could round either way)
+    return qa.price_trend(joined, chosen, ts_col="trade_date",
+                          mean=lambda c: exact_mean(c, 6))
 
 
 @query("daily_totals", """
@@ -792,7 +796,7 @@ def _event_bars(events: DataFrame) -> DataFrame:
     order = F.struct("ts", "event_id")
     agg = (events.groupBy(F.col("user_id").cast("string").alias("_T"), day.alias("_day"))
            .agg(F.count(F.lit(1)).alias("_n"),
-                round_half_up(F.avg("value"), 4).alias("_vw"),
+                exact_mean("value", 2).alias("_vw"),          # values are in cents
                 F.min_by("value", order).alias("_o"),
                 F.max_by("value", order).alias("_c"),
                 F.max("value").alias("_h"), F.min("value").alias("_l")))
@@ -812,7 +816,8 @@ WITH e AS (SELECT *, CAST(ts AS DATE) AS day,
                                      ORDER BY ts DESC, event_id DESC) AS r_last
            FROM events)
 SELECT c_custkey AS company_id, count(*) AS volume,
-       floor(avg(value) * 10000.0 + 0.5) / 10000.0 AS volume_weighted,
+       CAST(sum(CAST(round(value * 100.0) AS BIGINT)) AS DOUBLE) / count(value) / 100.0
+       AS volume_weighted,
        max(value) FILTER (WHERE r_first = 1) AS open, max(value) FILTER (WHERE r_last = 1) AS close,
        max(value) AS high, min(value) AS low,
        CAST(epoch_ms(CAST(day AS TIMESTAMP)) AS VARCHAR) AS time_stamp,
