@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import bpe, decontam, langid
+from marketlake.llm import bpe, decontam, langid, repeats, substrings
 from marketlake.llm.common import held_out, table
 
 
@@ -28,6 +28,16 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of repeated 20-word windows removed from every document, the first copy kept."""
+    return substrings.dedup(table(spark, sf_dir, "documents"), texts=False, spans=False)
+
+
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of 400-byte strings that occur anywhere else removed from every document."""
+    return repeats.dedup(table(spark, sf_dir, "documents"), keep_first=False, texts=False)
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verbatim 10-word matches of benchmark items in every document."""
     return decontam.digest(decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
@@ -39,5 +49,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op5_benchmark_decontamination, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op4_substring_dedup, op6_suffix_array_dedup, op5_benchmark_decontamination, op10_byte_bpe)}
 ORACLE: dict[str, str] = {}
