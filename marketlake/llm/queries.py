@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import bpe, decontam, langid, repeats, substrings
+from marketlake.llm import bpe, decontam, langid, minhash, repeats, substrings
 from marketlake.llm.common import held_out, table
 
 
@@ -20,6 +20,11 @@ def ranks_path() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 3-word shingle sets are at least 85 % similar."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by compression, learned from the rows not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -49,5 +54,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op4_substring_dedup, op6_suffix_array_dedup, op5_benchmark_decontamination, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_language_id, op4_substring_dedup, op6_suffix_array_dedup, op5_benchmark_decontamination, op10_byte_bpe)}
 ORACLE: dict[str, str] = {}
