@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import bpe, decontam, langid, minhash, repeats, substrings
+from marketlake.llm import bpe, decontam, embeddings, langid, minhash, repeats, substrings, toxicity
 from marketlake.llm.common import held_out, table
 
 
@@ -33,6 +33,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label with a cosine of 0.98 or more, by cross-polytope hashing."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of repeated 20-word windows removed from every document, the first copy kept."""
     return substrings.dedup(table(spark, sf_dir, "documents"), texts=False, spans=False)
@@ -48,11 +53,22 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.digest(decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled rows not held out."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out())
+    crf = toxicity.learn(docs.select("doc_id", "text").join(labels, "doc_id"))
+    found = toxicity.score(docs, crf, keep=["doc_id"], spans=False)
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document's encoding and of its decoding."""
     found = bpe.round_trip(table(spark, sf_dir, "documents"), ranks_path(), keep=["doc_id"])
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_language_id, op4_substring_dedup, op6_suffix_array_dedup, op5_benchmark_decontamination, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (
+    op1_minhash_dedup, op2_language_id, op3_embedding_dedup, op4_substring_dedup, op5_benchmark_decontamination,
+    op6_suffix_array_dedup, op8_toxicity, op10_byte_bpe)}
 ORACLE: dict[str, str] = {}
