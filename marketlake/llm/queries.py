@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import bpe, decontam, embeddings, langid, minhash, repeats, substrings, toxicity
+from marketlake.llm import bpe, decontam, embeddings, extract, langid, minhash, quality, repeats, substrings, toxicity
 from marketlake.llm.common import held_out, table
 
 
@@ -53,6 +53,15 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.digest(decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected quality grade of every document, learned from the ratings not held out."""
+    docs = table(spark, sf_dir, "documents")
+    ratings = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out())
+    model = quality.learn(docs.select("doc_id", "text").join(ratings, "doc_id"))
+    found = quality.score(docs, model, keep=["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "grade", "tail_probability", "selected")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled rows not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -62,6 +71,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"]).select("page_id", "url", "text", "n_chars")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document's encoding and of its decoding."""
     found = bpe.round_trip(table(spark, sf_dir, "documents"), ranks_path(), keep=["doc_id"])
@@ -70,5 +84,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup, op2_language_id, op3_embedding_dedup, op4_substring_dedup, op5_benchmark_decontamination,
-    op6_suffix_array_dedup, op8_toxicity, op10_byte_bpe)}
+    op6_suffix_array_dedup, op7_quality, op8_toxicity, op9_html_extraction, op10_byte_bpe)}
 ORACLE: dict[str, str] = {}

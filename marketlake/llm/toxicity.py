@@ -23,7 +23,7 @@ TRAIN_BYTES = 4 << 20
 BITS = 18
 PREFIXES = (3, 4, 5, 6, 7)
 #: A token is labelled toxic from this log-odds on, if the feature occurs in this many toxic documents.
-LOG_ODDS, SUPPORT = 3.5, 5
+LOG_ODDS, SUPPORT = 3.2, 4
 #: Words of one chain; a longer sentence goes on as a further chain.
 CHAIN = 96
 STEPS, RATE, DECAY = 45, 0.3, 3e-4
