@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketlake.llm import bpe, decontam, langid
+from marketlake.llm import bpe, decontam, langid, minhash, substrings
 from marketlake.llm.common import held_out, materialise, table
 from marketlake.llm.queries import ranks_path
 
@@ -20,6 +21,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.filter("NOT rejected").select(*docs.columns)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose 5-word shingle sets are 80 % similar or more."""
+    return minhash.keep_first(docs, words=5, percent=80)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the words of repeated 20-word windows, the first copy kept."""
+    return substrings.clean(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a verbatim window of a benchmark item."""
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -32,6 +43,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", language),
+    ("minhash_near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
     ("benchmark_decontamination", decontaminated),
     ("byte_bpe", tokens),
 ]

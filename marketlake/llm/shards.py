@@ -25,9 +25,9 @@ SHARD_BYTES = 4 << 20
 #: Entries that one part should hold.
 PART_ENTRIES = 2_000_000
 
-_SHARD = "shard long, n_units long, ids binary, nulls binary, sizes binary, data binary"
+_SHARD = "shard long, n_units long, ids binary, nulls binary, tags binary, sizes binary, data binary"
 _SHARD_ARROW = pa.schema([("shard", pa.int64()), ("n_units", pa.int64()), ("ids", pa.binary()),
-                          ("nulls", pa.binary()), ("sizes", pa.binary()), ("data", pa.binary())])
+                          ("nulls", pa.binary()), ("tags", pa.binary()), ("sizes", pa.binary()), ("data", pa.binary())])
 
 
 class Shard:
@@ -37,6 +37,7 @@ class Shard:
         self.shard = row["shard"]
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.nulls = np.frombuffer(row["nulls"], bool)
+        self.tags = np.frombuffer(row["tags"], np.int64)
         self.sizes = np.frombuffer(row["sizes"], np.int64)
         self.data = zstandard.ZstdDecompressor().decompress(row["data"], max_output_size=max(1, int(self.sizes.sum())))
         self.begin = np.cumsum(self.sizes) - self.sizes
@@ -49,10 +50,10 @@ class Shard:
 
 
 def build(docs: DataFrame, id_col: str, text_col: str, normal: Callable[[bytes], bytes], units: Callable[[bytes], int],
-          purpose: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+          purpose: str, shard_bytes: int = SHARD_BYTES, tag_col: str | None = None) -> DataFrame:
     """Write the texts (null as empty, after ``normal``) as a table of shards.
 
-    A missing id orders last; ``n_units`` sums ``units(text)``."""
+    A missing id orders last; ``n_units`` sums ``units(text)``; ``tag_col`` (a long) goes along."""
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1).compress
         task, seq = TaskContext.get().partitionId(), 0
@@ -62,15 +63,15 @@ def build(docs: DataFrame, id_col: str, text_col: str, normal: Callable[[bytes],
             held.sort(key=lambda x: x[0])
             ids = np.array([x[0] for x in held], np.int64)
             row = [(task << 32) + seq, sum(x[3] for x in held), ids.tobytes(), np.array([x[2] for x in held], bool).tobytes(),
-                   np.array([len(x[1]) for x in held], np.int64).tobytes(), pack(b"".join(x[1] for x in held))]
+                   np.array([x[4] for x in held], np.int64).tobytes(), np.array([len(x[1]) for x in held], np.int64).tobytes(), pack(b"".join(x[1] for x in held))]
             seq += 1
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _SHARD_ARROW.types)], schema=_SHARD_ARROW)
 
         held, size = [], 0
         for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for i, t, tag in zip(*(c.to_pylist() for c in b.columns)):
                 data = normal((t or "").encode("utf-8"))
-                held.append((2**63 - 1 if i is None else i, data, i is None, units(data)))
+                held.append((2**63 - 1 if i is None else i, data, i is None, units(data), tag))
                 size += len(data) + 16
                 if size >= shard_bytes:
                     yield flush(held)
@@ -78,7 +79,8 @@ def build(docs: DataFrame, id_col: str, text_col: str, normal: Callable[[bytes],
         if held:
             yield flush(held)
 
-    frame = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).mapInArrow(run, _SHARD)
+    frame = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"), F.col(tag_col) if tag_col else F.lit(0).cast("long"))
+    frame = frame.mapInArrow(run, _SHARD)
     return materialise(frame, purpose)
 
 
@@ -139,7 +141,7 @@ def _entries(rows: list[tuple]) -> pa.RecordBatch:
 def each_shard(frame: DataFrame, fn: Callable[[Shard, list[bytes]], Iterator[tuple]], schema: str, arrow: pa.Schema,
                answers: bool = False) -> DataFrame:
     """``fn(shard, answer blobs)`` over every shard; yields rows of ``schema``."""
-    cols = ["shard", "n_units", "ids", "nulls", "sizes", "data", *(["answers"] if answers else [])]
+    cols = ["shard", "n_units", "ids", "nulls", "tags", "sizes", "data", *(["answers"] if answers else [])]
 
     def run(batches):
         for b in batches:

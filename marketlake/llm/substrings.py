@@ -14,6 +14,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from marketlake.llm import hashing as H
 from marketlake.llm import shards as S
@@ -146,7 +147,7 @@ def _later(rows: list[tuple]):
     yield from _answer(rows, owner[chosen], idx[chosen], "R")
 
 
-_OUT = "{id} long, n_words long, n_removed long, kept_sha256 string, kept string, spans array<struct<start:long,n_words:long>>"
+_OUT = "id long, tag long, n_words long, n_removed long, kept_sha256 string, kept string, spans array<struct<start:long,n_words:long>>"
 
 
 def _finish(window: int, texts: bool, spans: bool):
@@ -168,36 +169,49 @@ def _finish(window: int, texts: bool, spans: bool):
             else:
                 total = len(words)
             kept = b" ".join(words)
-            yield (shard.id(i), total, n, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8") if texts else None,
+            yield (shard.id(i), int(shard.tags[i]), total, n, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8") if texts else None,
                    [{"start": int(x), "n_words": int(y - x)} for x, y in zip(a, b)] if spans else None)
 
     return fn
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, texts: bool = True,
-          spans: bool = True, shard_bytes: int = S.SHARD_BYTES) -> DataFrame:
+          spans: bool = True, shard_bytes: int = S.SHARD_BYTES, tag_col: str | None = None) -> DataFrame:
     """One row per document: n_words, n_removed, kept_sha256, kept text, spans of removed words.
 
     Words are [^\\x20\\x09-\\x0D]+, unchanged.  A word goes if a window of ``window`` words that covers it
     also starts earlier (smaller id, or earlier in the same document); windows are judged on the input.
     Null and empty texts have no words; a null id orders last; repeated rows of one id count as one
-    document and each keep their result; an empty table gives no rows.  ``window`` must be 2 or more."""
+    document and each keep their result; an empty table gives no rows.  ``window`` must be 2 or more.
+    A long column ``tag_col`` passes through."""
     if window < 2:
         raise ValueError("window must be 2 or more")
     block = window // 2
-    shards = S.build(docs, id_col, text_col, lambda d: b" ".join(d.split()), lambda d: d.count(b" ") + bool(d), "substring-shards", shard_bytes)
+    shards = S.build(docs, id_col, text_col, lambda d: b" ".join(d.split()), lambda d: d.count(b" ") + bool(d), "substring-shards", shard_bytes, tag_col)
     parts = S.n_parts(shards)
     probes = S.each_shard(shards, _probes(parts, block), S.ENTRY, S.ENTRY_ARROW)
     hits = materialise(S.each_part(probes, _hits), "substring-hits")
     asked = S.each_shard(S.with_answers(shards, hits), _candidates(parts, block, window), S.ENTRY, S.ENTRY_ARROW, answers=True)
     gone = materialise(S.each_part(asked, _later), "substring-repeats")
     discard(hits)
-    arrow = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string()),
+    arrow = pa.schema([("id", pa.int64()), ("tag", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string()),
                        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("n_words", pa.int64())])))])
-    out = S.each_shard(S.with_answers(shards, gone), _finish(window, texts, spans), _OUT.format(id="id"), arrow, answers=True)
-    out = out.withColumnRenamed("id", id_col)
-    drop = [c for c, wanted in (("kept", texts), ("spans", spans)) if not wanted]
-    return out.drop(*drop)
+    out = S.each_shard(S.with_answers(shards, gone), _finish(window, texts, spans), _OUT, arrow, answers=True)
+    drop = [c for c, wanted in (("kept", texts), ("spans", spans), ("tag", tag_col)) if not wanted]
+    return out.drop(*drop).withColumnsRenamed({"id": id_col, **({"tag": tag_col} if tag_col else {})})
+
+
+def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, **options) -> DataFrame:
+    """``docs`` with the words of repeats gone from their texts; documents left without a word go.
+
+    Texts that lose nothing stay as they are; the words of others are joined by one space."""
+    tagged = docs.withColumn("_tag", F.xxhash64(F.col(id_col), F.col(text_col)))
+    found = dedup(tagged, id_col, text_col, window, spans=False, tag_col="_tag", **options).filter("n_removed > 0")
+    found = found.select(F.col("_tag").alias("_t"), F.col(id_col).alias("_i"), F.col("kept").alias("_kept"), (F.col("n_removed") == F.col("n_words")).alias("_all"))
+    found = found.dropDuplicates(["_t", "_i"])  # repeated rows have one result
+    both = tagged.join(found, (F.col("_tag") == F.col("_t")) & F.col(id_col).eqNullSafe(F.col("_i")), "left")
+    both = both.filter(~F.coalesce("_all", F.lit(False))).withColumn(text_col, F.coalesce("_kept", text_col))
+    return both.select(*docs.columns)
 
 
 def brute_force(docs: list[tuple], window: int = WINDOW) -> list[tuple]:
