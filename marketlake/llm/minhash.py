@@ -31,7 +31,7 @@ MISS = 1e-4
 #: Standard deviations that an estimate may lie below the threshold before a pair is dropped.
 SLACK = 4.0
 #: Members of one comparison block: those outside the main component, and all.
-OUTSIDE, MEMBERS = 256, 2048
+OUTSIDE, MEMBERS = 1024, 1024
 _BATCH_BYTES = 2 << 20
 _ORDER = np.argsort(np.random.Generator(np.random.PCG64(7)).random((BUCKETS, BUCKETS)), axis=1)
 
@@ -111,10 +111,16 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tupl
 
 
 def may_reach(a, b, n, m, threshold: float):
-    """(can the pair reach the threshold?, its estimate)."""
+    """(can the pair reach the threshold?, its estimate).
+
+    Registers sample the union without replacement, so where they hold most of a small union the
+    estimate is nearly exact: the finite population correction narrows the slack accordingly."""
     j, size = estimate(a, b, n, m)
+    size = np.maximum(size, 1)
+    seen = np.minimum(size / np.maximum((n + m) / (1 + threshold), 1), 1)
+    slack = SLACK * np.sqrt(threshold * (1 - threshold) / size * (1 - seen)) + 1 / size
     sizes_allow = np.minimum(n, m) >= (threshold - 1e-9) * np.maximum(n, m)
-    return sizes_allow & (j >= threshold - SLACK * np.sqrt(threshold * (1 - threshold) / np.maximum(size, 1)) - 1e-9), j
+    return sizes_allow & (j >= threshold - slack), j
 
 
 def _signatures(k: int):
