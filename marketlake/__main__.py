@@ -22,7 +22,7 @@ from . import schemas
 from .plans import jobs
 from .session import build_session
 from .sinks.writers import export_tables
-from .sources.tables import read_table
+from .sources.tables import filter_time_id, read_table
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -39,6 +39,8 @@ def _parser() -> argparse.ArgumentParser:
     d = sub.add_parser("daily-load", help="daily warehouse load of one run date")
     for name in ("--landing", "--ref", "--warehouse", "--run-date"):
         d.add_argument(name, required=True)
+    d.add_argument("--extract-as-of", default=None, help="only companies changed on this day")
+    d.add_argument("--news-cap", type=int, default=None, help="news are raw responses of at most this many articles")
 
     b = sub.add_parser("backfill", help="warehouse load of a run-date range (BKF-1)")
     for name in ("--landing", "--ref", "--warehouse", "--start", "--end"):
@@ -53,6 +55,7 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--out", required=True)
     e.add_argument("--format", default="json", choices=["json", "csv", "parquet"])
     e.add_argument("--tables", default=",".join(schemas.WAREHOUSE_TABLES))
+    e.add_argument("--time-id", default=None, help="only this day, for tables that have a time_id")
     return p
 
 
@@ -69,7 +72,8 @@ def main(argv=None, spark=None) -> int:
         print(json.dumps({"quarantined": quarantine.count()}))
     elif args.cmd == "daily-load":
         print(json.dumps(jobs.run_daily_load(spark, args.landing, args.ref, args.warehouse,
-                                             args.run_date)))
+                                             args.run_date, extract_as_of=args.extract_as_of,
+                                             news_cap=args.news_cap)))
     elif args.cmd == "backfill":
         print(json.dumps(jobs.run_backfill(spark, args.landing, args.ref, args.warehouse,
                                            args.start, args.end)))
@@ -79,6 +83,8 @@ def main(argv=None, spark=None) -> int:
     elif args.cmd == "export":
         names = [n for n in args.tables.split(",") if n]
         tables = {n: read_table(spark, args.warehouse, n) for n in names}
+        if args.time_id:
+            tables = {n: filter_time_id(t, args.time_id) if "time_id" in t.columns else t for n, t in tables.items()}
         export_tables(spark, tables, args.out, args.format).show(truncate=False)
     if own:
         spark.stop()

@@ -67,5 +67,5 @@ def calendar_columns(date_col) -> list[Column]:
 
 def published_day(c) -> Column:
     """``yyyymmdd`` (int) of a ``YYYYMMDDTHHMMSS`` publication time — the
-    partition of a news row; null when the text is malformed."""
-    return F.substring(_c(c), 1, 8).try_cast("int")
+    partition of a news row; null when the whole text is no such time."""
+    return time_id(parse_compact_ts(c))

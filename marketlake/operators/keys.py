@@ -3,10 +3,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_id
+from ..session import materialise
 
 
 def _order_cols(order_by, descending: bool) -> list[Column]:
@@ -58,17 +61,15 @@ def assign_dense_ids(df: DataFrame, order_by: list[str], start=0, id_col: str =
     ``max(id)`` (a scalar; see :func:`max_id`).
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # checkpoint once: partition ids and positions are assigned at run time,
-    # so both branches below (counts, positions) must read the same
-    # materialised rows — the checkpoint also pins them across retries of a
-    # lost executor (it lives in the shared checkpoint folder).
+    # written once: partition ids and positions are assigned at run time, so
+    # both branches below (counts, positions) must read the same rows, also
+    # after losing an executor
     pid = F.spark_partition_id()
-    ranged = (df.repartitionByRange(n, *order_by)
-              .sortWithinPartitions(*order_by)
-              .withColumn("_pid", pid)
-              .withColumn("_pos", F.monotonically_increasing_id()
-                          - F.shiftleft(pid.cast("long"), 33))
-              .checkpoint(eager=True))
+    ranged = materialise(df.repartitionByRange(n, *order_by)
+                         .sortWithinPartitions(*order_by)
+                         .withColumn("_pid", pid)
+                         .withColumn("_pos", F.monotonically_increasing_id()
+                                     - F.shiftleft(pid.cast("long"), 33)), "dense-ids")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
@@ -117,6 +118,33 @@ def resolve_fk(df: DataFrame, dim: DataFrame, on: list[str] | dict, id_col: str
     return matched, missed
 
 
+def resolve_fks(df: DataFrame, lookups: list[tuple]) -> tuple[DataFrame, DataFrame]:
+    """Several foreign keys at once: ``lookups`` holds ``(dim, on, alias)`` as in
+    :func:`resolve_fk` (``on`` a list or ``{df_col: dim_col}``).
+
+    One left join per key, written once; returns ``(matched, missed)``, where
+    missed rows carry the reason of the first key that did not resolve.  No
+    side is forced into a broadcast: AQE decides from measured sizes.  Rows
+    with a null key part take no part in that key's join (they would all meet
+    in one task)."""
+    cols, out, reason = df.columns, df, F.lit(None).cast("string")
+    for dim, on, alias in reversed(lookups):
+        mapping = dict(zip(on, on)) if isinstance(on, (list, tuple)) else dict(on)
+        null_key = reduce(lambda a, b: a | b, [F.col(s).isNull() for s in mapping])
+        why = F.when(null_key, F.lit("null " + "/".join(mapping))).otherwise(F.lit("unknown " + "/".join(mapping)))
+        reason = F.when(F.col(alias).isNull(), why).otherwise(reason)
+    for dim, on, alias in lookups:
+        mapping = dict(zip(on, on)) if isinstance(on, (list, tuple)) else dict(on)
+        keyed = dim.select(*[F.col(d).alias(f"_k_{s}") for s, d in mapping.items()], F.col("id").alias(alias))
+        some = reduce(lambda a, b: a & b, [F.col(s).isNotNull() for s in mapping])
+        cond = reduce(lambda a, b: a & b, [F.col(s) == F.col(f"_k_{s}") for s in mapping])
+        found = out.where(some).join(keyed, cond, "left").drop(*[f"_k_{s}" for s in mapping])
+        out = found.unionByName(out.where(~some), allowMissingColumns=True)
+    out = materialise(out.withColumn("reason", reason), "fk")
+    return (out.where(F.col("reason").isNull()).drop("reason"),
+            out.where(F.col("reason").isNotNull()).select(*cols, "reason"))
+
+
 def latest_id_per_key(dim: DataFrame, key: str, order_by: list, id_col: str = "id") -> DataFrame:
     """KEY-3: map each natural key (ticker) to the id of its latest row."""
     return latest_per_key(dim.select(key, id_col, *[c for c in order_by if c not in (key, id_col)]),

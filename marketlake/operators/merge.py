@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import distinct_from, row_hash
 from .keys import latest_per_key
@@ -26,6 +27,19 @@ def null_key_rows(batch: DataFrame, keys: list[str]) -> DataFrame:
     return batch.where(~_all([F.col(k).isNotNull() for k in keys]))
 
 
+def total_order(df: DataFrame, keys: list[str], order_by=None) -> list:
+    """``order_by`` and then every other column: rows that still tie are equal, so a pick
+    never depends on the order in which rows arrive."""
+    order_by = list(order_by or [])
+    named = {c for c in order_by if isinstance(c, str)}
+    rest = []
+    for f in df.schema.fields:
+        if f.name not in keys and f.name not in named:
+            orderable = not isinstance(f.dataType, (T.MapType, T.VariantType))
+            rest.append(f.name if orderable else F.to_json(F.col(f.name)))
+    return order_by + rest
+
+
 def insert_new(target: DataFrame, batch: DataFrame, keys: list[str], order_by=None,
                dedupe_batch: bool = True, prune_on: str | None = None,
                descending: bool = True, touched=None) -> DataFrame:
@@ -35,8 +49,9 @@ def insert_new(target: DataFrame, batch: DataFrame, keys: list[str], order_by=No
       never null, so ``NOT IN`` and ``NOT EXISTS`` agree with this anti-join
       on every row that could be stored;
     * ``dedupe_batch`` keeps one row per key inside the batch (the first by
-      ``order_by``: latest first, or earliest with ``descending=False`` — what
-      a sequence of daily insert-only runs keeps); with ``False`` every copy
+      ``order_by`` and then all other columns (:func:`total_order`): latest
+      first, or earliest with ``descending=False`` — what a sequence of daily
+      insert-only runs keeps); with ``False`` every copy
       of a new key is returned, as a plain ``NOT IN`` insert would do;
     * the anti-join is a ``left_anti`` equi-join on all key columns — never a
       tuple ``NOT IN``, which plans as a nested-loop join;
@@ -49,9 +64,8 @@ def insert_new(target: DataFrame, batch: DataFrame, keys: list[str], order_by=No
     """
     batch = batch.where(_all([F.col(k).isNotNull() for k in keys]))
     if dedupe_batch:
-        if order_by is None:
-            order_by = keys
-        batch = latest_per_key(batch, keys, order_by, descending=descending)
+        batch = latest_per_key(batch, keys, total_order(batch, keys, order_by) or keys,
+                               descending=descending)
     existing = target.select(*keys)
     if prune_on and isinstance(touched, (list, tuple, set)):
         existing = existing.where(F.col(prune_on).isin(list(touched)))
@@ -77,13 +91,14 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys: list[str], order_by
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], cols: list[str],
-           order_by: list, run_ts, hash_mode: str = "json", hash_col: str = "hash_row",
+           order_by: list | None, run_ts, hash_mode: str = "json", hash_col: str = "hash_row",
            time_col: str = "updated_time", action_col: str = "action") -> DataFrame:
     """MRG-1: change-detecting upsert, as the next full snapshot.
 
     ``target`` holds ``keys + cols + [hash_col, time_col]`` (plus any other
     columns, e.g. ``id``, which are carried for existing keys).  The batch is
-    reduced to one row per key (the last by ``order_by`` wins), fingerprinted,
+    reduced to one row per key (the last by ``order_by``, then by all other
+    columns, wins), fingerprinted,
     and full-outer-joined to the target on the keys.  Per key:
 
     * only in batch → ``inserted``, ``time_col = run_ts``;
@@ -96,7 +111,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], cols: list[str]
     """
     run_ts = F.lit(run_ts).cast("timestamp_ntz") if not hasattr(run_ts, "_jc") else run_ts
     extra = [c for c in target.columns if c not in keys + cols + [hash_col, time_col]]
-    b = latest_per_key(batch.where(_all([F.col(k).isNotNull() for k in keys])), keys, order_by)
+    b = batch.where(_all([F.col(k).isNotNull() for k in keys]))
+    b = latest_per_key(b, keys, total_order(b, keys, order_by) or keys)
     b = b.select(*keys, *cols, row_hash(cols, hash_mode).alias(hash_col))
     t = target.select(*keys, *cols, hash_col, time_col, *extra)
     tt = t.select(*[F.col(c).alias(f"t_{c}") for c in t.columns])
@@ -119,6 +135,12 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], cols: list[str]
     return j.select(*out, action_col)
 
 
+def duplicate_count(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """DQ-6: how many batch rows lost to another row of their key (one row, ``rows``)."""
+    per = batch.where(_all([F.col(k).isNotNull() for k in keys])).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("rows"))
+
+
 def merge_report(merged: DataFrame, action_col: str = "action") -> DataFrame:
     """DQ-6: affected-row counts per action (inserted/updated/unchanged/kept)."""
     return merged.groupBy(action_col).agg(F.count(F.lit(1)).alias("rows"))

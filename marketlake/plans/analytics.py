@@ -92,18 +92,25 @@ def top_volume(joined: DataFrame, k: int = 10, key: str = "ticker",
             .orderBy(F.desc("total_volume"), F.asc(key)).limit(k))
 
 
+def top_volume_tickers(candles: DataFrame, companies: DataFrame, k: int = 10,
+                       volume_col: str = "volume") -> DataFrame:
+    """QRY-9/10: :func:`top_volume` of candles joined to their companies, the
+    candles summed per company before the join: the fact is shuffled as
+    partial sums only, and the join meets one row per company."""
+    sums = candles.groupBy("company_id").agg(F.sum(volume_col).alias(volume_col))
+    return top_volume(candles_with_companies(sums, companies), k=k, volume_col=volume_col)
+
+
 def price_trend(joined: DataFrame, tickers, key: str = "ticker",
-                ts_col: str = "time_stamp", price_col: str = "close", mean=F.avg) -> DataFrame:
+                ts_col: str = "time_stamp", price_col: str = "close") -> DataFrame:
     """QRY-11 (FLT-3, AGG-5, SRT-2): mean close per (ticker, time) for the
     chosen tickers.  ``tickers`` is a list (``isin``) or a DataFrame of
-    tickers (semi join — it may be derived, e.g. the top movers).  ``mean``
-    is the aggregate (default ``avg``; :func:`functions.exact_mean` for
-    order-independent results)."""
+    tickers (semi join — it may be derived, e.g. the top movers)."""
     if isinstance(tickers, DataFrame):
         chosen = joined.join(tickers.select(key), key, "left_semi")
     else:
         chosen = joined.where(F.col(key).isin(list(tickers)))
-    return (chosen.groupBy(key, ts_col).agg(mean(price_col).alias("avg_close"))
+    return (chosen.groupBy(key, ts_col).agg(F.avg(price_col).alias("avg_close"))
             .orderBy(key, ts_col))
 
 

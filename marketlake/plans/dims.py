@@ -37,9 +37,9 @@ def company_extract(companies: DataFrame, exchanges: DataFrame, regions: DataFra
                     as_of=None) -> DataFrame:
     """DIM-1 (JON-1, FLT-8, SRC-4): the denormalised company rows of one day.
 
-    Four left joins along the foreign keys.  The reference tables are
-    bounded by the domain (venues, regions, industry codes) and are
-    broadcast; ``companies`` is the only side that grows.  ``as_of`` keeps
+    Four left joins along the foreign keys.  Venues and regions are bounded
+    by the domain and broadcast; industry names are vendor text, so AQE
+    decides from their measured size.  ``as_of`` keeps
     the rows changed on that calendar day, written as a range on
     ``updated_time`` so it reaches the scan."""
     c = companies if as_of is None else companies.where(day_range("updated_time", as_of))
@@ -50,8 +50,8 @@ def company_extract(companies: DataFrame, exchanges: DataFrame, regions: DataFra
     s = sic_industries.select(F.col("id").alias("sic_id"), "sic_industry", "sic_sector")
     out = (c.join(F.broadcast(e), "exchange_id", "left")
            .join(F.broadcast(r), "region_id", "left")
-           .join(F.broadcast(i), "industry_id", "left")
-           .join(F.broadcast(s), "sic_id", "left"))
+           .join(i, "industry_id", "left")
+           .join(s, "sic_id", "left"))
     return out.select("name", "ticker", "is_delisted", "category", "currency", "location",
                       "exchange", "region", "industry", "sector", "sic_industry", "sic_sector",
                       "updated_time")
@@ -118,7 +118,7 @@ def new_news(dim_news: DataFrame, news: DataFrame, run_date) -> DataFrame:
     time does not parse has no ``published_day`` and is left out (it would
     break the CHAR(15) rule; see ``warehouse_quality`` / ``null_key_rows``)."""
     rows = news_rows(news, run_date)
-    tie = ["source", "url"]                  # inside one run: the largest wins
+    tie = ["source", "url"]    # inside one run: the largest, by all columns in the end
     # published_day is a function of the key, so the target is read only in
     # the partitions (publication days) the batch touches
     keys = NEWS_KEY + ["published_day"]

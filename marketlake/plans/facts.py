@@ -42,7 +42,7 @@ def topic_links(news: DataFrame, dim_topics: DataFrame, dim_news: DataFrame,
         F.col("t.relevance_score").try_cast("double").alias("relevance_score"))
     topics = dim_topics.select(F.col("id").alias("topic_id"), "name")
     return (links.join(topics, "name")
-            .join(dim_news.select(F.col("id").alias("new_id")), "new_id", "left_semi")
+            .join(_stored_news(dim_news, news), ["published_day", "new_id"], "left_semi")
             .select("new_id", "topic_id", "relevance_score", "published_day",
                     *(["_first"] if first_by else [])))
 
@@ -53,6 +53,15 @@ def _news_days(news: DataFrame) -> DataFrame:
     return news.select(published_day("time_published").alias("published_day"))
 
 
+def _stored_news(dim_news: DataFrame, news: DataFrame) -> DataFrame:
+    """Keys of the stored articles of the batch's publication days: the days
+    (one per calendar day: a bounded broadcast) prune dim_news to their
+    partitions, so its history is not read."""
+    days = F.broadcast(_news_days(news).distinct())
+    return (dim_news.select("published_day", F.col("id").alias("new_id"))
+            .join(days, "published_day", "left_semi"))
+
+
 def _dedupe_order(first_by, *tie):
     """Inside one run the largest ``tie`` wins; over a range the earliest run
     date wins first (negated day number), then the same ``tie`` rule — what a
@@ -88,7 +97,7 @@ def company_links(news: DataFrame, dim_companies: DataFrame, dim_news: DataFrame
     latest = latest_id_per_key(dim_companies, "ticker", ["updated_time", "id"]) \
         .withColumnRenamed("id", "company_id")
     return (links.join(latest, "ticker")
-            .join(dim_news.select(F.col("id").alias("new_id")), "new_id", "left_semi")
+            .join(_stored_news(dim_news, news), ["published_day", "new_id"], "left_semi")
             .select("new_id", "company_id", "relevance_score", "ticker_sentiment_score",
                     "ticker_sentiment_label", "published_day",
                     *(["_first"] if first_by else [])))
@@ -106,13 +115,19 @@ def new_company_links(fact: DataFrame, news: DataFrame, dim_companies: DataFrame
                        "published_day")
 
 
+def storable_volume() -> F.Column:
+    """A missing volume, or one that rounds to a long (a cast would cut it off)."""
+    return F.col("volume").isNull() | F.rint("volume").try_cast("long").isNotNull()
+
+
 def candle_rows(bars: DataFrame, dim_companies: DataFrame, run_date=None) -> DataFrame:
     """FCT-3 rows from the vendor's daily bars.
 
     ``bars`` carries our column names (:func:`sources.read_bars` /
     :func:`sources.rename_bars` do the PRJ-2 rename).  Resolve the ticker to
     its latest company id (inner join: unknown tickers drop), drop bars
-    without a weighted price (FLT-5), default a missing OTC flag to false.
+    without a weighted price (FLT-5) or with a volume no long can hold, round
+    the volume to the nearest whole number, default a missing OTC flag to false.
     ``time_id`` is the run date's (PRJ-5) when ``run_date`` is given — one
     daily drop — else it is derived from each bar's own epoch-ms timestamp
     (bars of many days, e.g. a backfill)."""
@@ -125,9 +140,9 @@ def candle_rows(bars: DataFrame, dim_companies: DataFrame, run_date=None) -> Dat
     latest = latest_id_per_key(dim_companies, "ticker", ["updated_time", "id"]) \
         .withColumnRenamed("id", "company_id")
     rows = (bars.join(latest, "ticker")
-            .where(F.col("volume_weighted").isNotNull())
+            .where(F.col("volume_weighted").isNotNull() & storable_volume())
             .select("company_id",
-                    F.col("volume").cast("long").alias("volume"),
+                    F.rint("volume").try_cast("long").alias("volume"),
                     "volume_weighted", "open", "close", "high", "low",
                     F.col("time_stamp").cast("string").alias("time_stamp"),
                     F.col("num_of_trades").cast("long").alias("num_of_trades"),
@@ -146,6 +161,6 @@ def new_candles(fact: DataFrame, bars: DataFrame, dim_companies: DataFrame,
     if days is None and run_date is not None and not isinstance(run_date, F.Column):
         days = [int(str(run_date).replace("-", "")[:8])]
     rows = insert_new(fact, candle_rows(bars, dim_companies, run_date), ["company_id", "time_id"],
-                      order_by=["company_id", "time_id", "time_stamp"], prune_on="time_id",
+                      order_by=["time_stamp"], prune_on="time_id",
                       touched=days)
     return rows.select(hash_id(["company_id", "time_id"]).alias("id"), *rows.columns)

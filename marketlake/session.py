@@ -8,11 +8,10 @@ that setting is absent (tests, local runs) do we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -60,24 +59,22 @@ def build_session(master: str | None = None, app_name: str = "marketlake",
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Apply the SQL defaults to an existing session (e.g. one the driver made)."""
-    for k, v in SQL_DEFAULTS.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: leave it
-            pass
+    """The one setting results depend on, on a session made by someone else: the UTC time zone."""
+    spark.conf.set("spark.sql.session.timeZone", SQL_DEFAULTS["spark.sql.session.timeZone"])
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only if unset.
+    """Return the shared checkpoint folder; create a local one only for a local master.
 
     ``spark.checkpoint.dir`` is read from the session (the cluster's shared
-    folder).  Only when it is absent — tests, a bare local session — is a
-    local folder created; it is registered with the SparkContext (the core
-    setting itself cannot be changed on a running session)."""
+    folder).  Where it is absent a local folder is created only when driver
+    and executors are one process (``local[...]``: tests, a bare session); on
+    a cluster that is an error, as executors would not see the files."""
     sc = spark.sparkContext
     current = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not current:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="marketlake-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
@@ -86,7 +83,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder under the shared checkpoint location."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "marketlake", purpose, uuid.uuid4().hex)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/marketlake/{purpose}/{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` once into the shared scratch folder and read it back: what
+    comes after does not run it again, not even after losing an executor."""
+    path, schema = scratch_path(df.sparkSession, purpose), df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)

@@ -2,9 +2,8 @@
 
 Plain parquet has no transactions, so tables are never overwritten while
 being read: a reference table is a set of immutable snapshot directories
-``{root}/{name}/v={n}`` plus a one-line ``_current`` pointer, and facts are
-append-only per ``time_id``/``run_date`` partition (dynamic partition
-overwrite makes a re-run of one day idempotent).
+``{root}/{name}/v={n}`` named by commits, and facts are append-only per
+``time_id``/``run_date`` partition (a re-run replaces the run dates it names).
 """
 
 from __future__ import annotations
@@ -14,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..storage import delete, exists, is_missing_path, names
+
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SNK-1 / SNK-5: JSON Lines, one object per row (splittable on read)."""
@@ -21,18 +22,24 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_run_date(df: DataFrame, root: str, prefix: str, run_date_col: str = "run_date",
-                   fmt: str = "parquet") -> None:
+                   fmt: str = "parquet", run_dates: list[str] | None = None) -> None:
     """SNK-2: write a batch into ``{root}/{prefix}/run_date=…``.
 
-    Dynamic partition overwrite replaces only the run dates present in the
-    batch, so re-running a day is idempotent and other days are untouched.
+    Dynamic partition overwrite replaces the run dates present in the batch,
+    other days are untouched.  ``run_dates`` names the days the batch stands
+    for: those are replaced even where the batch has no row for them (a day
+    corrected to empty), so a re-run is idempotent.  Their old partitions go
+    just before the write; a failed write is repaired by running it again.
     The ``rebalance`` hint clusters rows by the partition column, so each
     date gets few files (no small-file storm), and lets AQE split a hot date
     over several tasks and files (no single straggler writing a third of the
     data)."""
+    path = f"{root.rstrip('/')}/{prefix}"
+    for day in run_dates or []:
+        delete(df.sparkSession, f"{path}/{run_date_col}={day}")
     (df.hint("rebalance", run_date_col)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(run_date_col).format(fmt).save(f"{root.rstrip('/')}/{prefix}"))
+       .partitionBy(run_date_col).format(fmt).save(path))
 
 
 def append_rows(df: DataFrame, path: str, columns: list[str],
@@ -50,37 +57,61 @@ def append_rows(df: DataFrame, path: str, columns: list[str],
 
 
 # ---- versioned snapshots (reference tables) --------------------------------
+#
+# ``{root}/{name}/v={n}`` are immutable; ``{root}/_commits/{k}`` holds the version of
+# every table as of commit k.  A commit is one new folder, valid once it has its
+# ``_SUCCESS`` file, and is never rewritten: a crash leaves the previous commit in force,
+# and readers see all tables of a load or none.
+
+def _commits(spark: SparkSession, root: str) -> list[int]:
+    base = f"{root.rstrip('/')}/_commits"
+    return sorted(int(n) for n in names(spark, base) if n.isdigit() and exists(spark, f"{base}/{n}/_SUCCESS"))
+
 
-def _pointer(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{name}/_current"
+def versions(spark: SparkSession, root: str) -> dict[str, int]:
+    """The version of every table in the latest commit (one row a table)."""
+    done = _commits(spark, root)
+    if not done:
+        return {}
+    rows = spark.read.schema("name string, version long").json(f"{root.rstrip('/')}/_commits/{done[-1]}").collect()
+    if not rows or any(r["name"] is None or r["version"] is None for r in rows):
+        raise ValueError(f"commit {done[-1]} of {root} cannot be read")
+    return {r["name"]: r["version"] for r in rows}
 
 
 def current_version(spark: SparkSession, root: str, name: str) -> int | None:
-    try:
-        row = spark.read.text(_pointer(root, name)).first()
-    except AnalysisException:
-        return None
-    return int(row[0]) if row else None
+    return versions(spark, root).get(name)
 
 
 def read_snapshot(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame | None:
-    """The current snapshot of a reference table (None if never written)."""
+    """The committed snapshot of a reference table (None if never written)."""
     v = current_version(spark, root, name)
     if v is None:
         return None if schema is None else spark.createDataFrame([], schema)
     return spark.read.parquet(f"{root.rstrip('/')}/{name}/v={v}")
 
 
-def write_snapshot(spark: SparkSession, df: DataFrame, root: str, name: str) -> int:
-    """Write ``df`` as the next snapshot, then move the pointer to it.
+def write_snapshots(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> dict[str, int]:
+    """Write the next version of each table, in order, then commit them all at once.
 
-    Readers of the previous version are never disturbed; a failed write
-    leaves the pointer on the old version."""
-    v = (current_version(spark, root, name) or 0) + 1
-    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}/v={v}")
-    spark.createDataFrame([(str(v),)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(_pointer(root, name))
-    return v
+    Version numbers go on from the folders that exist, committed or not, so
+    nothing is ever written over; an aborted load leaves unused folders."""
+    root = root.rstrip("/")
+    new = {}
+    for name, df in tables.items():
+        taken = [int(n[2:]) for n in names(spark, f"{root}/{name}") if n.startswith("v=") and n[2:].isdigit()]
+        new[name] = max(taken, default=0) + 1
+        df.write.mode("errorifexists").parquet(f"{root}/{name}/v={new[name]}")
+    state = versions(spark, root) | new
+    taken = [int(n) for n in names(spark, f"{root}/_commits") if n.isdigit()]
+    (spark.createDataFrame(list(state.items()), "name string, version long").coalesce(1)
+     .write.mode("errorifexists").json(f"{root}/_commits/{max(taken, default=0) + 1}"))
+    return new
+
+
+def write_snapshot(spark: SparkSession, df: DataFrame, root: str, name: str) -> int:
+    """One table's next snapshot, committed alone."""
+    return write_snapshots(spark, {name: df}, root)[name]
 
 
 # ---- export bundle (SNK-6) ---------------------------------------------------
@@ -138,5 +169,7 @@ def _count_back(spark: SparkSession, path: str, fmt: str) -> int:
         reader = reader.option("header", "true").option("multiLine", "true")
     try:
         return reader.load(path).count()
-    except AnalysisException:
-        return 0
+    except AnalysisException as exc:
+        if exc.getCondition() == "UNABLE_TO_INFER_SCHEMA" or is_missing_path(exc):
+            return 0  # an empty table wrote no file
+        raise

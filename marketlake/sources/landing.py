@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
+from ..storage import is_missing_path, names
 
 
 class MissingRunDate(FileNotFoundError):
@@ -42,13 +43,15 @@ def read_landing(spark: SparkSession, directory: str, run_date: str, schema: T.S
     ``missing='error'`` raises :class:`MissingRunDate` when no file matches
     (the monthly flow); ``missing='skip'`` returns an empty typed frame (the
     daily flow, where a source may publish nothing).  A file holding ``[]``
-    yields zero rows with the full schema.
+    yields zero rows with the full schema; a truncated or malformed file
+    fails the read, it never passes for a short or an empty day.
     """
     pattern = f"{directory.rstrip('/')}/*-{run_date_token(run_date)}.json"
     try:
-        df = spark.read.schema(schema).option("multiLine", multiline).json(pattern)
+        df = (spark.read.schema(schema).option("multiLine", multiline)
+              .option("mode", "FAILFAST").json(pattern))
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
+        if not is_missing_path(exc):
             raise
         if missing == "skip":
             return empty_frame(spark, schema)
@@ -60,19 +63,24 @@ def unwrap_envelope(df: DataFrame, body_col: str, key: str, payload: T.StructTyp
                     required: bool = True) -> DataFrame:
     """Take the payload array ``key`` out of a raw response body (JSON text).
 
-    One output row per payload element.  A required key that is absent makes
-    the row fail loudly in the ``_envelope_error`` column (checked by callers
-    through :func:`marketlake.operators.quality.check_not_null`); an optional
-    key that is absent contributes no rows.
+    One output row per payload element.  ``_envelope_error`` is true on the
+    one row that stands for a body that is null or malformed, or that lacks a
+    required key (callers quarantine or raise on it); an optional key that is
+    absent contributes no rows.
     """
-    env = T.StructType([T.StructField(key, T.ArrayType(payload))])
-    parsed = df.withColumn("_env", F.from_json(F.col(body_col), env))
+    env = T.StructType([T.StructField(key, T.ArrayType(payload)),
+                        T.StructField("_malformed", T.StringType())])
+    parsed = df.withColumn("_env", F.from_json(F.col(body_col), env,
+                                               {"columnNameOfCorruptRecord": "_malformed"}))
     arr = F.col(f"_env.{key}")
-    if not required:
-        arr = F.coalesce(arr, F.array().cast(T.ArrayType(payload)))
+    wrong = (F.col("_env").isNull() | F.col("_env._malformed").isNotNull()
+             | (F.trim(F.col(body_col)) == ""))
+    if required:
+        wrong = wrong | arr.isNull()
+    items = F.when(~wrong, arr)
     return (parsed.select(*[c for c in df.columns if c != body_col],
-                          F.explode_outer(arr).alias("_item"),
-                          arr.isNull().alias("_envelope_error"))
+                          F.explode_outer(items).alias("_item"),
+                          wrong.alias("_envelope_error"))
             .where(F.col("_item").isNotNull() | F.col("_envelope_error"))
             .select(*[c for c in df.columns if c != body_col], "_envelope_error", "_item.*"))
 
@@ -83,7 +91,9 @@ def read_lake(spark: SparkSession, root: str, prefix: str, run_dates=None,
 
     ``run_dates`` is one date, a (start, end) tuple (inclusive), a list, or
     None for every partition.  The filter is on the partition column, so only
-    the matching directories are listed and read.
+    the matching directories are listed and read.  ``required`` also raises
+    :class:`MissingRunDate` for a named date (or a date of the range) whose
+    partition is not there.
     """
     reader = spark.read
     if schema is not None:
@@ -92,11 +102,19 @@ def read_lake(spark: SparkSession, root: str, prefix: str, run_dates=None,
     try:
         df = reader.parquet(path)
     except AnalysisException as exc:
+        if not is_missing_path(exc):
+            raise
         if required:
             raise MissingRunDate(path) from exc
         if schema is None:
             raise
         return empty_frame(spark, schema)
+    if required and run_dates is not None:
+        wanted = (run_dates_between(*map(str, run_dates)) if isinstance(run_dates, tuple)
+                  else [str(d) for d in (run_dates if isinstance(run_dates, (list, set)) else [run_dates])])
+        there = set(names(spark, path))
+        if absent := sorted(d for d in wanted if f"run_date={d}" not in there):
+            raise MissingRunDate(f"{path}: no run date {', '.join(absent)}")
     return df.where(run_date_filter("run_date", run_dates))
 
 
@@ -135,7 +153,8 @@ def read_bars(spark: SparkSession, directory: str, run_date: str,
               missing: str = "skip") -> DataFrame:
     """SRC-2 + SRC-7 + SRC-8 for daily bars: the landed ``{results: [...]}``
     response (or a bare ``[...]`` array) of one run date, one row per bar
-    under our column names.  ``[]``, ``{}`` and a missing file give 0 rows.
+    under our column names.  ``[]``, ``{}`` and a missing file give 0 rows; an
+    empty, truncated or malformed file fails the read.
 
     The file is read whole as text (a JSON document is one task either way)
     and parsed with ``from_json``: a flat JSON scan would reject a schema
@@ -144,16 +163,21 @@ def read_bars(spark: SparkSession, directory: str, run_date: str,
     try:
         raw = spark.read.option("wholetext", True).text(pattern)
     except AnalysisException as exc:
-        if missing == "skip" and ("PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc)):
+        if missing == "skip" and is_missing_path(exc):
             return empty_frame(spark, schemas.OHLC)
         raise
-    body = F.trim(F.col("value"))
-    bars = F.when(body.startswith("["), F.from_json(body, T.ArrayType(schemas.OHLC_RAW))) \
-        .otherwise(F.from_json(body, schemas.OHLC_ENVELOPE).getField("results"))
-    return (raw.select(F.explode(bars).alias("bar"))
+    return (raw.select(F.explode(_bars_of("value")).alias("bar"))
             .select(rename_bars("bar").alias("bar")).select("bar.*"))
 
 
+def _bars_of(col: str) -> F.Column:
+    """The bars of one response body; a body that is no JSON fails the read."""
+    body, strict = F.trim(F.col(col)), {"mode": "FAILFAST"}
+    return (F.when(body == "", F.raise_error(F.lit("empty response body")))
+            .when(body.startswith("["), F.from_json(body, T.ArrayType(schemas.OHLC_RAW), strict))
+            .otherwise(F.from_json(body, schemas.OHLC_ENVELOPE, strict).getField("results")))
+
+
 def run_dates_between(start: str, end: str) -> list[str]:
     """Inclusive list of run dates (parameters, bounded by the range length)."""
     a = dt.date.fromisoformat(start)
@@ -179,9 +203,9 @@ def read_landing_range(spark: SparkSession, directory: str, run_dates: list[str]
     without a file contribute nothing."""
     try:
         df = spark.read.schema(schema).option("multiLine", multiline) \
-            .json(_range_glob(directory, run_dates))
+            .option("mode", "FAILFAST").json(_range_glob(directory, run_dates))
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+        if not is_missing_path(exc):
             raise
         return empty_frame(spark, T.StructType(schema.fields + [
             T.StructField("run_date", T.DateType())]))
@@ -193,12 +217,9 @@ def read_bars_range(spark: SparkSession, directory: str, run_dates: list[str]) -
     try:
         raw = spark.read.option("wholetext", True).text(_range_glob(directory, run_dates))
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+        if not is_missing_path(exc):
             raise
         return empty_frame(spark, T.StructType(schemas.OHLC.fields + [
             T.StructField("run_date", T.DateType())]))
-    body = F.trim(F.col("value"))
-    bars = F.when(body.startswith("["), F.from_json(body, T.ArrayType(schemas.OHLC_RAW))) \
-        .otherwise(F.from_json(body, schemas.OHLC_ENVELOPE).getField("results"))
-    return (raw.select(F.explode(bars).alias("bar"), _file_run_date().alias("run_date"))
+    return (raw.select(F.explode(_bars_of("value")).alias("bar"), _file_run_date().alias("run_date"))
             .select(rename_bars("bar").alias("bar"), "run_date").select("bar.*", "run_date"))

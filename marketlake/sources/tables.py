@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.parallel import ensure_parallelism
+from .landing import day_range
 
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -21,19 +21,8 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# Tables whose size grows with the data, and the key each is spread on when
-# its files scan as fewer splits than the cluster has cores.
-SPREAD_KEYS = {"lineitem": ["l_orderkey"], "orders": ["o_orderkey"]}
-
-
 class Tables:
-    """Lazy accessor: ``Tables(spark, d).lineitem`` reads that table once.
-
-    Large tables pass through :func:`ensure_parallelism`: when the files
-    scan as fewer splits than the session's parallelism (one big row group)
-    the rows are hash-spread on the table key before any work; on a cluster
-    with many splits this is a no-op.  Column pruning and filters still
-    reach the scan below the spread."""
+    """Lazy accessor: ``Tables(spark, d).lineitem`` is a plain scan of that table."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self._cache = spark, sf_dir, {}
@@ -42,10 +31,7 @@ class Tables:
         if name.startswith("_") or name not in DRIVER_TABLES:
             raise AttributeError(name)
         if name not in self._cache:
-            df = driver_table(self.spark, self.sf_dir, name)
-            if name in SPREAD_KEYS:
-                df = ensure_parallelism(df, by=SPREAD_KEYS[name])
-            self._cache[name] = df
+            self._cache[name] = driver_table(self.spark, self.sf_dir, name)
         return self._cache[name]
 
 
@@ -64,10 +50,16 @@ def read_table(spark: SparkSession, root: str, name: str, time_id=None,
     return filter_time_id(df, time_id, time_col)
 
 
-def filter_time_id(df: DataFrame, time_id=None, time_col: str = "time_id") -> DataFrame:
-    """FLT-9: optional point filter with integer coercion."""
+def filter_time_id(df: DataFrame, time_id=None, time_col: str = "time_id",
+                   date_col: str | None = None) -> DataFrame:
+    """FLT-9: optional point filter with integer coercion.  Where the table
+    stores a date or timestamp instead of the id, ``date_col`` names it and
+    the filter is that day's range on the raw column, which reaches the scan."""
     if time_id is None or (isinstance(time_id, str) and time_id.strip() == ""):
         return df
+    if date_col:
+        text = f"{int(time_id):08d}"
+        return df.where(day_range(date_col, f"{text[:4]}-{text[4:6]}-{text[6:]}"))
     return df.where(F.col(time_col) == F.lit(int(time_id)))
 
 

@@ -181,15 +181,40 @@ def test_quality_checks(spark):
     assert prof == {("not_null", "s"): 1, ("not_null", "v"): 1, ("length<=4", "s"): 1}
 
 
+def _batches(spark, data):
+    """(id, d1.., zone) rows with the day as a date."""
+    days = {"d1": "2025-07-01", "d2": "2025-07-02", "d3": "2025-07-03", "d4": "2025-07-04", None: None}
+    df = spark.createDataFrame([(i, days[d], z, d) for i, d, z in data], "id string, run_date string, zone int, d string")
+    return df.withColumn("run_date", df.run_date.cast("date"))
+
+
+def test_assemble_capped_never_loses_a_day(spark):
+    def day(d, n, zone):
+        return [(f"{d}-{zone}-{i}", d, zone) for i in range(n)]
+    data = (day("d1", 10, 1)                                         # at the cap, halves missing
+            + day("d2", 4, 2) + day("d2", 5, 3)                      # halves without a full day
+            + day("d3", 10, 1) + day("d3", 10, 2) + day("d3", 3, 3)  # a half at the cap
+            + day("d4", 10, 1) + day("d4", 6, 2)                     # at the cap, one half missing
+            + day(None, 2, 1))
+    df = _batches(spark, data)
+    kept = sorted((r["d"], r["zone"], r["n"]) for r in op.assemble_capped(df, 10).groupBy("d", "zone").count()
+                  .withColumnRenamed("count", "n").collect())
+    assert kept == [("d1", 1, 10), ("d2", 2, 4), ("d2", 3, 5), ("d3", 2, 10), ("d3", 3, 3), ("d4", 1, 10), ("d4", 2, 6)]
+    report = {str(r["run_date"]): r["reason"] for r in op.capped_report(df, 10).collect()}
+    assert report == {"2025-07-01": "full day at the cap, halves missing", "2025-07-03": "a half at the cap",
+                      "2025-07-04": "full day at the cap, halves missing"}
+    assert op.capped_quarantine(df).count() == 2
+
+
 def test_assemble_capped_at_the_cap(spark):
     def day(d, n, zone):
         return [(f"{d}-{zone}-{i}", d, zone) for i in range(n)]
     data = (day("d1", 999, 1) + day("d1", 500, 2) + day("d1", 499, 3)
             + day("d2", 1000, 1) + day("d2", 600, 2) + day("d2", 700, 3))
-    df = spark.createDataFrame(data, "id string, run_date string, zone int")
+    df = _batches(spark, data)
     out = op.assemble_capped(df, 1000)
     got = {(r[0], r[1]): r[2] for r in out.groupBy("run_date", "zone").count().collect()}
-    assert got == {("d1", 1): 999, ("d2", 2): 600, ("d2", 3): 700}
+    assert {(str(d), z): n for (d, z), n in got.items()} == {("2025-07-01", 1): 999, ("2025-07-02", 2): 600, ("2025-07-02", 3): 700}
 
 
 def test_union_sources_missing_columns(spark):

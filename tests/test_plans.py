@@ -58,11 +58,35 @@ def test_column_pruning(spark):
     assert "ReadSchema: struct<source:string>" in p
 
 
-def test_broadcast_if_small(spark):
-    from marketlake.operators.joins import broadcast_if_small
-    small, big = spark.range(5), spark.range(1000)
-    assert "BroadcastHashJoin" in plan(big.join(broadcast_if_small(small, 10), "id"), "simple")
-    assert broadcast_if_small(small, 2) is small        # over the bound: left as is
+def test_no_exchange_below_the_first_aggregate(spark):
+    """Tables are plain scans: the fact is shuffled as partial sums, never whole."""
+    for name in ("topk_volume", "daily_totals", "count_by_hour"):
+        p = plan(Q[name](spark, SF), "simple")
+        lines = p.splitlines()
+        scans = [i for i, line in enumerate(lines) if "FileScan" in line and ("l_quantity" in line or "ts#" in line)]
+        first = min(scans)
+        below = next(line for line in reversed(lines[:first]) if "HashAggregate" in line or "Exchange" in line)
+        assert "partial_" in below, (name, below)
+
+
+def test_day_filter_reaches_the_scan(spark):
+    p = plan(Q["read_by_time"](spark, SF))
+    assert "GreaterThanOrEqual(l_shipdate" in p and "LessThan(l_shipdate" in p
+
+
+def test_bridges_read_only_the_days_of_the_batch(spark, tmp_dir):
+    """dim_news is pruned to the publication days of the batch."""
+    from marketlake import schemas
+    from marketlake.plans import dims, facts
+    news = spark.createDataFrame([("t", "u", "20250710T101500", None, None, None, None, None, [("a", "0.5")], [])], schemas.NEWS_RAW)
+    dims.news_rows(news, "2025-07-10").write.partitionBy("published_day").parquet(f"{tmp_dir}/n")
+    news.write.parquet(f"{tmp_dir}/batch")
+    stored = spark.read.parquet(f"{tmp_dir}/n")
+    topics = spark.createDataFrame([(1, "a")], "id long, name string")
+    fact = spark.createDataFrame([], "new_id long, topic_id long, published_day int")
+    rows = facts.new_topic_links(fact, spark.read.schema(schemas.NEWS_RAW).parquet(f"{tmp_dir}/batch").where("url is not null"), topics, stored)
+    assert "dynamicpruningexpression(published_day" in plan(rows)
+    assert rows.count() == 1
 
 
 def test_insert_new_reads_only_touched_partitions(spark, tmp_dir):
