@@ -16,41 +16,64 @@ from pyspark.sql import types as T
 
 from marketlake.llm.common import map_batches
 
-#: Training text per language: at most this many bytes, from about this many documents.
+#: Training text per language: a dictionary of at most this many bytes, from a sample of about
+#: SAMPLE_DOCS whole documents of at most DOC_BYTES each (longer ones only where a language has no other).
 DICT_BYTES = 96 << 10
-SAMPLE_DOCS = 400
+SAMPLE_DOCS = 300
+DOC_BYTES = 4 << 10
 #: All dictionaries together; beyond it each becomes smaller.
 TOTAL_BYTES = 32 << 20
 #: Bytes compressed at a time: short enough that the dictionary, not the text, is matched.
 PIECE = 1500
-LEVEL = 5
+LEVEL = 9
 #: Bytes that the runner-up must need beyond the best, for each 100 bytes of the best.
 MARGIN = 0.4
 
 
 def learn(docs: DataFrame, where: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang", dict_bytes: int = DICT_BYTES, sample_docs: int = SAMPLE_DOCS) -> dict[str, bytes]:
+          lang_col: str = "lang", dict_bytes: int = DICT_BYTES, sample_docs: int = SAMPLE_DOCS, doc_bytes: int = DOC_BYTES) -> dict[str, bytes]:
     """A dictionary per language that occurs in the labelled rows (``where`` may narrow them).
 
-    The sample is bounded: rows are picked by a hash of their id, ``sample_docs`` a language on
-    average, and cut at ``dict_bytes`` a language.  Rows without text or language teach nothing."""
+    The sample is bounded: whole documents of at most ``doc_bytes`` are picked by a hash of their id,
+    about ``sample_docs`` a language.  Rows without text or language teach nothing."""
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = rows if where is None else rows.filter(where)
-    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).agg(F.count("*")).collect()}  # a row a language
+    size = F.octet_length(text_col)
+    counts = {r["k"]: r for r in rows.groupBy(F.col(lang_col).alias("k")).agg(  # a row a language
+        F.count("*").alias("n"), F.count_if(size <= doc_bytes).alias("short"), F.min(size).alias("least")).collect()}
     if not counts:
         return {}
     dict_bytes = min(dict_bytes, TOTAL_BYTES // len(counts))
-    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, sample_docs / n)))])
+    pick = lambda f: F.create_map(*[x for k, r in counts.items() for x in (F.lit(k), F.lit(f(r)))])[F.col(lang_col)]
+    limit = pick(lambda r: doc_bytes if r["short"] else r["least"])
+    share = pick(lambda r: min(1.0, sample_docs / (r["short"] or 1)))
     coin = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000)) / 1_000_000
-    picked = rows.filter(coin < share[F.col(lang_col)]).select(
-        F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.lit(7)).alias("o"),
-        F.substring(F.col(text_col), 1, 4 * PIECE).alias("text"))  # training rows only; predictions read whole texts
-    rows = sorted(((r.lang, r.o, fold(r.text) + b" ") for r in picked.collect()))
-    halves = rows[::2], rows[1::2]
-    # rows whose label the other half clearly contradicts (foreign passages, wrong labels) teach nothing
-    rows = [r for half, other in zip(halves, halves[::-1])
-            for c in [Compressors(_pack(other, dict_bytes))] for r in half if not c.contradicts(r[2], r[0])]
-    return _pack(sorted(rows), dict_bytes)
+    picked = rows.filter((size <= limit) & (coin < share)).select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.lit(7)).alias("o"), F.col(text_col).alias("text"))
+    rows = sorted((r.lang, r.o, fold(r.text) + b" ") for r in picked.limit(4 * sample_docs * len(counts)).collect())
+    return _pack(_agreed(rows, dict_bytes), dict_bytes)
+
+
+def _agreed(rows: list[tuple], dict_bytes: int) -> list[tuple]:
+    """Passages whose label the other half of the sample doesn't clearly contradict: foreign
+    passages and wrong labels teach nothing."""
+    halves = [[(lang, o, part) for lang, o, data in half for part in _passages(data)] for half in (rows[::2], rows[1::2])]
+    kept = []
+    for half, other in zip(halves, halves[::-1]):
+        c = Compressors(_pack(other, dict_bytes))
+        kept += [r for r in half if not c.contradicts(r[2], r[0])]
+    return sorted(kept, key=lambda r: r[:2])
+
+
+def _passages(data: bytes, size: int = 240) -> list[bytes]:
+    """Folded text in pieces of some words."""
+    out, words, n = [], [], 0
+    for w in data.split():
+        words.append(w)
+        n += len(w) + 1
+        if n >= size:
+            out.append(b" ".join(words) + b" ")
+            words, n = [], 0
+    return out + ([b" ".join(words) + b" "] if words else [])
 
 
 def _pack(rows: list[tuple], dict_bytes: int) -> dict[str, bytes]:
@@ -66,8 +89,8 @@ _LETTERS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(25
 
 
 def fold(text: str) -> bytes:
-    """Lower-cased UTF-8 with ASCII digits, marks and white space as spaces."""
-    return text.lower().encode("utf-8").translate(_LETTERS)
+    """Lower-cased UTF-8 with runs of ASCII digits, marks and white space as one space."""
+    return b" ".join(text.lower().encode("utf-8").translate(_LETTERS).split())
 
 
 class Compressors:
@@ -81,10 +104,10 @@ class Compressors:
             d.precompute_compress(level=level)
             self.by.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
 
-    def sizes(self, data: bytes) -> list[int]:
+    def sizes(self, data: bytes, step: int = PIECE) -> list[int]:
         sizes = [0] * len(self.by)
-        for i in range(0, len(data), PIECE):
-            piece = data[i:i + PIECE]
+        for i in range(0, len(data), step):
+            piece = data[i:i + step]
             for k, compress in enumerate(self.by):
                 sizes[k] += len(compress(piece))
         return sizes
@@ -98,11 +121,21 @@ class Compressors:
         """(language, score from 0 to 1, rejected).  ``und`` without a letter."""
         if not text or not self.langs or not any(map(str.isalpha, text)):
             return "und", 0.0, True
-        sizes = self.sizes(fold(text))
+        data = fold(text)
+        sizes = self.sizes(data)
+        best, relative = self._best(sizes)
+        if relative < margin and len(data) < PIECE:
+            # whole bytes measure a short text coarsely: the sizes of its parts are added
+            for part in (max(8, len(data) // 2), max(8, len(data) // 4)):
+                sizes = [a + b for a, b in zip(sizes, self.sizes(data, part))]
+            best, relative = self._best(sizes)
+        return self.langs[best], 1 - math.exp(-relative / 4), len(sizes) > 1 and relative < margin
+
+    def _best(self, sizes: list[int]) -> tuple[int, float]:
+        """The smallest (first among equals) and how many % more bytes the next one takes."""
         best = min(range(len(sizes)), key=lambda k: (sizes[k], self.langs[k]))
         gap = min([s for k, s in enumerate(sizes) if k != best], default=2 * sizes[best]) - sizes[best]
-        relative = 100 * gap / max(1, sizes[best])
-        return self.langs[best], 1 - math.exp(-relative / 4), len(sizes) > 1 and relative < margin
+        return best, 100 * gap / max(1, sizes[best])
 
 
 def identify(df: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", keep: list[str] | None = None,
