@@ -106,3 +106,28 @@ def to_arrow(t: T.DataType) -> pa.DataType:
 
 def arrow_schema(s: T.StructType) -> pa.Schema:
     return pa.schema([(f.name, to_arrow(f.dataType)) for f in s])
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, train_bytes: int, id_col: str = "doc_id",
+                    text_col: str = "text") -> tuple[list[str], list[int], list[int]]:
+    """(texts, labels, all label values) of a bounded sample of whole labelled documents.
+
+    Up to ``train_bytes`` of text of each label (4 * ``train_bytes`` of all), picked by a hash of the id
+    from the label table, before the texts are read: documents are joined to the few picked labels,
+    whose number ``train_bytes`` bounds.  Rows without a label teach nothing."""
+    rows = labels.filter(F.col(label_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y"))
+    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}  # a row a label
+    if not counts:
+        return [], [], []
+    train_bytes = min(train_bytes, 4 * train_bytes // len(counts))
+    mean = docs.agg(F.avg(F.octet_length(F.coalesce(text_col, F.lit(""))))).first()[0] or 0
+    share = F.create_map(*[v for y, n in counts.items() for v in (F.lit(y), F.lit(min(1.0, 0.9 * train_bytes / (n * max(mean, 64.0)))))])
+    picked = rows.filter(F.pmod(F.xxhash64("i"), F.lit(1_000_000)) / 1_000_000 < share[F.col("y")])
+    found = docs.select(F.col(id_col).alias("i"), F.coalesce(text_col, F.lit("")).alias("t")).join(F.broadcast(picked), "i")
+    texts, y, room = [], [], dict.fromkeys(counts, train_bytes)
+    for r in found.select("t", "y").toLocalIterator():
+        room[r["y"]] -= len(r["t"])
+        if room[r["y"]] >= 0:
+            texts.append(r["t"])
+            y.append(r["y"])
+    return texts, y, sorted(counts)

@@ -10,11 +10,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.llm import hashing as H
-from marketlake.llm.common import arrow_schema, tune
+from marketlake.llm.common import arrow_schema, labelled_sample, tune
 
 #: Rated text that the model is fitted on: at most about this many bytes of each grade, whole documents.
 TRAIN_BYTES = 3 << 20
@@ -107,21 +106,11 @@ class Ordinal:
         return p @ self.grades, tail
 
 
-def learn(rated: DataFrame, text_col: str = "text", grade_col: str = "quality", id_col: str = "doc_id", train_bytes: int = TRAIN_BYTES) -> Ordinal:
-    """Fit on a bounded sample of whole rated documents: up to ``train_bytes`` of each grade, picked by a
-    hash of the id.  Rows without grade teach nothing.  ``train_bytes`` shrinks when grades are many."""
-    rows = rated.filter(F.col(grade_col).isNotNull()).select(F.col(grade_col).cast("int").alias("y"), F.coalesce(text_col, F.lit("")).alias("text"), F.xxhash64(F.col(id_col)).alias("o"))
-    total = {r["y"]: r["b"] for r in rows.groupBy("y").agg(F.sum(F.octet_length("text") + 1).alias("b")).collect()}
-    if not total:
-        return Ordinal([0])
-    train_bytes = min(train_bytes, 4 * TRAIN_BYTES // len(total))
-    share = F.create_map(*[v for y, b in total.items() for v in (F.lit(y), F.lit(min(1.0, 0.9 * train_bytes / b)))])
-    model, texts, y, room = Ordinal(list(total)), [], [], dict.fromkeys(total, train_bytes)
-    for r in rows.filter(F.pmod("o", F.lit(1_000_000)) / 1_000_000 < share[F.col("y")]).toLocalIterator():
-        room[r["y"]] -= len(r["text"])
-        if room[r["y"]] >= 0:
-            texts.append(r["text"])
-            y.append(r["y"])
+def learn(docs: DataFrame, ratings: DataFrame, grade_col: str = "quality", train_bytes: int = TRAIN_BYTES, **columns) -> Ordinal:
+    """Fit on a bounded sample of whole rated documents (``labelled_sample``): up to ``train_bytes`` of each
+    grade, less when grades are many.  Rows without a grade teach nothing."""
+    texts, y, grades = labelled_sample(docs, ratings, grade_col, train_bytes, **columns)
+    model = Ordinal(grades or [0])
     return model.fit(Features(texts), np.searchsorted(model.grades, y)) if texts else model
 
 

@@ -57,7 +57,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected quality grade of every document, learned from the ratings not held out."""
     docs = table(spark, sf_dir, "documents")
     ratings = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out())
-    model = quality.learn(docs.select("doc_id", "text").join(ratings, "doc_id"))
+    model = quality.learn(docs, ratings)
     found = quality.score(docs, model, keep=["doc_id"])
     return found.select("doc_id", held_out().alias("held_out"), "grade", "tail_probability", "selected")
 
@@ -66,7 +66,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled rows not held out."""
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out())
-    crf = toxicity.learn(docs.select("doc_id", "text").join(labels, "doc_id"))
+    crf = toxicity.learn(docs, labels)
     found = toxicity.score(docs, crf, keep=["doc_id"], spans=False)
     return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.llm import hashing as H
-from marketlake.llm.common import arrow_schema, tune
+from marketlake.llm.common import arrow_schema, labelled_sample, tune
 
 #: Labelled text that the model is fitted on: at most about this many bytes of each label, whole documents.
 TRAIN_BYTES = 4 << 20
@@ -154,19 +154,10 @@ def token_labels(tok: Tokens, toxic: np.ndarray) -> np.ndarray:
     return (telling[tok.slots].any(1) & (toxic[tok.doc] > 0)).astype(np.float64)
 
 
-def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id", train_bytes: int = TRAIN_BYTES) -> Crf:
-    """Fit on a bounded sample of whole labelled documents: up to ``train_bytes`` of each label, picked
-    by a hash of the id.  Rows without label teach nothing; without both labels all scores are low."""
-    rows = labelled.filter(F.col(label_col).isin(0, 1)).select(F.col(label_col).cast("int").alias("y"), F.coalesce(text_col, F.lit("")).alias("text"), F.xxhash64(F.col(id_col)).alias("o"))
-    total = {r["y"]: r["b"] for r in rows.groupBy("y").agg(F.sum(F.octet_length("text") + 1).alias("b")).collect()}
-    coin = F.pmod("o", F.lit(1_000_000)) / 1_000_000
-    share = F.when(F.col("y") == 1, min(1.0, 0.9 * train_bytes / max(1, total.get(1, 1)))).otherwise(min(1.0, 0.9 * train_bytes / max(1, total.get(0, 1))))
-    texts, y, room = [], [], {0: train_bytes, 1: train_bytes}
-    for r in rows.filter(coin < share).toLocalIterator():
-        room[r["y"]] -= len(r["text"])
-        if room[r["y"]] >= 0:
-            texts.append(r["text"])
-            y.append(r["y"])
+def learn(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", train_bytes: int = TRAIN_BYTES, **columns) -> Crf:
+    """Fit on a bounded sample of whole labelled documents (``labelled_sample``): up to ``train_bytes`` of each
+    label.  Labels other than 0 and 1 teach nothing; without both labels all scores are low."""
+    texts, y, _ = labelled_sample(docs, labels.filter(F.col(label_col).isin(0, 1)), label_col, train_bytes, **columns)
     crf, y = Crf(), np.array(y, np.float64)
     if not len(y) or y.min() == y.max():
         crf.calibration = np.array([-3.0, 0.0, 0.0])

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.1"
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     ratings = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality")
-    model = quality.learn(docs.join(ratings.filter(~held_out()), "doc_id"))
+    model = quality.learn(docs, ratings.filter(~held_out()))
     got = quality.score(docs, model, keep=["doc_id"]).join(ratings.filter(held_out()), "doc_id")
     n = {(r["quality"], r["selected"]): r["n"] for r in got.groupBy("quality", "selected").agg(F.count("*").alias("n")).collect()}
     assert n[1, True] / (n[1, True] + n.get((1, False), 0)) > 0.9
@@ -35,13 +35,14 @@ def test_three_grades():
 
 
 def test_odd_rows(docs_df):
-    rated = docs_df([(i, "fine words here" if i % 2 else "BAD!! BAD!!", i % 2) for i in range(40)] + [(99, None, 1), (98, "x", None)], "doc_id long, text string, quality int")
-    model = quality.learn(rated)
+    docs = docs_df([(i, "fine words here" if i % 2 else "BAD!! BAD!!") for i in range(40)] + [(99, None), (98, "x"), (None, "y")])
+    rated = docs_df([(i, i % 2) for i in range(40)] + [(99, 1), (98, None), (None, 1), (500, 0)], "doc_id long, quality int")
+    model = quality.learn(docs, rated)
     out = quality.score(docs_df([(1, "fine words", 7), (2, None, 7), (None, "", 7), (1, "fine words", 7), (5, "BAD!!", 7)], "doc_id long, text string, grade int"), model)
     rows = out.collect()
     assert out.columns == ["doc_id", "text", "grade", "tail_probability", "selected"] and len(rows) == 5
     assert all(0 <= r["tail_probability"] <= 1 for r in rows)
     by = {r["text"]: r["selected"] for r in rows}
     assert by["fine words"] and not by["BAD!!"]
-    none = quality.learn(docs_df([], "doc_id long, text string, quality int"))
+    none = quality.learn(docs_df([(1, "x")]), docs_df([], "doc_id long, quality int"))
     assert quality.score(docs_df([(1, "x")]), none).count() == 1 and quality.score(docs_df([]), none).count() == 0

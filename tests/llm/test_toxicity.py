@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.1"
 def crf(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic").filter(~held_out())
-    return toxicity.learn(docs.join(labels, "doc_id"))
+    return toxicity.learn(docs, labels)
 
 
 def test_held_out_accuracy(spark, crf):
@@ -64,6 +64,6 @@ def test_offsets_and_odd_rows(docs_df, crf):
 
 
 def test_without_labels(docs_df):
-    none = toxicity.learn(docs_df([], "doc_id long, text string, toxic int"))
+    none = toxicity.learn(docs_df([(1, "x")]), docs_df([], "doc_id long, toxic int"))
     assert [r["predicted"] for r in toxicity.score(docs_df([(1, "idiot")]), none).collect()] == [0]
     assert toxicity.score(docs_df([]), none).count() == 0
