@@ -29,7 +29,8 @@ def write_run_date(df: DataFrame, root: str, prefix: str, run_date_col: str = "r
     other days are untouched.  ``run_dates`` names the days the batch stands
     for: those are replaced even where the batch has no row for them (a day
     corrected to empty), so a re-run is idempotent.  Their old partitions go
-    just before the write; a failed write is repaired by running it again.
+    just before the write (``df`` must not read them); a failed write is
+    repaired by running it again.
     The ``rebalance`` hint clusters rows by the partition column, so each
     date gets few files (no small-file storm), and lets AQE split a hot date
     over several tasks and files (no single straggler writing a third of the
