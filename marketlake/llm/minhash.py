@@ -200,17 +200,23 @@ def _verify(k: int, percent: int):
     return run
 
 
-def _compare(threshold: float, best_only: bool):
-    """Pairs of one block that may reach the threshold, across components."""
+def _compare(threshold: float, best_only: bool, rows: int):
+    """Pairs of one block that may reach the threshold, across components.
+
+    A pair is taken in the first band that both share, and once if both are outside the main component."""
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(t: pa.Table) -> pa.Table:
-        outside, rep, comp, n = (t.column(c).to_numpy() for c in ("outside", "rep", "comp", "n"))
+        outside, apart, rep, comp, n = (t.column(c).to_numpy() for c in ("outside", "apart", "rep", "comp", "n"))
         regs = _matrix(t.column("regs").to_pylist())
         left, right = np.flatnonzero(outside), np.flatnonzero(~outside)
         found = [[], []]
+        if len(left) and len(right):
+            keys = band_keys(regs, rows)
+            here = int(np.flatnonzero(keys[left[0]] == t.column("bucket")[0].as_py())[0])
         for i in left:
-            others = right[comp[right] != comp[i]]
+            others = right[(comp[right] != comp[i]) & (~apart[right] | (rep[right] > rep[i]))]
+            others = others[~(keys[others, :here] == keys[i, :here]).any(1)] if len(others) else others
             ok, j = may_reach(regs[i], regs[others], n[i], n[others], threshold)
             others, j = others[ok], j[ok]
             if best_only and len(others):
@@ -271,10 +277,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rows = named.join(per, "bucket")
         spread = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
         every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-        outer = rows.filter("comp <> main").select("bucket", "rep", "comp", spread(F.col("so")).alias("o"), every(F.col("sm")).alias("i"), F.lit(True).alias("outside"))
-        inner = rows.select("bucket", "rep", "comp", spread(F.col("sm")).alias("i"), every(F.col("so")).alias("o"), F.lit(False).alias("outside"))
+        outer = rows.filter("comp <> main").select("bucket", "rep", "comp", spread(F.col("so")).alias("o"), every(F.col("sm")).alias("i"), F.lit(True).alias("outside"), F.lit(True).alias("apart"))
+        inner = rows.select("bucket", "rep", "comp", spread(F.col("sm")).alias("i"), every(F.col("so")).alias("o"), F.lit(False).alias("outside"), (F.col("comp") != F.col("main")).alias("apart"))
         blocks = outer.unionByName(inner).join(regs, "rep")
-        found = blocks.groupBy("bucket", "o", "i").applyInArrow(_compare(t, best_only), "a long, b long").distinct()
+        found = blocks.groupBy("bucket", "o", "i").applyInArrow(_compare(t, best_only, rows_per_band(t)), "a long, b long").distinct()
         fresh = materialise(found.join(tested, ["a", "b"], "left_anti"), "minhash-rest")
         links = links.unionByName(verified(fresh))
         tested = tested.unionByName(fresh)
