@@ -19,6 +19,8 @@ from marketlake.session import scratch_path
 #: Bounds of one Arrow batch; long texts make batches of few rows.
 ARROW_ROWS = 1024
 ARROW_BYTES = 4 << 20
+#: Labelled texts count as this long at least when the number of label rows to pick is set.
+SHORT_TEXT = 64
 
 _RUNTIME = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": str(ARROW_ROWS),
@@ -112,22 +114,40 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, train_by
                     text_col: str = "text") -> tuple[list[str], list[int], list[int]]:
     """(texts, labels, all label values) of a bounded sample of whole labelled documents.
 
-    Up to ``train_bytes`` of text of each label (4 * ``train_bytes`` of all), picked by a hash of the id
-    from the label table, before the texts are read: documents are joined to the few picked labels,
-    whose number ``train_bytes`` bounds.  Rows without a label teach nothing."""
+    Up to ``train_bytes`` of text of each label (4 * ``train_bytes`` of all), in the order of a hash of the id:
+    a document that no longer fits is skipped, later ones that fit are still taken, and a label of which none
+    fits gives its shortest document.  Label rows are picked before texts are read (their number is bounded by
+    ``train_bytes``); lengths of the picked rows decide which texts are read.  Rows without a label teach nothing."""
     rows = labels.filter(F.col(label_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y"))
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}  # a row a label
     if not counts:
         return [], [], []
     train_bytes = min(train_bytes, 4 * train_bytes // len(counts))
-    mean = docs.agg(F.avg(F.octet_length(F.coalesce(text_col, F.lit(""))))).first()[0] or 0
-    share = F.create_map(*[v for y, n in counts.items() for v in (F.lit(y), F.lit(min(1.0, 0.9 * train_bytes / (n * max(mean, 64.0)))))])
+    share = F.create_map(*[v for y, n in counts.items() for v in (F.lit(y), F.lit(min(1.0, train_bytes / SHORT_TEXT / n)))])
     picked = rows.filter(F.pmod(F.xxhash64("i"), F.lit(1_000_000)) / 1_000_000 < share[F.col("y")])
-    found = docs.select(F.col(id_col).alias("i"), F.coalesce(text_col, F.lit("")).alias("t")).join(F.broadcast(picked), "i")
-    texts, y, room = [], [], dict.fromkeys(counts, train_bytes)
-    for r in found.select("t", "y").toLocalIterator():
-        room[r["y"]] -= len(r["t"])
-        if room[r["y"]] >= 0:
-            texts.append(r["t"])
-            y.append(r["y"])
-    return texts, y, sorted(counts)
+    picked = picked.groupBy("i", "y").agg(F.xxhash64("i").alias("h"), F.count("*").alias("m"))  # m: ratings of one value
+    texts = docs.select(F.col(id_col).alias("i"), F.coalesce(text_col, F.lit("")).alias("t")).withColumn("size", F.octet_length("t"))
+    sizes = texts.select("i", "size").join(F.broadcast(picked), "i").groupBy("h", "i", "y", "size").agg(F.first("m").alias("m"), F.sum("m").alias("n"))
+    sizes = sorted(tuple(r) for r in sizes.collect())
+    room, taken, order = dict.fromkeys(counts, train_bytes), {}, {}
+    for at, (_, i, y, size, m, n) in enumerate(sizes):
+        order[i, y, size] = at
+        if size <= room[y]:
+            taken[i, y, size] = (m, min(n, room[y] // size if size else n))
+            room[y] -= size * taken[i, y, size][1]
+    for y in {r[2] for r in sizes} - {k[1] for k in taken}:
+        _, i, _, size, m, _ = min((r for r in sizes if r[2] == y), key=lambda r: r[3])
+        taken[i, y, size] = (m, 1)
+    if not taken:
+        return [], [], sorted(counts)
+    spark, id_type = docs.sparkSession, texts.schema["i"].dataType
+    wanted = spark.createDataFrame([(i, size, y) for i, y, size in taken],
+                                   T.StructType([T.StructField("i", id_type), T.StructField("size", T.IntegerType()), T.StructField("y", T.IntegerType())]))
+    found, left = [], {k: n for k, (_, n) in taken.items()}
+    for i, size, t, y in texts.join(F.broadcast(wanted), ["i", "size"]).select("i", "size", "t", "y").toLocalIterator():
+        k = (i, y, size)
+        times = min(taken[k][0], left[k])
+        left[k] -= times
+        found += [(order[k], t, y)] * times
+    found.sort()
+    return [t for _, t, _ in found], [y for _, _, y in found], sorted(counts)
