@@ -67,10 +67,13 @@ def features(page: Page, words: Words) -> np.ndarray:
     chars, sent, sym, links = own[:], marks[:], symbols[:], [0] * n
     nodes, paras, items, controls, heads = [1] * n, [0] * n, [0] * n, [0] * n, [0] * n
     kids: list[list[int]] = [[] for _ in range(n)]
+    place, alike = [0] * n, [defaultdict(int) for _ in range(n)]  # among its parent's children; children by tag
     for i in range(n):
+        t = tag[i]
         if parent[i] >= 0:
+            place[i] = len(kids[parent[i]])
             kids[parent[i]].append(i)
-        t = tag[i]
+            alike[parent[i]][t] += 1
         paras[i], items[i], controls[i], heads[i] = t == "p", t == "li", t in _CONTROLS, t in ("h1", "h2")
     for i in range(n - 1, 0, -1):  # children come after their parents
         p = parent[i]
@@ -87,21 +90,22 @@ def features(page: Page, words: Words) -> np.ndarray:
         items[p] += items[i]
         controls[p] += controls[i]
         heads[p] += heads[i]
-    out = np.zeros((n, 32), np.float64)
+    out = np.zeros((n, 31), np.float64)
     path = [(0.0, 0.0)] * n
+    both = [words.of(["<" + tag[i]] + page.tokens[i]) for i in range(n)]
     for i in range(n):
         p = parent[i]
         by_tag, by_attr = words.of(["<" + tag[i]]), words.of(page.tokens[i])
         above = path[p] if p >= 0 else (0.0, 0.0)
         path[i] = (min(above[0], by_tag[0], by_attr[0]), max(above[1], by_tag[1], by_attr[1]))
         sib = kids[p] if p >= 0 else [i]
-        at = sib.index(i) if len(sib) < 50 else 0
-        near = [words.of(["<" + tag[s]] + page.tokens[s]) if 0 <= s < n else (0.0, 0.0, 0.0) for s in (sib[at - 1] if at else -1, sib[at + 1] if at + 1 < len(sib) else -1)]
+        at = place[i]
+        near = [both[s] if s >= 0 else (0.0, 0.0, 0.0) for s in (sib[at - 1] if at else -1, sib[at + 1] if at + 1 < len(sib) else -1)]
         c, whole = chars[i], max(1, total)
         out[i] = (*by_tag, *by_attr, *above, page.depth[i], np.log1p(c), links[i] / max(1, c), c / nodes[i], np.log1p(own[i]), c / whole, sent[i] / max(1, c),
                   np.log1p(nodes[i]), np.log1p(paras[i]), np.log1p(items[i]), controls[i], np.log1p(heads[i]), at / max(1, len(sib) - 1), np.log1p(len(sib)),
                   c / max(1, chars[p] if p >= 0 else c), max(0, before[i]) / whole, near[0][0], near[0][1], near[1][0], near[1][1],
-                  sym[i], len(page.tokens[i]), sum(tag[s] == tag[i] for s in sib[:50]), 1.0 if len(sib) >= 50 else 0.0)[:32]
+                  sym[i], len(page.tokens[i]), alike[p][tag[i]] if p >= 0 else 1)
     return out
 
 
@@ -231,7 +235,7 @@ def training_page(rng: random.Random) -> str:
         elif kind == "comments":
             one = lambda: rng.choice([el("li", "b", el("p", "b", sentences(1, 4))), el("div", "b", el("b", "b", phrase(1, 2)) + el("p", "b", sentences(1, 4)), attr("comment reply")),
                                       el("p", "b", sentences(1, 3))])
-            inner = rng.choice(["", el("h3", "b", phrase(1, 3))]) + "".join(one() for _ in range(rng.randint(1, 7))) + rng.choice(["", el("form", "b", fields())])
+            inner = rng.choice(["", el("h3", "b", phrase(1, 3))]) + "".join(one() for _ in range(rng.choice([rng.randint(1, 7)] * 9 + [rng.randint(20, 90)]))) + rng.choice(["", el("form", "b", fields())])
         elif kind == "aside":
             inner = rng.choice([lambda: el("h3", "b", phrase(1, 3)) + links(rng.randint(2, 6)), lambda: el("p", "b", sentences(1, 3)), lambda: sentences(1, 2)])()
         elif kind == "header":
@@ -257,12 +261,12 @@ def training_page(rng: random.Random) -> str:
             return f'<p y="c">{sentences(1, 3)}'
         return el("p", "c", sentences(1, 9))
 
-    def body():
+    def body(flat=False):
         out = []
         if rng.random() < 0.8:
             h = el("h1", "c", phrase(1, 9).capitalize())
             out.append(el("header", "c", h) if rng.random() < 0.08 else h)
-        for _ in range(rng.choice([0, 1, 1, 2, 3, 5, 9, 20])):
+        for _ in range(rng.choice([0, 1, 1, 2, 3, 5, 9, 20] * (1 if flat else 3) + [rng.randint(50, 160)] * (4 if flat else 1))):
             r = rng.random()
             if r < 0.8:
                 out.append(paragraph())
@@ -297,7 +301,7 @@ def training_page(rng: random.Random) -> str:
     elif r < 0.92:
         main = el(rng.choice(["div", "section"]), "c", body(), attr(_MAIN, 1.0))
     else:
-        main = body()
+        main = body(flat=True)
     if rng.random() < 0.12:
         main = el(rng.choice(["main", "div", "section"]), "s", main + "".join(boiler(rng.choice(["comments", "aside", "share"])) for _ in range(rng.randint(1, 2))), attr(_WRAP, 0.7))
     top = [boiler(k) for k in ("notice", "header", "nav", "ad", "form") if rng.random() < 0.45]
