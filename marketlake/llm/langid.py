@@ -27,7 +27,7 @@ TOTAL_BYTES = 32 << 20
 PIECE = 1500
 LEVEL = 9
 #: Bytes that the runner-up must need beyond the best, for each 100 bytes of the best.
-MARGIN = 0.2
+MARGIN = 4.0
 #: Whole bytes measure a text of fewer bytes coarsely: its sizes under SLICES parts of each dictionary are added.
 SHORT, SLICES = 300, 8
 
