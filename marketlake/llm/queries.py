@@ -1,8 +1,8 @@
 """The registered queries of the training-data operators, with production parameters.
 
-None of them can be written in SQL at this size (compression, merges by rank, models, hash
-functions, byte windows), so ``ORACLE`` holds none; tests/llm compares each query with a
-brute-force version or held-out accuracy.
+Most of them can't be written in SQL at this size (compression, merges by rank, models, hash
+functions, byte windows); ``ORACLE`` holds those that can, and tests/llm compares each of the others
+with a brute-force version or held-out accuracy.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import bpe, decontam, embeddings, extract, langid, minhash, quality, repeats, substrings, toxicity
+from marketlake.llm import audit, bpe, decontam, embeddings, extract, langid, minhash, quality, repeats, substrings, toxicity
 from marketlake.llm.common import held_out, table
 
 
@@ -82,7 +82,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove, at every step of every order, per source."""
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup, op2_language_id, op3_embedding_dedup, op4_substring_dedup, op5_benchmark_decontamination,
-    op6_suffix_array_dedup, op7_quality, op8_toxicity, op9_html_extraction, op10_byte_bpe)}
-ORACLE: dict[str, str] = {}
+    op6_suffix_array_dedup, op7_quality, op8_toxicity, op9_html_extraction, op10_byte_bpe, op13_filter_audit)}
+ORACLE: dict[str, str] = {"op13_filter_audit": audit.ORACLE}
