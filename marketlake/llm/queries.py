@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import audit, bpe, decontam, embeddings, extract, langid, minhash, quality, repeats, substrings, toxicity
+from marketlake.llm import audit, bpe, decontam, embeddings, extract, langid, licenses, minhash, quality, repeats, substrings, toxicity
 from marketlake.llm.common import held_out, table
 
 
@@ -82,6 +82,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document, by a set-similarity join of its blocks."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove, at every step of every order, per source."""
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -89,5 +94,6 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup, op2_language_id, op3_embedding_dedup, op4_substring_dedup, op5_benchmark_decontamination,
-    op6_suffix_array_dedup, op7_quality, op8_toxicity, op9_html_extraction, op10_byte_bpe, op13_filter_audit)}
-ORACLE: dict[str, str] = {"op13_filter_audit": audit.ORACLE}
+    op6_suffix_array_dedup, op7_quality, op8_toxicity, op9_html_extraction, op10_byte_bpe, op11_license_scan,
+    op13_filter_audit)}
+ORACLE: dict[str, str] = {"op11_license_scan": licenses.oracle(), "op13_filter_audit": audit.ORACLE}
