@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import audit, bpe, decontam, embeddings, extract, langid, licenses, minhash, quality, repeats, substrings, toxicity
+from marketlake.llm import audit, bpe, collocations, decontam, embeddings, extract, langid, licenses, minhash, quality, repeats, substrings, toxicity
 from marketlake.llm.common import held_out, table
 
 
@@ -87,6 +87,11 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of 2 to 5 words of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove, at every step of every order, per source."""
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -95,5 +100,6 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup, op2_language_id, op3_embedding_dedup, op4_substring_dedup, op5_benchmark_decontamination,
     op6_suffix_array_dedup, op7_quality, op8_toxicity, op9_html_extraction, op10_byte_bpe, op11_license_scan,
-    op13_filter_audit)}
-ORACLE: dict[str, str] = {"op11_license_scan": licenses.oracle(), "op13_filter_audit": audit.ORACLE}
+    op12_collocations, op13_filter_audit)}
+ORACLE: dict[str, str] = {"op11_license_scan": licenses.oracle(), "op12_collocations": collocations.ORACLE,
+                          "op13_filter_audit": audit.ORACLE}
