@@ -32,9 +32,9 @@ from ..functions import (epoch_ms_to_ts, exact_mean, format_compact_ts, round_ha
                          row_hash_json, time_id, ts_to_epoch_ms, word_tokens)
 from ..functions.hashing import hash_id
 from ..session import scratch_path
-from ..sinks.writers import append_rows, export_tables, write_json, write_run_date
+from ..sinks.writers import append_rows, export_tables, write_json, write_json_arrays, write_run_date
 from ..sources import (DRIVER_TABLES, Tables, day_range, empty_frame, filter_time_id, read_lake,
-                       read_landing, read_table, rename_bars, unwrap_envelope)
+                       read_landing, read_landing_range, read_table, rename_bars, unwrap_envelope)
 from ..streaming.increment import run_increment
 from . import analytics as qa
 from . import dims, facts, normalize
@@ -1056,9 +1056,32 @@ def new_companies_increment(spark, d):
     return dims.new_companies(stored, extract).select("id", "ticker", "is_delisted", "updated_time")
 
 
+@query("landing_array", "SELECT * FROM orders")
+def landing_array(spark, d):
+    """SRC-1, SNK-1: a dated drop of JSON arrays, read by several tasks a file."""
+    o, base = Tables(spark, d).orders, scratch_path(spark, "landing")
+    write_json_arrays(o, f"{base}/orders-{RUN_TIME_ID}.json")
+    return read_landing(spark, base, RUN_TS[:10], o.schema)
+
+
+@query("landing_missing", """
+SELECT event_id, user_id, event_type, value, CASE WHEN ts < TIMESTAMP '2024-01-10' THEN DATE '2024-01-09' ELSE DATE '2024-01-11' END AS run_date
+FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-10'
+""")
+def landing_missing(spark, d):
+    """SRC-2: drops of JSON arrays of which one run date never landed, by a range scan and by a daily read."""
+    ev, base = Tables(spark, d).events, scratch_path(spark, "landing")
+    rows = ev.select("event_id", "user_id", "event_type", "value")
+    write_json_arrays(rows.where(ev.ts < F.lit("2024-01-10").cast("timestamp_ntz")), f"{base}/events-20240109.json")
+    write_json_arrays(rows.where(ev.ts >= F.lit("2024-01-11").cast("timestamp_ntz")), f"{base}/events-20240111.json")
+    ranged = read_landing_range(spark, base, ["2024-01-09", "2024-01-10", "2024-01-11"], rows.schema)
+    absent = read_landing(spark, base, "2024-01-10", rows.schema, missing="skip")
+    return ranged.unionByName(absent.withColumn("run_date", F.lit("2024-01-10").cast("date")))
+
+
 @query("landing_json_roundtrip", "SELECT * FROM customer")
 def landing_json_roundtrip(spark, d):
-    """SNK-1, SRC-1/2: a dated JSON drop, written and read with its schema."""
+    """SNK-1: a dated drop of JSON Lines, written and read with its schema."""
     c, base = Tables(spark, d).customer, scratch_path(spark, "landing")
     write_json(c, f"{base}/customer-{RUN_TIME_ID}.json")
     return read_landing(spark, base, RUN_TS[:10], c.schema, multiline=False)

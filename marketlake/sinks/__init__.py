@@ -1,5 +1,5 @@
-from .writers import (append_rows, current_version, export_tables, read_snapshot, write_json,
+from .writers import (append_rows, current_version, export_tables, read_snapshot, write_json, write_json_arrays,
                       versions, write_run_date, write_snapshot, write_snapshots)
 
-__all__ = ["append_rows", "current_version", "export_tables", "read_snapshot", "write_json",
+__all__ = ["append_rows", "current_version", "export_tables", "read_snapshot", "write_json", "write_json_arrays",
            "versions", "write_run_date", "write_snapshot", "write_snapshots"]

@@ -8,6 +8,7 @@ being read: a reference table is a set of immutable snapshot directories
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,23 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """SNK-1 in the vendors' form: every task writes one file that holds one JSON array, an element a line."""
+    def lines(batches):
+        opened = False
+        for b in batches:
+            text = [t for t in b.column(0).to_pylist() if t is not None]
+            if text:
+                marks = ["," if opened else "[", *[","] * (len(text) - 1)]
+                opened = True
+                yield pa.RecordBatch.from_arrays([pa.array([m + t for m, t in zip(marks, text)])], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if opened else "[]"])], ["value"])
+
+    rows = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    rows = rows.unionByName(df.sparkSession.range(1).select(F.lit(None).cast("string").alias("value")))  # no rows: still an array
+    rows.mapInArrow(lines, "value string").write.mode(mode).text(path)
+
+
 def write_run_date(df: DataFrame, root: str, prefix: str, run_date_col: str = "run_date",
                    fmt: str = "parquet", run_dates: list[str] | None = None) -> None:
     """SNK-2: write a batch into ``{root}/{prefix}/run_date=…``.

@@ -1,9 +1,10 @@
 """Landing-zone and lake scans (SRC-1, SRC-2, SRC-3, SRC-7, SRC-8).
 
-Vendor drops are JSON arrays named ``{prefix}-{YYYYMMDD}.json``.  A JSON
-array must be read with ``multiLine`` and is one task per file, so the landing
-reader is only the first hop: jobs convert a drop once into the parquet lake
-(``{root}/{prefix}/run_date=YYYY-MM-DD/``), and every later read is a
+Vendor drops are JSON arrays named ``{prefix}-{YYYYMMDD}.json``.  Arrays are
+read by many tasks per file (:mod:`json_array`); raw response bodies
+(``{"feed": […]}``) are one task per file.  The landing reader is only the
+first hop: jobs convert a drop once into the parquet lake
+(``run_date=YYYY-MM-DD`` partitions), and every later read is a
 partition-pruned parquet scan.
 """
 
@@ -18,6 +19,7 @@ from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
 from ..storage import is_missing_path, names
+from .json_array import read_array
 
 
 class MissingRunDate(FileNotFoundError):
@@ -43,20 +45,27 @@ def read_landing(spark: SparkSession, directory: str, run_date: str, schema: T.S
     ``missing='error'`` raises :class:`MissingRunDate` when no file matches
     (the monthly flow); ``missing='skip'`` returns an empty typed frame (the
     daily flow, where a source may publish nothing).  A file holding ``[]``
-    yields zero rows with the full schema; a truncated or malformed file
-    fails the read, it never passes for a short or an empty day.
+    yields zero rows with the full schema; a truncated or malformed file, or
+    one that is no array (a raw response body), fails the read: it never
+    passes for a short or an empty day.  ``multiline=False`` reads JSON Lines.
     """
     pattern = f"{directory.rstrip('/')}/*-{run_date_token(run_date)}.json"
     try:
-        df = (spark.read.schema(schema).option("multiLine", multiline)
-              .option("mode", "FAILFAST").json(pattern))
+        return _read_json(spark, pattern, schema, multiline).select(*schema.names)
     except AnalysisException as exc:
         if not is_missing_path(exc):
             raise
         if missing == "skip":
             return empty_frame(spark, schema)
         raise MissingRunDate(pattern) from exc
-    return df
+
+
+def _read_json(spark: SparkSession, pattern: str, schema: T.StructType, multiline: bool) -> DataFrame:
+    """Rows of JSON arrays or of JSON Lines, with the path of their file (``_path``)."""
+    if multiline:
+        return read_array(spark, pattern, schema)
+    lines = spark.read.schema(schema).option("mode", "FAILFAST").json(pattern)
+    return lines.select("*", F.col("_metadata.file_path").alias("_path"))
 
 
 def unwrap_envelope(df: DataFrame, body_col: str, key: str, payload: T.StructType,
@@ -190,26 +199,25 @@ def _range_glob(directory: str, run_dates: list[str]) -> str:
     return f"{directory.rstrip('/')}/*-{{{tokens}}}.json"
 
 
-def _file_run_date() -> F.Column:
-    """Run date of the file a row came from (``…-YYYYMMDD.json``)."""
-    name = F.col("_metadata.file_name")
-    return F.to_date(F.regexp_extract(name, r"-(\d{8})\.json$", 1), "yyyyMMdd")
+def _file_run_date(path: str = "_metadata.file_name") -> F.Column:
+    """Run date of the file (or the folder of files) a row came from (``…-YYYYMMDD.json``)."""
+    return F.to_date(F.regexp_extract(F.col(path), r"-(\d{8})\.json(?:/[^/]*)?$", 1), "yyyyMMdd")
 
 
 def read_landing_range(spark: SparkSession, directory: str, run_dates: list[str],
                        schema: T.StructType, multiline: bool = True) -> DataFrame:
     """SRC-1/2 over many run dates in ONE scan: every landed file of the
     dates, each row tagged with the ``run_date`` of its file name.  Dates
-    without a file contribute nothing."""
+    without a file contribute nothing; bad files fail the read, as in
+    :func:`read_landing`."""
     try:
-        df = spark.read.schema(schema).option("multiLine", multiline) \
-            .option("mode", "FAILFAST").json(_range_glob(directory, run_dates))
+        df = _read_json(spark, _range_glob(directory, run_dates), schema, multiline)
     except AnalysisException as exc:
         if not is_missing_path(exc):
             raise
         return empty_frame(spark, T.StructType(schema.fields + [
             T.StructField("run_date", T.DateType())]))
-    return df.select("*", _file_run_date().alias("run_date"))
+    return df.select(*schema.names, _file_run_date("_path").alias("run_date"))
 
 
 def read_bars_range(spark: SparkSession, directory: str, run_dates: list[str]) -> DataFrame:

@@ -30,3 +30,14 @@ def names(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def file_sizes(spark: SparkSession, pattern: str | list[str]) -> list[tuple[str, int]]:
+    """(path, bytes) of the files of a pattern, or below the folders that it names."""
+    out = []
+    for one in [pattern] if isinstance(pattern, str) else pattern:
+        fs, p = _fs(spark, one)
+        for s in fs.globStatus(p) or []:
+            found = [s] if s.isFile() else [f for f in fs.listStatus(s.getPath()) if f.isFile()]
+            out += [(f.getPath().toString(), f.getLen()) for f in found if f.getPath().getName()[0] not in "._"]
+    return out
