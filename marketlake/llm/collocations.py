@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -69,8 +70,12 @@ def shards(docs: DataFrame, text_col: str, lang_col: str, shard_bytes: int) -> D
             size.pop(lang)
             _, first, code = np.unique(H.word_hashes(buf, s, e), return_index=True, return_inverse=True)
             raw = buf.tobytes()
-            dictionary = b"\n".join(raw[a:b] for a, b in zip(s[first].tolist(), e[first].tolist()))
-            row = ((task << 32) + seq, lang, len(s), zstandard.ZstdCompressor(level=1).compress(dictionary), squeeze([code.astype(np.int32), joined]))
+            words = [raw[a:b] for a, b in zip(s[first].tolist(), e[first].tolist())]
+            order = np.argsort(_checksums(words), kind="stable")  # the order of parts, whatever their number
+            place = np.empty(len(words), np.int32)
+            place[order] = np.arange(len(words), dtype=np.int32)
+            dictionary = zstandard.ZstdCompressor(level=1).compress(b"\n".join(words[i] for i in order.tolist()))
+            row = ((task << 32) + seq, lang, len(s), dictionary, squeeze([place[code], joined]))
             seq += 1
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
 
@@ -89,14 +94,15 @@ def shards(docs: DataFrame, text_col: str, lang_col: str, shard_bytes: int) -> D
     return materialise(source.mapInArrow(run, "shard long, lang string, n_words long, dictionary binary, words binary"), "phrase-shards")
 
 
-def _by_part(part: np.ndarray, columns: list[np.ndarray]) -> tuple[list[tuple[int, bytes]], np.ndarray]:
-    """Blobs of the entries of each part in rising order, and the place of every entry in that order."""
-    order = np.argsort(part, kind="stable")
-    place = np.empty(len(part), np.int32)
-    place[order] = np.arange(len(part), dtype=np.int32)
+def _checksums(words: list[bytes]) -> np.ndarray:
+    return np.array([zlib.crc32(w) for w in words], np.uint64)
+
+
+def _blobs(part: np.ndarray, order: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, bytes]]:
+    """(part, its entries, their columns as a blob) for entries that ``order`` sorts by part."""
     cuts = np.flatnonzero(np.diff(part[order])) + 1
-    pieces = np.split(order, cuts) if len(order) else []
-    return [(int(part[p[0]]), squeeze([c[p] for c in columns])) for p in pieces], place
+    for piece in np.split(order, cuts) if len(order) else []:
+        yield int(part[piece[0]]), piece, squeeze([c[piece] for c in columns])
 
 
 def _first_entries(parts: dict[str, int]):
@@ -104,25 +110,17 @@ def _first_entries(parts: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in b.to_pylist():
-                if not r["n_words"]:
-                    continue
-                words = zstandard.ZstdDecompressor().decompressobj().decompress(r["dictionary"]).split(b"\n")
-                n = np.bincount(expand(r["words"], [np.int32, bool])[0], minlength=len(words))
-                part = _word_parts(words, parts[r["lang"]])
-                order = np.argsort(part, kind="stable")
-                rows = []
-                for p in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
-                    mine = zstandard.ZstdCompressor(level=1).compress(b"\n".join(words[i] for i in p.tolist()))
-                    rows.append((r["lang"], int(part[p[0]]), r["shard"], squeeze([n[p].astype(np.int64)]), mine))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ENTRY_ARROW.types)], schema=_ENTRY_ARROW)
+                if r["n_words"]:
+                    words = zstandard.ZstdDecompressor().decompressobj().decompress(r["dictionary"]).split(b"\n")
+                    n = np.bincount(expand(r["words"], [np.int32, bool])[0], minlength=len(words))
+                    part = ((_checksums(words) * np.uint64(parts[r["lang"]])) >> np.uint64(32)).astype(np.int64)
+                    rows = [(r["lang"], p, r["shard"], blob, zstandard.ZstdCompressor(level=1).compress(b"\n".join(words[i] for i in piece.tolist())))
+                            for p, piece, blob in _blobs(part, np.arange(len(words)), [n.astype(np.int64)])]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ENTRY_ARROW.types)], schema=_ENTRY_ARROW)
 
     return run
 
 
-def _word_parts(words: list[bytes], parts: int) -> np.ndarray:
-    return np.array([zlib.crc32(w) for w in words], np.int64) % parts
-
-
 def _rows(rows: list[tuple]) -> pa.Table:
     cols = list(zip(*rows)) or [[]] * 5
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, _ENTRY_ARROW.types)], schema=_ENTRY_ARROW)
@@ -165,44 +163,60 @@ def _unite(least: int):
     return run
 
 
-_STEP = "shard long, lang string, words binary, labels binary, arcs binary, entries array<struct<part:int,blob:binary>>"
+class _Walk:
+    """The sequences of one shard that are still alive, from depth to depth.
 
+    ``state`` holds, for every word, the local code of the sequence that starts there (-1: none), ``word`` the code
+    of the word itself; ``states`` and ``labels`` are the numbers behind those codes."""
 
-def _extend(depth: int, parts: dict[str, int]):
-    """Depth ``depth`` of every shard: keeps what survived the depth before, and counts what is one word longer."""
-    kinds = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.struct([("part", pa.int32()), ("blob", pa.binary())]))]
-    names = ["shard", "lang", "words", "labels", "arcs", "entries"]
+    def __init__(self, code: np.ndarray, joined: np.ndarray, number: np.ndarray):
+        self.depth, self.follows = 1, joined[:-1]
+        self.state, self.states = self._alive(code, number)
+        self.word, self.labels = self.state, self.states
 
+    @staticmethod
+    def _alive(code: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        good = number >= 0
+        local = np.append(np.where(good, np.cumsum(good) - 1, -1), -1).astype(np.int32)  # code -1 stays -1
+        return local[code], number[good]
+
+    def entries(self, parts: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """The next depth's arcs: (part, order by part, their state, label and count)."""
+        self.at = np.flatnonzero((self.state[:-1] >= 0) & (self.state[1:] >= 0) & self.follows)
+        arcs, self.which = Arcs.extend(self.state[self.at], self.word[self.at + self.depth])
+        s, t = self.states[arcs.state], self.labels[arcs.label]
+        mixed = H.mix(s.view(np.uint64)) + H.mix(t.view(np.uint64)) % np.uint64(SPLIT)
+        part = (mixed % np.uint64(parts)).astype(np.int64)
+        self.order = np.argsort(part, kind="stable")
+        return part, self.order, [s, t, arcs.weight.astype(np.int64)]
+
+    def advance(self, number: np.ndarray) -> None:
+        """Go one depth on with the numbers of the last entries, which come in the order of their parts."""
+        place = np.empty(len(self.order), np.int64)
+        place[self.order] = np.arange(len(self.order))
+        arc = np.full(len(self.state), -1, np.int64)
+        arc[self.at] = place[self.which]
+        self.state, self.states = self._alive(arc, number)
+        self.depth, self.follows = self.depth + 1, True  # both parts lie in one piece and overlap
+
+
+def _next_entries(depth: int, parts: dict[str, int]):
+    """Entries of ``depth``: every shard walks again through the depths before it, as it is cheaper to do so than to keep their state."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in b.to_pylist():
-                answers = sorted(r["answers"] or [], key=lambda a: a["part"])
-                number = np.concatenate([np.empty(0, np.int64), *[expand(a["blob"], [np.int64])[0] for a in answers]])
-                local = np.where(number >= 0, np.cumsum(number >= 0) - 1, -1).astype(np.int32)
-                states = number[number >= 0]
-                if depth == 2:
-                    code, joined = expand(r["words"], [np.int32, bool])
-                    words = zstandard.ZstdDecompressor().decompressobj().decompress(r["dictionary"]).split(b"\n")
-                    order = np.argsort(_word_parts(words, parts[r["lang"]]), kind="stable")
-                    place = np.empty(len(words), np.int64)
-                    place[order] = np.arange(len(words))
-                    state = word = local[place[code]] if len(code) else code
-                    labels = states
-                    follows = joined[:-1]
-                else:
-                    word, labels = expand(r["words"], [np.int32])[0], np.frombuffer(r["labels"], np.int64)
-                    arc = expand(r["arcs"], [np.int32])[0]
-                    state = np.where(arc >= 0, local[arc], -1) if len(local) else np.full(len(arc), -1, np.int32)
-                    follows = True
-                at = np.flatnonzero((state[:-1] >= 0) & (state[1:] >= 0) & follows)
-                arcs, which = Arcs.extend(state[at], word[at + depth - 1])
-                s, t = states[arcs.state], labels[arcs.label]
-                mixed = H.mix(s.view(np.uint64)) + H.mix(t.view(np.uint64)) % np.uint64(SPLIT)
-                entries, place = _by_part((mixed % np.uint64(parts[r["lang"]])).astype(np.int64), [s, t, arcs.weight.astype(np.int64)])
-                arc = np.full(len(state), -1, np.int32)
-                arc[at] = place[which]
-                row = (r["shard"], r["lang"], squeeze([word]), labels.tobytes(), squeeze([arc]), [{"part": p, "blob": x} for p, x in entries])
-                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
+                numbers: list[list[tuple[int, bytes]]] = [[] for _ in range(depth)]
+                for a in r["answers"]:
+                    numbers[a["depth"]].append((a["part"], a["blob"]))
+                numbers = [np.concatenate([np.empty(0, np.int64), *[expand(x, [np.int64])[0] for _, x in sorted(n)]]) for n in numbers]
+                walk = _Walk(*expand(r["words"], [np.int32, bool]), numbers[1])
+                found = walk.entries(parts[r["lang"]])
+                for n in numbers[2:]:
+                    walk.advance(n)
+                    found = walk.entries(parts[r["lang"]])
+                rows = [(r["lang"], p, r["shard"], blob, None) for p, _, blob in _blobs(*found)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ENTRY_ARROW.types)], schema=_ENTRY_ARROW)
 
     return run
 
@@ -232,21 +246,20 @@ def frequent(docs: DataFrame, longest: int = 5, least: int = 100, text_col: str
     n = {r["lang"]: r["n"] for r in totals.collect()}  # a row a language
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = {lang: max(1, math.ceil(c / part_entries), math.ceil(width * c / sum(n.values()))) for lang, c in n.items()}
-    state_cols, out = ["shard", "lang", "n_words", "dictionary", "words"], []
+    united, out = [], []
     for depth in range(1, longest + 1):
         if depth == 1:
             entries = state.mapInArrow(_first_entries(parts), _ENTRY)
         else:
-            numbers = united.filter("shard IS NOT NULL").groupBy("shard").agg(F.collect_list(F.struct("part", "blob")).alias("answers"))
-            frame = state.select(*state_cols).join(numbers, "shard")  # a shard without words has none
-            new = materialise(frame.mapInArrow(_extend(depth, parts), _STEP), f"phrase-depth{depth}")
-            discard(state)
-            state, state_cols = new, ["shard", "lang", "words", "labels", "arcs"]
-            entries = state.select("shard", "lang", F.explode("entries").alias("e")).select("lang", "e.part", "shard", "e.blob", F.lit(None).cast("binary").alias("words"))
+            numbers = reduce(DataFrame.unionByName, [u.filter("shard IS NOT NULL").select("shard", F.lit(d).alias("depth"), "part", "blob") for d, u in enumerate(united, 1)])
+            numbers = numbers.groupBy("shard").agg(F.collect_list(F.struct("depth", "part", "blob")).alias("answers"))
+            walked = state.select("shard", "lang", "words").join(numbers, "shard")  # a shard without words has none
+            entries = walked.mapInArrow(_next_entries(depth, parts), _ENTRY)
         unite = _unite_words(least) if depth == 1 else _unite(least)
-        united = materialise(entries.groupBy("lang", "part").applyInArrow(unite, _ENTRY), f"phrase-united{depth}")
-        out.append(materialise(_arcs_of(united), f"phrase-arcs{depth}"))
-    discard(state)
+        united.append(materialise(entries.groupBy("lang", "part").applyInArrow(unite, _ENTRY), f"phrase-united{depth}"))
+        out.append(materialise(_arcs_of(united[-1]), f"phrase-arcs{depth}"))
+    for frame in (state, *united):
+        discard(frame)
     return totals, out
 
 
