@@ -45,6 +45,8 @@ def _parser() -> argparse.ArgumentParser:
     b = sub.add_parser("backfill", help="warehouse load of a run-date range (BKF-1)")
     for name in ("--landing", "--ref", "--warehouse", "--start", "--end"):
         b.add_argument(name, required=True)
+    b.add_argument("--news-cap", type=int, default=None, help="news are raw responses of at most this many articles")
+    b.add_argument("--chunk-days", type=int, default=None, help="days per commit; a broken run goes on behind its last commit")
 
     q = sub.add_parser("quality", help="data-quality report over the warehouse")
     q.add_argument("--warehouse", required=True)
@@ -76,7 +78,8 @@ def main(argv=None, spark=None) -> int:
                                              news_cap=args.news_cap)))
     elif args.cmd == "backfill":
         print(json.dumps(jobs.run_backfill(spark, args.landing, args.ref, args.warehouse,
-                                           args.start, args.end)))
+                                           args.start, args.end, news_cap=args.news_cap,
+                                           chunk_days=args.chunk_days)))
     elif args.cmd == "quality":
         wh = {n: read_table(spark, args.warehouse, n) for n in schemas.WAREHOUSE_TABLES}
         jobs.warehouse_quality(wh).coalesce(1).write.mode("overwrite").json(args.out)

@@ -54,3 +54,24 @@ def hash_id(cols: list[str]) -> Column:
         parts.append(F.col(c))
         parts.append(F.col(c).isNull())
     return F.xxhash64(*parts)
+
+
+#: Hash bits of an id that starts with its day.
+DAY_HASH_BITS = 47
+
+
+def day_hash_id(cols: list[str], day, bits: int = DAY_HASH_BITS, salt: int | None = None) -> Column:
+    """64-bit id of a row of one day: the day's number, then ``bits`` bits of the key's hash.
+
+    Ids of different days (``yyyymmdd``, within 179 years) can't meet, so uniqueness is a question of one
+    partition; rows of one day whose hashes meet get another ``salt`` (:func:`operators.keys.settle_ids`)."""
+    parts = [] if salt is None else [F.lit(salt)]
+    for c in cols:
+        parts += [F.col(c), F.col(c).isNull()]
+    number = F.datediff(F.to_date(day.cast("string"), "yyyyMMdd"), F.lit("1970-01-01"))
+    return F.shiftleft(F.pmod(number, F.lit(1 << 16)).cast("long"), bits).bitwiseOR(F.xxhash64(*parts).bitwiseAND((1 << bits) - 1))
+
+
+def key_text(cols: list[str]) -> Column:
+    """A digest of a key of any length, to tell keys apart whose ids meet."""
+    return F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_id
+from ..functions.hashing import DAY_HASH_BITS, day_hash_id, hash_id, key_text
 from ..session import materialise
 
 
@@ -46,6 +46,58 @@ def assign_hash_ids(df: DataFrame, keys: list[str], id_col: str = "id") -> DataF
     return df.withColumn(id_col, hash_id(keys))
 
 
+#: Columns of the map of keys whose id is not their hash.
+ID_MAP = "kind string, day int, base long, key string, id long"
+
+
+def settle_ids(rows: DataFrame, stored: DataFrame, keys: list[str], day_col: str, kind: str, bits: int = DAY_HASH_BITS,
+               id_col: str = "id") -> tuple[DataFrame, DataFrame | None]:
+    """KEY-1: unique :func:`day_hash_id` ids for new rows, whatever their hashes do.
+
+    ``rows`` are new keys (unique, written, so read as often as needed), ``stored`` the rows that have ids already; only
+    its days of the batch are read, and only (day, id).  Where ids meet, a stored row keeps its id, else the smallest key
+    does; the others try one salt after the other.  Returns the rows and the map of those that moved (:data:`ID_MAP`; None
+    as a rule), by which later loads find the id of a key.  Each round is one aggregate on (day, id) without a sort."""
+    base = rows.withColumn(id_col, day_hash_id(keys, F.col(day_col), bits))
+    days = F.broadcast(rows.select(day_col).distinct())  # one a calendar day
+    taken = stored.select(day_col, id_col).join(days, day_col, "left_semi")
+    done, todo, salt = [], base, 0
+    while True:
+        both = todo.select(day_col, id_col, F.lit(0).alias("_old")).unionByName(taken.select(day_col, id_col, F.lit(1).alias("_old")))
+        for frame in done:
+            both = both.unionByName(frame.select(day_col, id_col, F.lit(1).alias("_old")))
+        met = both.groupBy(day_col, id_col).agg(F.count(F.lit(1)).alias("_n"), F.max("_old").alias("_held")).where("_n > 1")
+        met = materialise(met.select(day_col, id_col, "_held"), "id-meetings")
+        if met.isEmpty():
+            done.append(todo)
+            break
+        rank = F.row_number().over(Window.partitionBy(day_col, id_col).orderBy(*keys))
+        losers = todo.join(met, [day_col, id_col]).withColumn("_rank", rank).where("_held = 1 OR _rank > 1").drop("_held", "_rank")
+        losers = materialise(losers, "id-losers")
+        done.append(todo.join(losers.select(day_col, *keys), [day_col, *keys], "left_anti"))
+        salt += 1
+        todo = losers.withColumn(id_col, day_hash_id(keys, F.col(day_col), bits, salt))
+    out = reduce(lambda a, b: a.unionByName(b), [f.select(*rows.columns) for f in done])
+    if not salt:
+        return out, None
+    moved = reduce(lambda a, b: a.unionByName(b), done[1:])
+    return out, moved.select(F.lit(kind).alias("kind"), F.col(day_col).cast("int").alias("day"), day_hash_id(keys, F.col(day_col), bits).alias("base"),
+                             key_text(keys).alias("key"), F.col(id_col).alias("id"))
+
+
+def mapped_ids(df: DataFrame, keys: list[str], day_col: str, kind: str, alias: str, id_map: DataFrame | None = None,
+               bits: int = DAY_HASH_BITS) -> DataFrame:
+    """``df`` with the id of a key of another table: its hash, or what the map of moved keys says."""
+    out = df.withColumn(alias, day_hash_id(keys, F.col(day_col), bits))
+    if id_map is None:
+        return out
+    moved = id_map.where(F.col("kind") == kind).select(F.col("day").alias("_day"), F.col("base").alias("_base"), F.col("key").alias("_key"), F.col("id").alias("_id"))
+    out = out.withColumn("_text", key_text(keys))
+    cond = (F.col(day_col) == F.col("_day")) & (F.col(alias) == F.col("_base")) & (F.col("_text") == F.col("_key"))
+    found = out.join(moved, cond, "left")  # the map is tiny; AQE broadcasts it by its measured size
+    return found.withColumn(alias, F.coalesce("_id", alias)).drop("_day", "_base", "_key", "_id", "_text")
+
+
 def assign_dense_ids(df: DataFrame, order_by: list[str], start=0, id_col: str = "id",
                      num_partitions: int | None = None) -> DataFrame:
     """KEY-1 for dimension rows: ids ``start+1, start+2, …`` in ``order_by``

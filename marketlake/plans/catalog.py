@@ -30,7 +30,6 @@ from pyspark.sql import types as T
 from .. import operators as op
 from ..functions import (epoch_ms_to_ts, exact_mean, format_compact_ts, round_half_up, row_hash_concat,
                          row_hash_json, time_id, ts_to_epoch_ms, word_tokens)
-from ..functions.hashing import hash_id
 from ..session import scratch_path
 from ..sinks.writers import append_rows, export_tables, write_json, write_json_arrays, write_run_date
 from ..sources import (DRIVER_TABLES, Tables, day_range, empty_frame, filter_time_id, read_lake,
@@ -984,7 +983,7 @@ def _order_news(t: Tables, lines: DataFrame) -> DataFrame:
 
 def _order_of(rows: DataFrame, news: DataFrame) -> DataFrame:
     """Rows with the order key instead of the article's hash id."""
-    keys = news.select(hash_id(dims.NEWS_KEY).alias("new_id"), F.substring_index("url", "/", -1).cast("long").alias("o_orderkey"))
+    keys = facts.with_new_ids(news).select("new_id", F.substring_index("url", "/", -1).cast("long").alias("o_orderkey"))
     return rows.join(keys, "new_id").drop("new_id", "id")
 
 

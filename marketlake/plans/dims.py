@@ -6,9 +6,10 @@ Each builder returns the rows to append to its dimension.  Ids:
 * ``dim_companies`` / ``dim_topics`` are small: dense ids continuing from the
   current maximum, assigned without a single-task sort
   (:func:`assign_dense_ids`);
-* ``dim_news`` grows with the article stream: ``xxhash64`` of the natural
-  key (title, url, time_published), so facts derive ``new_id`` from the
-  article row itself and never need a shuffle-join back to the dimension.
+* ``dim_news`` grows with the article stream: publication day and hash of the
+  natural key (title, url, time_published), so facts derive ``new_id`` from the
+  article row itself and never need a shuffle-join back to the dimension; the
+  few keys whose hashes meet are in a map (``operators.keys.settle_ids``).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_id
+from ..functions.hashing import day_hash_id
 from ..functions.temporal import calendar_columns, published_day, time_id
 from ..operators.keys import assign_dense_ids, max_id
 from ..operators.merge import insert_new
@@ -106,7 +107,7 @@ def news_rows(news: DataFrame, run_date) -> DataFrame:
     ``run_date`` is one date or a column (each article's own run date)."""
     cols = ["title", "url", "time_published", "authors", "summary", "source",
             "overall_sentiment_score", "overall_sentiment_label"]
-    return news.select(hash_id(NEWS_KEY).alias("id"), *cols,
+    return news.select(day_hash_id(NEWS_KEY, published_day("time_published")).alias("id"), *cols,
                        time_id(as_date(run_date)).alias("time_id"),
                        published_day("time_published").alias("published_day"))
 

@@ -1,8 +1,8 @@
 """Warehouse facts (FCT-1..FCT-3, KEY-3, JON-2/3, FLT-4/5, PRJ-2/5).
 
 Scale notes: every fact row derives its news id from the article row
-(``xxhash64`` of title, url, time_published), so the link to ``dim_news`` is
-an existence check on one long, not a join on long text.  The bridges are
+(day and hash of title, url, time_published; a small map names the keys whose hashes meet), so the link to
+``dim_news`` is an existence check on one long, not a join on long text.  The bridges are
 partitioned by the article's publication day (also derived from the row),
 so the daily insert-if-new reads only the partitions of the batch's days,
 not the whole history.  Topic and company
@@ -15,9 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_id
+from ..functions.hashing import day_hash_id
 from ..functions.temporal import epoch_ms_to_ts, published_day, time_id
-from ..operators.keys import latest_id_per_key
+from ..operators.keys import latest_id_per_key, mapped_ids
 from ..operators.merge import insert_new
 from .dims import NEWS_KEY
 
@@ -26,16 +26,21 @@ def _first_cols(news: DataFrame, first_by: str | None) -> list:
     return [F.col(first_by).alias("_first")] if first_by else []
 
 
+def with_new_ids(news: DataFrame, id_map: DataFrame | None = None) -> DataFrame:
+    """Articles with their publication day and ``new_id``."""
+    days = news.withColumn("published_day", published_day("time_published"))
+    return mapped_ids(days, NEWS_KEY, "published_day", "dim_news", "new_id", id_map)
+
+
 def topic_links(news: DataFrame, dim_topics: DataFrame, dim_news: DataFrame,
-                first_by: str | None = None) -> DataFrame:
+                first_by: str | None = None, id_map: DataFrame | None = None) -> DataFrame:
     """FCT-1 rows: one (new_id, topic_id, relevance_score) per article topic.
 
     Explode first, then resolve: the topic name against ``dim_topics`` (inner
     join: unknown topics are dropped), the article against ``dim_news``
     (semi join on the derived id: articles not stored are dropped)."""
-    exploded = news.select(hash_id(NEWS_KEY).alias("new_id"), *_first_cols(news, first_by),
-                           published_day("time_published").alias("published_day"),
-                           F.explode("topics").alias("t"))
+    exploded = with_new_ids(news, id_map).select("new_id", *_first_cols(news, first_by),
+                                                 "published_day", F.explode("topics").alias("t"))
     links = exploded.select(
         "new_id", "published_day", *(["_first"] if first_by else []),
         F.col("t.topic").alias("name"),
@@ -72,22 +77,22 @@ def _dedupe_order(first_by, *tie):
 
 
 def new_topic_links(fact: DataFrame, news: DataFrame, dim_topics: DataFrame,
-                    dim_news: DataFrame, first_by: str | None = None) -> DataFrame:
+                    dim_news: DataFrame, first_by: str | None = None,
+                    id_map: DataFrame | None = None) -> DataFrame:
     """FCT-1: bridge rows not stored yet (key new_id, topic_id), with ids."""
-    rows = insert_new(fact, topic_links(news, dim_topics, dim_news, first_by),
+    rows = insert_new(fact, topic_links(news, dim_topics, dim_news, first_by, id_map),
                       ["new_id", "topic_id", "published_day"], prune_on="published_day",
                       touched=_news_days(news), **_dedupe_order(first_by, "relevance_score"))
-    return rows.select(hash_id(["new_id", "topic_id"]).alias("id"), "new_id", "topic_id",
+    return rows.select(day_hash_id(["new_id", "topic_id"], F.col("published_day")).alias("id"), "new_id", "topic_id",
                        "relevance_score", "published_day")
 
 
 def company_links(news: DataFrame, dim_companies: DataFrame, dim_news: DataFrame,
-                  first_by: str | None = None) -> DataFrame:
+                  first_by: str | None = None, id_map: DataFrame | None = None) -> DataFrame:
     """FCT-2 rows: one mention per (article, ticker) with its sentiment; each
     ticker resolves to the id of its latest company row (KEY-3)."""
-    exploded = news.select(hash_id(NEWS_KEY).alias("new_id"), *_first_cols(news, first_by),
-                           published_day("time_published").alias("published_day"),
-                           F.explode("ticker_sentiment").alias("s"))
+    exploded = with_new_ids(news, id_map).select("new_id", *_first_cols(news, first_by),
+                                                 "published_day", F.explode("ticker_sentiment").alias("s"))
     links = exploded.select(
         "new_id", "published_day", *(["_first"] if first_by else []),
         F.col("s.ticker").alias("ticker"),
@@ -104,13 +109,14 @@ def company_links(news: DataFrame, dim_companies: DataFrame, dim_news: DataFrame
 
 
 def new_company_links(fact: DataFrame, news: DataFrame, dim_companies: DataFrame,
-                      dim_news: DataFrame, first_by: str | None = None) -> DataFrame:
+                      dim_news: DataFrame, first_by: str | None = None,
+                      id_map: DataFrame | None = None) -> DataFrame:
     """FCT-2: bridge rows not stored yet (key new_id, company_id), with ids."""
-    rows = insert_new(fact, company_links(news, dim_companies, dim_news, first_by),
+    rows = insert_new(fact, company_links(news, dim_companies, dim_news, first_by, id_map),
                       ["new_id", "company_id", "published_day"], prune_on="published_day",
                       touched=_news_days(news),
                       **_dedupe_order(first_by, "ticker_sentiment_score", "relevance_score"))
-    return rows.select(hash_id(["new_id", "company_id"]).alias("id"), "new_id", "company_id",
+    return rows.select(day_hash_id(["new_id", "company_id"], F.col("published_day")).alias("id"), "new_id", "company_id",
                        "relevance_score", "ticker_sentiment_score", "ticker_sentiment_label",
                        "published_day")
 
@@ -163,4 +169,4 @@ def new_candles(fact: DataFrame, bars: DataFrame, dim_companies: DataFrame,
     rows = insert_new(fact, candle_rows(bars, dim_companies, run_date), ["company_id", "time_id"],
                       order_by=["time_stamp"], prune_on="time_id",
                       touched=days)
-    return rows.select(hash_id(["company_id", "time_id"]).alias("id"), *rows.columns)
+    return rows.select(day_hash_id(["company_id", "time_id"], F.col("time_id")).alias("id"), *rows.columns)

@@ -20,16 +20,15 @@ from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
 from ..functions.temporal import epoch_ms_to_ts, published_day
-from ..operators.keys import assign_dense_ids, latest_per_key, max_id, resolve_fks
+from ..operators.keys import ID_MAP, assign_dense_ids, latest_per_key, max_id, resolve_fks, settle_ids
 from ..operators.merge import duplicate_count, insert_ignore, upsert
 from ..operators.quality import check_fk, check_unique, profile
 from ..operators.sets import assemble_capped, capped_report
 from ..session import materialise
-from ..sinks.writers import (append_rows, observed_rows, read_snapshot, write_json, write_run_date,
-                             write_snapshots)
-from ..sources.landing import (empty_frame, read_bars, read_bars_range, read_lake,
-                               read_landing, read_landing_range, run_date_filter, run_date_token,
-                               run_dates_between, unwrap_envelope)
+from ..sinks.publish import Load, is_published, read_published
+from ..sinks.writers import read_snapshot, write_json, write_snapshots
+from ..sources.landing import (empty_frame, read_bars_range, read_bodies_range, read_landing,
+                               read_landing_range, run_date_filter, run_dates_between, unwrap_envelope)
 from ..storage import is_missing_path
 from . import dims, facts, normalize
 
@@ -176,15 +175,7 @@ def run_reference_load(spark: SparkSession, landing: str, root: str, run_date: s
 # flow B: daily warehouse load
 # ---------------------------------------------------------------------------
 
-WAREHOUSE_DDL = {
-    "dim_time": schemas.DIM_TIME,
-    "dim_companies": schemas.DIM_COMPANIES,
-    "dim_topics": schemas.DIM_TOPICS,
-    "dim_news": schemas.DIM_NEWS,
-    "fact_candles": schemas.FACT_CANDLES,
-    "fact_news_companies": schemas.FACT_NEWS_COMPANIES,
-    "fact_news_topics": schemas.FACT_NEWS_TOPICS,
-}
+WAREHOUSE_DDL = schemas.WAREHOUSE_DDL
 
 # facts are partitioned by day (candles: trading day; news and its bridges:
 # publication day) so an insert-if-new load reads only the days it touches
@@ -194,6 +185,9 @@ PARTITIONS = {"fact_candles": "time_id", "dim_news": "published_day",
 
 
 def read_warehouse(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A warehouse table as of the newest commit (or a plain folder, where there is no commit log)."""
+    if is_published(spark, root):
+        return read_published(spark, root, name, WAREHOUSE_DDL[name])
     path = f"{root.rstrip('/')}/{name}"
     try:
         return spark.read.schema(WAREHOUSE_DDL[name]).parquet(path)
@@ -217,72 +211,76 @@ def new_dimension_rows(wh: dict[str, DataFrame], extract: DataFrame, news: DataF
     }
 
 
-def new_fact_rows(wh: dict[str, DataFrame], news: DataFrame, bars: DataFrame, run_date=None
-                  ) -> dict[str, DataFrame]:
+def new_fact_rows(wh: dict[str, DataFrame], news: DataFrame, bars: DataFrame, run_date=None,
+                  id_map: DataFrame | None = None) -> dict[str, DataFrame]:
     """FCT-1..FCT-3: the rows to append to each fact, given dimensions that
     already include this run's new rows."""
     return {
         "fact_candles": facts.new_candles(wh["fact_candles"], bars, wh["dim_companies"],
                                           run_date),
-        "fact_news_topics": facts.new_topic_links(wh["fact_news_topics"], news,
-                                                  wh["dim_topics"], wh["dim_news"]),
-        "fact_news_companies": facts.new_company_links(wh["fact_news_companies"], news,
-                                                       wh["dim_companies"], wh["dim_news"]),
+        "fact_news_topics": facts.new_topic_links(wh["fact_news_topics"], news, wh["dim_topics"],
+                                                  wh["dim_news"], id_map=id_map),
+        "fact_news_companies": facts.new_company_links(wh["fact_news_companies"], news, wh["dim_companies"],
+                                                       wh["dim_news"], id_map=id_map),
     }
 
 
-def capped_news(spark: SparkSession, landing: str, run_date: str, cap: int):
-    """SRC-7 + SET-2: the day's raw news responses ``{landing}/news/{name}-{zone}-{YYYYMMDD}.json``
-    (zone 1 the full day, 2 and 3 its halves; the array under the required key ``feed``).
+def capped_news(spark: SparkSession, landing: str, run_dates: list[str], cap: int):
+    """SRC-7 + SET-2: the raw news responses ``{landing}/news/{name}-{zone}-{YYYYMMDD}.json`` of the run dates,
+    in one scan (zone 1 the full day, 2 and 3 its halves; the array under the required key ``feed``).
 
-    Returns ``(articles, incomplete days, quarantine)``; a malformed response
+    Returns ``(articles, incomplete days, quarantine)``, all with their ``run_date``; a malformed response
     or one without the key is quarantined with its zone."""
-    token = run_date_token(run_date)
-    try:
-        raw = spark.read.option("wholetext", True).text(f"{landing}/news/*-[123]-{token}.json")
-    except AnalysisException as exc:
-        if not is_missing_path(exc):
-            raise
-        raw = empty_frame(spark, T.StructType([T.StructField("value", T.StringType())])).withColumn("_z", F.lit(None).cast("int"))
-    else:
-        raw = raw.withColumn("_z", F.regexp_extract(F.col("_metadata.file_name"), r"-(\d)-\d{8}\.json$", 1).cast("int"))
-    bodies = raw.select(F.lit(run_date).cast("date").alias("run_date"), F.col("_z").alias("zone"), F.col("value").alias("body"))
-    items = materialise(unwrap_envelope(bodies, "body", "feed", schemas.NEWS_RAW), "news-zones")
+    bodies = read_bodies_range(spark, f"{landing}/news", run_dates, "*-[123]")
+    zone = F.regexp_extract("path", r"-(\d)-\d{8}\.json(?:/[^/]*)?$", 1).cast("int")
+    items = materialise(unwrap_envelope(bodies.select("run_date", zone.alias("zone"), "body"), "body", "feed", schemas.NEWS_RAW), "news-zones")
     bad = items.where("_envelope_error").select(
         F.lit("news").alias("source"), F.lit("malformed response or no feed").alias("reason"),
         F.to_json(F.struct("run_date", "zone")).alias("row"), "run_date")
     good = items.where("NOT _envelope_error").drop("_envelope_error")
-    kept = assemble_capped(good, cap).select(*[f.name for f in schemas.NEWS_RAW.fields])
+    kept = assemble_capped(good, cap).select(*[f.name for f in schemas.NEWS_RAW.fields], "run_date")
     return kept, capped_report(good, cap), bad
 
 
-def ingest_landing(spark: SparkSession, landing: str, lake: str, run_date: str,
-                   news_cap: int | None = None) -> None:
-    """SRC-2 → SNK-2: convert the day's landed JSON (news, bars) once into the
-    parquet lake ``{lake}/{news,ohlcs}/run_date=…``.
+#: Shapes of the run-date tables of the lake.
+LAKE_DDL = {name: T.StructType(shape.fields + [T.StructField("run_date", T.DateType())])
+            for name, shape in (("news", schemas.NEWS_RAW), ("ohlcs", schemas.OHLC))}
 
-    A JSON array is one task per file; after this hop every read is a
-    columnar, partition-pruned parquet scan.  A re-run replaces this run date,
-    also where the drop is now missing or empty.  With ``news_cap`` the news
-    are the raw capped responses of :func:`capped_news`; days they may not
-    cover go to ``{lake}/news_incomplete``, bad responses to ``{lake}/news_bad``."""
-    d = F.lit(run_date).cast("date").alias("run_date")
-    if news_cap is None:
-        news = read_landing(spark, f"{landing}/news", run_date, schemas.NEWS_RAW, missing="skip")
-    else:
-        news, incomplete, bad = capped_news(spark, landing, run_date, news_cap)
-        write_run_date(incomplete, lake, "news_incomplete", run_dates=[run_date])
-        write_run_date(bad, lake, "news_bad", run_dates=[run_date])
-    bars = read_bars(spark, f"{landing}/ohlcs", run_date)
-    write_run_date(news.select("*", d), lake, "news", run_dates=[run_date])
-    write_run_date(bars.select("*", d), lake, "ohlcs", run_dates=[run_date])
 
+class _Lake:
+    """The run-date lake of a load: part of the warehouse's own commit, or a root with commits of its own."""
+
+    def __init__(self, load: Load, lake: str | None):
+        self.load = load if lake is None else Load(load.spark, lake)
+        self.prefix, self.own = ("_lake/", False) if lake is None else ("", True)
 
-def read_day(spark: SparkSession, lake: str, prefix: str, schema, run_date) -> DataFrame:
-    """SRC-3: one run date of a lake table (empty, typed, if never written)."""
-    full = T.StructType(schema.fields + [T.StructField("run_date", T.DateType())])
-    return read_lake(spark, lake, prefix, run_date, required=False,
-                     schema=full).drop("run_date")
+    def replace(self, name: str, df: DataFrame, run_dates: list[str]) -> None:
+        self.load.replace(self.prefix + name, df, run_dates)
+
+    def read(self, name: str, run_dates: list[str]) -> DataFrame:
+        return self.load.read(self.prefix + name, LAKE_DDL[name], partitions=run_dates)
+
+    def commit(self) -> None:
+        if self.own:
+            self.load.commit()
+
+
+def ingest(spark: SparkSession, landing: str, lake: _Lake, run_dates: list[str], news_cap: int | None = None) -> None:
+    """SRC-2 → SNK-2: convert the landed JSON (news, bars) of the run dates once into the parquet lake.
+
+    One scan per source, each row tagged with the run date of its file name; after this hop every read is
+    a columnar scan of the run dates' own folders.  A re-run replaces the run dates, also where a drop is now missing or
+    empty.  Without ``news_cap`` the news are arrays of articles, and a raw response among them is an error; with it
+    they are the raw capped responses of :func:`capped_news`: days they may not cover go to ``news_incomplete``,
+    bad responses to ``news_bad``."""
+    if news_cap is None:
+        news = read_landing_range(spark, f"{landing}/news", run_dates, schemas.NEWS_RAW)
+    else:
+        news, incomplete, bad = capped_news(spark, landing, run_dates, news_cap)
+        lake.replace("news_incomplete", incomplete, run_dates)
+        lake.replace("news_bad", bad, run_dates)
+    lake.replace("news", news, run_dates)
+    lake.replace("ohlcs", read_bars_range(spark, f"{landing}/ohlcs", run_dates), run_dates)
 
 
 def daily_quarantine(news: DataFrame, bars: DataFrame, dim_companies: DataFrame,
@@ -315,81 +313,93 @@ def daily_quarantine(news: DataFrame, bars: DataFrame, dim_companies: DataFrame,
     return news_bad.unionByName(unknown).unionByName(no_vw)
 
 
+def _extract(spark: SparkSession, ref_root: str, as_of=None) -> DataFrame:
+    """DIM-1 over the reference snapshots of the newest commit."""
+    ref = {n: read_snapshot(spark, ref_root, n) for n in REF_SCHEMAS}
+    return dims.company_extract(ref["companies"], ref["exchanges"], ref["regions"],
+                                ref["industries"], ref["sic_industries"], as_of=as_of)
+
+
+def _tables(load: Load) -> dict[str, DataFrame]:
+    return {n: load.read(n, schema) for n, schema in WAREHOUSE_DDL.items()}
+
+
 def run_daily_load(spark: SparkSession, landing: str, ref_root: str, root: str, run_date: str,
                    lake: str | None = None, extract_as_of=None, news_cap: int | None = None):
     """Daily flow B end to end for one run date.
 
     The landed news and bars of ``run_date`` are first converted into the
-    parquet lake (``lake``, default ``{root}/_lake``); a missing drop is an
+    parquet lake (``lake``, default ``_lake`` below the warehouse); a missing drop is an
     empty day.  The reference snapshots give the company extract (DIM-1;
     ``extract_as_of`` keeps only companies changed on that day, default:
     every current company — dim_companies is insert-new by ticker, so the
-    superset is safe).  The dimensions are appended first and re-read, then
+    superset is safe).  The dimensions are written first and re-read, then
     the facts; every step is insert-if-new, so running a day twice changes
-    nothing.  Rows left out go to ``{root}/_quarantine/run_date=…`` with a
-    reason.  Returns the number of rows appended per table (observed during
-    the writes)."""
-    lake = lake or f"{root.rstrip('/')}/_lake"
-    ingest_landing(spark, landing, lake, run_date, news_cap)
-    news = read_day(spark, lake, "news", schemas.NEWS_RAW, run_date)
-    bars = read_day(spark, lake, "ohlcs", schemas.OHLC, run_date)
-    ref = {n: read_snapshot(spark, ref_root, n) for n in REF_SCHEMAS}
-    extract = dims.company_extract(ref["companies"], ref["exchanges"], ref["regions"],
-                                   ref["industries"], ref["sic_industries"], as_of=extract_as_of)
-    wh = {n: read_warehouse(spark, root, n) for n in WAREHOUSE_DDL}
+    nothing.  Rows left out go to ``_quarantine`` with a
+    reason.  All of it becomes visible in one commit.  Returns the number of rows
+    appended per table (observed during the writes)."""
+    load = Load(spark, root)
+    store = _Lake(load, lake)
+    ingest(spark, landing, store, [run_date], news_cap)
+    news, bars = store.read("news", [run_date]).drop("run_date"), store.read("ohlcs", [run_date]).drop("run_date")
+    extract = _extract(spark, ref_root, extract_as_of)
     added = {}
-    for name, rows in new_dimension_rows(wh, extract, news, bars, run_date).items():
-        added[name] = _append(spark, rows, root, name)
-    wh = {n: read_warehouse(spark, root, n) for n in WAREHOUSE_DDL}
-    for name, rows in new_fact_rows(wh, news, bars, run_date).items():
-        added[name] = _append(spark, rows, root, name)
+    for name, rows in new_dimension_rows(_tables(load), extract, news, bars, run_date).items():
+        added[name] = _append(load, rows, name)
+    wh = _tables(load)
+    for name, rows in new_fact_rows(wh, news, bars, run_date, _id_map(load)).items():
+        added[name] = _append(load, rows, name)
     bad = daily_quarantine(news, bars, wh["dim_companies"], run_date)
-    added["quarantine"] = _quarantine(bad, root, [run_date])
+    added["quarantine"] = load.replace("_quarantine", bad, [run_date])
+    store.commit()
+    load.commit()
+    load.clean()
     return added
 
 
-def _quarantine(bad: DataFrame, root: str, run_dates: list[str]) -> int:
-    """Replace the quarantine of the named run dates; the rows are counted during the write."""
-    seen = Observation("quarantine")
-    write_run_date(bad.observe(seen, F.count(F.lit(1)).alias("rows")), root, "_quarantine", run_dates=run_dates)
-    return observed_rows(seen, lambda: 0)
-
-
-def ingest_range(spark: SparkSession, landing: str, lake: str, run_dates: list[str]) -> None:
-    """BKF-1 landing hop: every landed news and bars file of ``run_dates`` in
-    ONE scan each (each row tagged with the run date of its file name),
-    written into the run-date partitions of the lake."""
-    news = read_landing_range(spark, f"{landing}/news", run_dates, schemas.NEWS_RAW)
-    bars = read_bars_range(spark, f"{landing}/ohlcs", run_dates)
-    write_run_date(news, lake, "news", run_dates=run_dates)
-    write_run_date(bars, lake, "ohlcs", run_dates=run_dates)
-
-
 def run_backfill(spark: SparkSession, landing: str, ref_root: str, root: str, start: str,
-                 end: str, lake: str | None = None):
-    """BKF-1: load a whole range of run dates (inclusive) as ONE set of jobs.
+                 end: str, lake: str | None = None, news_cap: int | None = None, chunk_days: int | None = None):
+    """BKF-1: load a whole range of run dates (inclusive) as ONE set of jobs, or one per ``chunk_days`` days.
 
     The result equals running :func:`run_daily_load` for every day of the
-    range in order: every insert-if-new keeps a key's *earliest* run date
+    range in order (with the same ``news_cap``): every insert-if-new keeps a key's *earliest* run date
     (a news row's ``time_id`` is the run date it first appeared; a bridge
     row keeps its first scores), dim_topics ids follow (first run date,
     name), and candles take their own run date's ``time_id``.  One scan per
-    source over all partitions of the range replaces a loop of daily jobs.
-    """
-    lake = lake or f"{root.rstrip('/')}/_lake"
-    ingest_range(spark, landing, lake, run_dates_between(start, end))
-    news = read_lake(spark, lake, "news", (start, end), required=False,
-                     schema=T.StructType(schemas.NEWS_RAW.fields
-                                         + [T.StructField("run_date", T.DateType())]))
-    bars = read_lake(spark, lake, "ohlcs", (start, end), required=False,
-                     schema=T.StructType(schemas.OHLC.fields
-                                         + [T.StructField("run_date", T.DateType())]))
-    ref = {n: read_snapshot(spark, ref_root, n) for n in REF_SCHEMAS}
-    extract = dims.company_extract(ref["companies"], ref["exchanges"], ref["regions"],
-                                   ref["industries"], ref["sic_industries"])
-    wh = {n: read_warehouse(spark, root, n) for n in WAREHOUSE_DDL}
+    source over all run dates of a chunk replaces a loop of daily jobs.
+
+    Every chunk is a commit, which also notes that the chunk is done: a backfill that was
+    broken off goes on behind its last commit when it is called again with the same range, chunks
+    and cap; the last commit of a range removes the notes, so that a finished one can be run anew."""
+    days = run_dates_between(start, end)
+    step = chunk_days or max(1, len(days))
+    chunks = [days[i:i + step] for i in range(0, len(days), step)]
+    key = f"backfill {start} {end} {step} {news_cap}"
+    load = Load(spark, root)
+    added: dict[str, int] = {}
+    for chunk in chunks:
+        if chunk[0] in load.notes(key):
+            continue
+        for name, rows in _backfill_chunk(load, landing, ref_root, chunk, lake, news_cap).items():
+            added[name] = added.get(name, 0) + rows
+        load.note(key, chunk[0])
+        if chunk is chunks[-1]:
+            load.forget(key)
+        load.commit()
+        load.clean()
+    return added
+
+
+def _backfill_chunk(load: Load, landing: str, ref_root: str, run_dates: list[str], lake: str | None, news_cap: int | None) -> dict[str, int]:
+    """The rows that daily loads of ``run_dates`` would add, written but not yet committed."""
+    spark = load.spark
+    store = _Lake(load, lake)
+    ingest(spark, landing, store, run_dates, news_cap)
+    news, bars = store.read("news", run_dates), store.read("ohlcs", run_dates)
+    extract = _extract(spark, ref_root)
+    wh = _tables(load)
     days = spark.range(1).select(F.explode(F.sequence(
-        F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("date"))
+        F.lit(run_dates[0]).cast("date"), F.lit(run_dates[-1]).cast("date"))).alias("date"))
     dates = bars.select(epoch_ms_to_ts("time_stamp").cast("date").alias("date")).unionByName(days)
     new_dims = {
         "dim_companies": dims.new_companies(wh["dim_companies"], extract),
@@ -397,49 +407,57 @@ def run_backfill(spark: SparkSession, landing: str, ref_root: str, root: str, st
         "dim_topics": dims.new_topics(wh["dim_topics"], news, first_by="run_date"),
         "dim_news": dims.new_news(wh["dim_news"], news, F.col("run_date")),
     }
-    added = {name: _append(spark, rows, root, name) for name, rows in new_dims.items()}
-    wh = {n: read_warehouse(spark, root, n) for n in WAREHOUSE_DDL}
+    added = {name: _append(load, rows, name) for name, rows in new_dims.items()}
+    wh, id_map = _tables(load), _id_map(load)
     new_facts = {
         "fact_candles": facts.new_candles(
             wh["fact_candles"], bars, wh["dim_companies"], F.col("run_date"),
-            days=[int(d.replace("-", "")) for d in run_dates_between(start, end)]),
+            days=[int(d.replace("-", "")) for d in run_dates]),
         "fact_news_topics": facts.new_topic_links(wh["fact_news_topics"], news,
                                                   wh["dim_topics"], wh["dim_news"],
-                                                  first_by="run_date"),
+                                                  first_by="run_date", id_map=id_map),
         "fact_news_companies": facts.new_company_links(wh["fact_news_companies"], news,
                                                        wh["dim_companies"], wh["dim_news"],
-                                                       first_by="run_date"),
+                                                       first_by="run_date", id_map=id_map),
     }
-    added.update({name: _append(spark, rows, root, name) for name, rows in new_facts.items()})
+    added.update({name: _append(load, rows, name) for name, rows in new_facts.items()})
     bad = daily_quarantine(news, bars, wh["dim_companies"], F.col("run_date"))
-    added["quarantine"] = _quarantine(bad, root, run_dates_between(start, end))
+    added["quarantine"] = load.replace("_quarantine", bad, run_dates)
+    store.commit()
     return added
 
 
-def _append(spark: SparkSession, rows: DataFrame, root: str, name: str) -> int:
+#: Natural keys of the tables whose ids are hashes of their day and key.
+HASH_KEYS = {"dim_news": dims.NEWS_KEY, "fact_candles": ["company_id", "time_id"],
+             "fact_news_topics": ["new_id", "topic_id"], "fact_news_companies": ["new_id", "company_id"]}
+
+
+def _id_map(load: Load) -> DataFrame | None:
+    """Keys whose id is not their hash (None, without a job, if there are none)."""
+    if not load.rows("_id_map"):
+        return None
+    return load.read("_id_map", T.StructType.fromDDL(ID_MAP))
+
+
+def _append(load: Load, rows: DataFrame, name: str) -> int:
     """SNK-4 append; the row count is observed during the write (DQ-6), not
-    computed by a second pass.  Rows whose id is a hash of their key are
-    written to scratch first and must not share an id with each other or with
-    a stored row of their day (facts find articles by day and id)."""
+    computed by a second pass.  Rows with hash ids are written to scratch first
+    and their ids settled (KEY-1)."""
     cols = [f.name for f in WAREHOUSE_DDL[name].fields]
-    path = f"{root.rstrip('/')}/{name}"
-    if name in HASH_IDS:
-        rows = materialise(rows.select(*cols), f"append-{name}")
-        check_hash_ids(rows, read_warehouse(spark, root, name), PARTITIONS[name])
-    seen = Observation(f"append_{name}")
-    observed = rows.select(*cols).observe(seen, F.count(F.lit(1)).alias("rows"))
-    append_rows(observed, path, cols, partition_by=PARTITIONS.get(name))
-    return observed_rows(seen, lambda: 0)   # a collapsed plan means no rows
+    rows = rows.select(*cols)
+    if name in HASH_KEYS:
+        rows = materialise(rows, f"append-{name}")
+        stored = load.read(name, WAREHOUSE_DDL[name])
+        rows, moved = settle_ids(rows, stored, HASH_KEYS[name], PARTITIONS[name], name)
+        if moved is not None:
+            load.append("_id_map", moved)
+    return load.append(name, rows.select(*cols), partition_by=PARTITIONS.get(name))
 
 
 class HashIdCollision(RuntimeError):
     """Two different keys have one hash id."""
 
 
-#: Tables whose ids other tables refer to and are hashes of the key.
-HASH_IDS = ("dim_news",)
-
-
 def check_hash_ids(rows: DataFrame, stored: DataFrame, partition: str) -> None:
     """KEY-1: raise if new rows share a hash id with one another or with stored rows of
     their partition values (those partitions only are read)."""

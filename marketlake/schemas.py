@@ -123,10 +123,16 @@ FACT_NEWS_COMPANIES = _struct(
 FACT_NEWS_TOPICS = _struct(("id", L), ("new_id", L), ("topic_id", L), ("relevance_score", D)).add(
     "published_day", T.IntegerType())
 
-WAREHOUSE_TABLES = (
-    "dim_time", "dim_companies", "dim_topics", "dim_news",
-    "fact_candles", "fact_news_companies", "fact_news_topics",
-)
+WAREHOUSE_DDL = {
+    "dim_time": DIM_TIME,
+    "dim_companies": DIM_COMPANIES,
+    "dim_topics": DIM_TOPICS,
+    "dim_news": DIM_NEWS,
+    "fact_candles": FACT_CANDLES,
+    "fact_news_companies": FACT_NEWS_COMPANIES,
+    "fact_news_topics": FACT_NEWS_TOPICS,
+}
+WAREHOUSE_TABLES = tuple(WAREHOUSE_DDL)
 
 # NOT NULL columns, text widths and foreign keys of the
 # warehouse DDL (the data-quality rules checked by jobs.warehouse_quality).

@@ -220,14 +220,22 @@ def read_landing_range(spark: SparkSession, directory: str, run_dates: list[str]
     return df.select(*schema.names, _file_run_date("_path").alias("run_date"))
 
 
-def read_bars_range(spark: SparkSession, directory: str, run_dates: list[str]) -> DataFrame:
-    """:func:`read_bars` over many run dates in one scan, with ``run_date``."""
+def read_bodies_range(spark: SparkSession, directory: str, run_dates: list[str], name: str = "*") -> DataFrame:
+    """(run_date, path, body): whole response bodies ``{name}-{YYYYMMDD}.json`` of the dates, in one scan
+    (one task per file: a body is bounded by what the vendor returns at once).  Dates without a file contribute nothing."""
+    tokens = ",".join(run_date_token(d) for d in run_dates)
     try:
-        raw = spark.read.option("wholetext", True).text(_range_glob(directory, run_dates))
+        raw = spark.read.option("wholetext", True).text(f"{directory.rstrip('/')}/{name}-{{{tokens}}}.json")
     except AnalysisException as exc:
         if not is_missing_path(exc):
             raise
-        return empty_frame(spark, T.StructType(schemas.OHLC.fields + [
-            T.StructField("run_date", T.DateType())]))
-    return (raw.select(F.explode(_bars_of("value")).alias("bar"), _file_run_date().alias("run_date"))
+        return empty_frame(spark, T.StructType([T.StructField("run_date", T.DateType()), T.StructField("path", T.StringType()), T.StructField("body", T.StringType())]))
+    path = raw.select("value", F.col("_metadata.file_path").alias("path"))
+    return path.select(_file_run_date("path").alias("run_date"), "path", F.col("value").alias("body"))
+
+
+def read_bars_range(spark: SparkSession, directory: str, run_dates: list[str]) -> DataFrame:
+    """:func:`read_bars` over many run dates in one scan, with ``run_date``."""
+    raw = read_bodies_range(spark, directory, run_dates)
+    return (raw.select(F.explode(_bars_of("body")).alias("bar"), "run_date")
             .select(rename_bars("bar").alias("bar"), "run_date").select("bar.*", "run_date"))

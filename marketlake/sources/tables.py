@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..sinks.publish import is_published, read_published
 from .landing import day_range
 
 DRIVER_TABLES = (
@@ -42,11 +43,15 @@ def read_table(spark: SparkSession, root: str, name: str, time_id=None,
     Unknown names raise; ``time_id`` is coerced to an integer (an empty value
     means "all rows", a non-integer raises ``ValueError``).  The filter is a
     plain equality, so it reaches the parquet scan (and the ``time_id``
-    partition directory when the table is partitioned by it).
+    partition directory when the table is partitioned by it).  A warehouse
+    with a commit log is read as of its newest commit.
     """
     if name not in schemas.WAREHOUSE_TABLES:
         raise KeyError(f"unknown warehouse table {name!r}")
-    df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    if is_published(spark, root):
+        df = read_published(spark, root, name, schemas.WAREHOUSE_DDL[name])
+    else:
+        df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
     return filter_time_id(df, time_id, time_col)
 
 
