@@ -31,7 +31,7 @@ def _by_id(df, *cols):
 
 def test_minhash(docs):
     got = _by_id(minhash.near_duplicates(docs), "component_id", "kept")
-    assert got[1] == [(1, True)] and got[2] == [(1, False)] * 2 and got[8] == [(5, False)] and got[None] == [(None, True)]
+    assert got[1] == [(1, True)] and got[2] == [(1, False)] * 2 and got[8] == [(5, False)] and got[None] == [(1, False)]
     assert got[3] == [(3, True)] and got[4] == [(4, True)] and got[7] == [(7, True)] and len(got[9]) == 1
 
 

@@ -65,9 +65,31 @@ def test_nulls_repeated_rows_empty_table_and_extra_columns(docs_df):
     docs = docs_df([(5, t, 1, 2), (3, t, None, 3), (3, t, 1, 1), (None, t, 1, 1), (9, None, 1, 1), (8, "x y", 1, 1)],
                    "doc_id long, text string, component_id int, n int")
     rows = sorted(((r[0], r[2], r[3]) for r in minhash.near_duplicates(docs).collect()), key=str)
-    assert rows == sorted([(5, 3, False), (3, 3, True), (3, 3, True), (None, None, True), (9, 9, True), (8, 8, True)], key=str)
+    assert rows == sorted([(5, 3, False), (3, 3, True), (3, 3, True), (None, 3, False), (9, 9, True), (8, 8, True)], key=str)
     out = minhash.keep_first(docs)
-    assert out.columns == docs.columns and sorted(r[0] or 0 for r in out.collect()) == [0, 3, 3, 8, 9]
+    assert out.columns == docs.columns and sorted(r[0] for r in out.collect()) == [3, 8, 9]  # one row of each group
+
+
+def test_copies_without_an_id_join_their_group(docs_df):
+    t, u = " ".join(map(str, range(30))), " ".join(map(str, range(50, 90)))
+    docs = docs_df([(None, t, "a"), (None, t, "b"), (None, t.upper() + " 30", "c"), (None, u, "d"), (None, "", "e"), (None, None, "f"), (4, u, "g")], "doc_id long, text string, x string")
+    got = [(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()]
+    ends = [(None, 4, False), (4, 4, True), (None, None, True), (None, None, True)]  # d, g, e, f
+    three = sorted(got, key=str)
+    for r in ends:
+        three.remove(r)
+    assert {r[:2] for r in three} == {(None, None)} and 1 <= sum(r[2] for r in three) <= 2  # a and b are one text
+    kept = minhash.keep_first(docs).collect()
+    assert sorted(r.x for r in kept if r.x in "defg") == ["e", "f", "g"] and len([r for r in kept if r.x in "abc"]) == 1
+
+
+@pytest.mark.parametrize("turn", [1, -1])
+def test_one_id_with_two_texts(docs_df, turn):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "pq")
+    rows = [(3, a), (3, b), (5, a + " tail"), (6, b + " tail"), (7, "x " + b)]
+    got = minhash.near_duplicates(docs_df(rows[::turn]), words=3, percent=85)
+    assert sorted(tuple(r) for r in got.collect()) == minhash.brute_force(rows, 3, 85)
+    assert sorted(r.doc_id for r in minhash.keep_first(docs_df(rows[::turn]), words=3, percent=85).collect()) == [3, 3]
 
 
 def test_components_of_a_long_path(docs_df):
