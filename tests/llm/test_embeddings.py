@@ -49,3 +49,28 @@ def test_empty_table_null_ids_and_clashing_columns(docs_df):
     assert embeddings.near_duplicates(docs_df([], SCHEMA)).collect() == []
     df = docs_df([(2, [1.0, 0.0], 1, 5), (1, [1.0, 0.0], 1, 6), (None, [1.0, 0.0], 1, 7)], "vec_id long, embedding array<double>, label int, n_links int")
     assert {tuple(r) for r in embeddings.near_duplicates(df).collect()} == {(2, 1, 1, False), (1, 1, 1, True), (None, 0, None, True)}
+
+
+@pytest.mark.parametrize("turn", [1, -1])
+def test_one_id_with_two_vectors(docs_df, turn):
+    rows = [(3, [1.0, 0.0, 0.0, 0.0], 1), (3, [0.0, 1.0, 0.0, 0.0], 1), (5, [1.0, 0.05, 0.0, 0.0], 1), (6, [0.0, 1.0, 0.05, 0.0], 1), (3, [1.0, 0.01, 0.0, 0.0], 1), (2, [0.0, 1.0, 0.0, 0.1], 2)]
+    got = sorted(tuple(r) for r in embeddings.near_duplicates(docs_df(rows[::turn], SCHEMA)).collect())
+    assert got == embeddings.brute_force(rows, 0.98) and got[1:4] == [(3, 1, 3, True), (3, 2, 3, True), (3, 2, 3, True)]
+
+
+@pytest.mark.parametrize("d,n", [(2, 1000), (16, 10**5), (64, 10**6)])
+def test_plans_keep_their_recall(d, n):
+    tables, hashes = embeddings.plan(d, n, 0.98)
+    rng = np.random.default_rng(d)  # other pairs than those of the plan
+    a, b = rng.normal(size=(2, 1500, d))
+    a = embeddings.unit(a)
+    b = embeddings.unit(0.98 * a + np.sqrt(1 - 0.98 ** 2) * embeddings.unit(b - (a * b).sum(1, keepdims=True) * a))
+    x, y = (embeddings.buckets(v, tables=tables, hashes=hashes) for v in (a, b))
+    assert np.mean([len(np.intersect1d(p, q)) > 0 for p, q in zip(x, y)]) > 0.99
+
+
+def test_chains_of_links():
+    rng = np.random.default_rng(6)
+    order = rng.permutation(500)
+    low = embeddings.smallest_linked(600, order[:-1], order[1:])
+    assert (low[:500] == 0).all() and (low[500:] == np.arange(500, 600)).all()
