@@ -76,6 +76,8 @@ def settle_ids(rows: DataFrame, stored: DataFrame, keys: list[str], day_col: str
         losers = materialise(losers, "id-losers")
         done.append(todo.join(losers.select(day_col, *keys), [day_col, *keys], "left_anti"))
         salt += 1
+        if salt > 12:  # with 47 bits one round is rare, two are not to be seen
+            raise ValueError(f"{kind}: too many rows a day for ids of {bits} hash bits")
         todo = losers.withColumn(id_col, day_hash_id(keys, F.col(day_col), bits, salt))
     out = reduce(lambda a, b: a.unionByName(b), [f.select(*rows.columns) for f in done])
     if not salt:

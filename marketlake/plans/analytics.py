@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.temporal import epoch_ms_to_ts, parse_compact_ts
 from ..functions.text import is_blank, last_token
 from ..operators.keys import latest_per_key
+from ..session import materialise
 
 
 def latest_companies(dim_companies: DataFrame) -> DataFrame:
@@ -142,14 +143,34 @@ def mentions_per_day(fact_news_companies: DataFrame, dim_news: DataFrame,
             .orderBy(F.asc("date"), F.desc("num_mentions"), F.asc("ticker")))
 
 
+#: Shares of the rows whose largest values a quantile summary returns, from all down to 4e-12.
+_SHARES = [4.0 ** -i for i in range(20)]
+
+
+def rank_threshold(rows: DataFrame, col: str, want: int):
+    """SRT-4: a value of ``col`` at or below which about ``want`` rows lie or more (None: all rows are wanted).
+
+    One pass builds quantile summaries per partition and merges them (a few KB each, whatever the table's size); as the
+    summary's error is a share of the rows, a second pass repeats it over what the first left, so the rows
+    that remain don't grow with the table.  Nothing is sorted or limited."""
+    at = None
+    for _ in range(2):
+        kept = rows.where(F.col(col).isNotNull() if at is None else F.col(col) <= F.lit(at))
+        r = kept.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(col, _SHARES, 10000).alias("at")).first()
+        enough = [v for share, v in zip(_SHARES, r["at"] or []) if share * r["n"] >= 2 * want]
+        if not enough:
+            return at
+        at = enough[-1]
+    return at
+
+
 def lowest_sentiment(fact_news_companies: DataFrame, dim_news: DataFrame,
                      companies: DataFrame, k: int = 10) -> DataFrame:
     """QRY-16 (JON-7, SRT-4): the ``k`` most negative ticker mentions.
 
-    Only mentions at or below a threshold meet their article and company: the
-    score of the n-th lowest mention, ties included, with n raised until ``k``
-    of them have both parents.  Each round reads one narrow column and returns
-    one number; the wide joins see a few rows instead of the whole fact."""
+    Only mentions at or below a threshold (:func:`rank_threshold`, ties included) meet their article and
+    company.  Where fewer than ``k`` of those have both parents, the threshold is raised to a rank 16 times as high; a
+    mention without parents never takes another one's place."""
     score = "ticker_sentiment_score"
     f = fact_news_companies.select("new_id", "company_id", score)
     n = dim_news.select(F.col("id").alias("new_id"), "title")
@@ -159,13 +180,10 @@ def lowest_sentiment(fact_news_companies: DataFrame, dim_news: DataFrame,
         return (rows.join(n, "new_id").join(c, "company_id").select("ticker", "title", score)
                 .orderBy(F.asc_nulls_last(score), F.asc("ticker"), F.asc("title")).limit(k))
 
-    want = 8 * k
-    while True:
-        low = (f.select(score).where(F.col(score).isNotNull()).orderBy(score).limit(want)
-               .agg(F.count(F.lit(1)).alias("n"), F.max(score).alias("most")).first())
-        if low["n"] < want:
-            return top(f)
-        found = top(f.where(F.col(score) <= F.lit(low["most"])))
+    want = 4 * k
+    while (at := rank_threshold(f.select(score), score, want)) is not None:
+        found = materialise(top(f.where(F.col(score) <= F.lit(at))), "lowest")  # k rows
         if found.count() >= k:
-            return found
+            return found.orderBy(F.asc_nulls_last(score), F.asc("ticker"), F.asc("title"))
         want *= 16
+    return top(f)

@@ -22,19 +22,21 @@ Stand-ins used below:
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import operators as op
 from ..functions import (epoch_ms_to_ts, exact_mean, format_compact_ts, round_half_up, row_hash_concat,
                          row_hash_json, time_id, ts_to_epoch_ms, word_tokens)
-from ..session import scratch_path
-from ..sinks.writers import append_rows, export_tables, write_json, write_json_arrays, write_run_date
+from ..session import materialise, scratch_path
+from ..sinks.publish import read_published
+from ..sinks.writers import append_rows, export_tables, write_json, write_json_arrays, write_run_date, write_snapshots
 from ..sources import (DRIVER_TABLES, Tables, day_range, empty_frame, filter_time_id, read_lake,
                        read_landing, read_landing_range, read_table, rename_bars, unwrap_envelope)
-from ..streaming.increment import run_increment
+from ..streaming.increment import run_increment, run_increment_load
 from . import analytics as qa
 from . import dims, facts, normalize
 
@@ -746,9 +748,10 @@ def bridge_news_topics(spark, d):
     topics = op.assign_dense_ids(vocab_words, ["name"]).withColumnRenamed("id", "topic_id")
     words = t.documents.select(F.col("doc_id").alias("new_id"),
                                F.explode(word_tokens("text")).alias("name"))
-    # a document's words are counted before the join: a common word meets it once a document
-    counts = words.groupBy("new_id", "name").agg(F.count(F.lit(1)).cast("double").alias("relevance_score"))
-    links = counts.join(topics, "name").select("new_id", "topic_id", "relevance_score")
+    # words outside the vocabulary go before anything is shuffled (AQE broadcasts the vocabulary where its measured size
+    # allows it, else splits a hot word's partition); a document's words are counted within its task
+    links = (words.join(topics, "name").groupBy("new_id", "topic_id")
+             .agg(F.count(F.lit(1)).cast("double").alias("relevance_score")))
     existing = spark.createDataFrame([], "new_id long, topic_id long")
     return op.insert_new(existing, links, ["new_id", "topic_id"], dedupe_batch=False)
 
@@ -1197,6 +1200,153 @@ def backfill_range(spark, d):
     return rows.select("o_custkey", "o_orderkey", "run_date")
 
 
+_LANDED = """
+WITH o AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 997 = 7 THEN 0 WHEN o_orderkey % 50 = 3 THEN 1 ELSE 2 + o_orderkey % 4 END AS first_day FROM orders),
+     landed AS (SELECT o_orderkey, o_custkey, first_day AS day FROM o UNION ALL
+                SELECT o_orderkey, o_custkey, first_day + 1 FROM o WHERE o_orderkey % 7 = 0),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY o_orderkey) AS rn, count(*) OVER (PARTITION BY day) AS n FROM landed),
+     kept AS (SELECT o_orderkey, o_custkey, min(day) AS day FROM ranked
+              WHERE n < 200 OR day <> 3 OR o_orderkey % 2 = 0 OR rn <= 200 GROUP BY 1, 2)
+"""
+BACKFILL_CAP = 200
+
+
+def _land_responses(t: Tables, base: str) -> None:
+    """Six run dates of raw capped news responses (orders as articles; some come again a day later) and of bars.
+
+    A full-day request returns BACKFILL_CAP articles at most, the halves all of theirs; of the fourth day the second half
+    never landed.  A file holds up to some hundred articles, so files grow in number, not in size."""
+    day = F.expr("CASE WHEN o_orderkey % 997 = 7 THEN 0 WHEN o_orderkey % 50 = 3 THEN 1 ELSE 2 + o_orderkey % 4 END")
+    o = t.orders.select("o_orderkey", "o_custkey", day.alias("day"))
+    landed = o.unionByName(o.where("o_orderkey % 7 = 0").withColumn("day", F.col("day") + 1))
+    token = lambda c: F.date_format(F.date_add(F.lit("2025-07-10").cast("date"), F.col(c).cast("int")), "yyyyMMdd")
+    key = F.col("o_orderkey").cast("string")
+    topic = F.struct(F.concat(F.lit("topic "), F.col("o_orderkey") % 5).alias("topic"), F.lit("0.5").alias("relevance_score"))
+    mention = F.struct(F.concat(F.lit("T"), F.col("o_custkey")).alias("ticker"), F.lit("0.25").alias("relevance_score"),
+                       F.lit("-0.5").alias("ticker_sentiment_score"), F.lit("Bearish").alias("ticker_sentiment_label"))
+    article = F.struct(F.concat(F.lit("order "), key).alias("title"), key.alias("url"),
+                       F.concat(F.lit("202507"), F.lpad((F.lit(1) + F.col("o_orderkey") % 9).cast("string"), 2, "0"), F.lit("T101500")).alias("time_published"),
+                       F.array(F.lit("a")).alias("authors"), F.lit("s").alias("summary"), F.lit("orders").alias("source"),
+                       F.lit(0.5).alias("overall_sentiment_score"), F.lit("Neutral").alias("overall_sentiment_label"),
+                       F.array(topic).alias("topics"), F.array(mention).alias("ticker_sentiment"))
+    rows = landed.select("day", "o_orderkey", article.alias("article"))
+    rank = F.row_number().over(Window.partitionBy("day").orderBy("o_orderkey"))  # keeps BACKFILL_CAP rows a partition
+    full = rows.withColumn("rn", rank).where(F.col("rn") <= BACKFILL_CAP).drop("rn").withColumn("zone", F.lit(1))
+    halves = rows.withColumn("zone", F.lit(2) + (F.col("o_orderkey") % 2).cast("int")).where("NOT (day = 3 AND zone = 3)")
+    count = max(1, t.orders.count() // 2000)
+    files = full.withColumn("part", F.lit(0)).unionByName(halves.withColumn("part", F.pmod(F.xxhash64("o_orderkey"), F.lit(count)).cast("int")))
+    body = F.to_json(F.struct(F.collect_list("article").alias("feed")))
+    bodies = files.groupBy("day", "zone", "part").agg(body.alias("value"))
+    name = F.format_string("n%d-%d-%s.json", "part", "zone", token("day"))
+    bodies.select("value", name.alias("drop")).write.partitionBy("drop").text(f"{base}/news")
+    ms = lambda c: F.unix_millis(F.date_add(F.lit("2025-07-10").cast("date"), F.col(c).cast("int")).cast("timestamp"))
+    c = t.customer.select("c_custkey", F.explode(F.sequence(F.lit(0), F.lit(1))).alias("day"))
+    bar = F.struct(F.concat(F.lit("T"), F.col("c_custkey")).alias("T"), F.lit(7.0).alias("v"), F.when(F.col("c_custkey") % 10 > 0, 1.5).alias("vw"), F.lit(1.0).alias("o"), F.lit(2.0).alias("c"),
+                   F.lit(2.0).alias("h"), F.lit(1.0).alias("l"), ms("day").alias("t"), F.col("c_custkey").cast("long").alias("n"))
+    bars = c.select("day", F.pmod(F.xxhash64("c_custkey"), F.lit(max(1, t.customer.count() // 500))).alias("part"), bar.alias("bar"))
+    bars = bars.groupBy("day", "part").agg(F.to_json(F.struct(F.collect_list("bar").alias("results"))).alias("value"))
+    bars.select("value", F.format_string("b%d-%s.json", "part", token("day")).alias("drop")).write.partitionBy("drop").text(f"{base}/ohlcs")
+
+
+def _store_reference(t: Tables, root: str) -> None:
+    """Reference snapshots of which the customers are the companies."""
+    spark = t.spark
+    stamp = F.lit(RUN_TS).cast("timestamp_ntz").alias("updated_time")
+    one = spark.range(1)
+    tables = {
+        "regions": one.select(F.lit(1).cast("long").alias("id"), F.lit("R").alias("region")),
+        "exchanges": one.select(F.lit(1).cast("long").alias("id"), F.lit(1).cast("long").alias("region_id"), F.lit("X").alias("name")),
+        "industries": one.select(F.lit(1).cast("long").alias("id"), F.lit("I").alias("industry"), F.lit("S").alias("sector")),
+        "sic_industries": one.select(F.lit(1).cast("long").alias("id"), F.lit("SI").alias("sic_industry"), F.lit("SS").alias("sic_sector")),
+        "companies": t.customer.select(F.col("c_custkey").cast("long").alias("id"), *[F.lit(1).cast("long").alias(f"{x}_id") for x in ("exchange", "industry", "sic")],
+                                       F.col("c_name").alias("name"), F.concat(F.lit("T"), F.col("c_custkey")).alias("ticker"), F.lit(False).alias("is_delisted"),
+                                       F.lit("CS").alias("category"), F.lit("USD").alias("currency"), F.lit("NY").alias("location"), stamp),
+    }
+    write_snapshots(spark, tables, root)
+
+
+@query("run_backfill_tables", _LANDED + """
+SELECT 'dim_news' AS "table", day, count(*) AS "rows", CAST(sum(o_orderkey) AS BIGINT) AS keys FROM kept GROUP BY 2
+UNION ALL SELECT 'fact_news_topics', day, count(*), CAST(sum(o_orderkey) AS BIGINT) FROM kept GROUP BY 2
+UNION ALL SELECT 'fact_news_companies', day, count(*), CAST(sum(o_orderkey) AS BIGINT) FROM kept JOIN customer ON o_custkey = c_custkey GROUP BY 2
+UNION ALL SELECT 'fact_candles', day, count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer, (VALUES (0), (1)) d(day) WHERE c_custkey % 10 > 0 GROUP BY 2
+UNION ALL SELECT 'dim_time', day, 1, 0 FROM range(0, 7) d(day)
+UNION ALL SELECT 'news_incomplete', day, 1, 0 FROM ranked GROUP BY day HAVING max(n) >= 200 AND (day = 3 OR count(DISTINCT CASE WHEN o_orderkey % 2 = 0 THEN 0 ELSE 1 END) < 2
+  OR greatest(count(*) FILTER (o_orderkey % 2 = 0), count(*) FILTER (o_orderkey % 2 = 1)) >= 200)
+""")
+def run_backfill_tables(spark, d):
+    """BKF-1, flow B: ``run_backfill`` itself over landed capped responses of seven run dates, then what it stored per run date."""
+    from .jobs import run_backfill
+    t, base = Tables(spark, d), scratch_path(spark, "backfill")
+    _land_responses(t, f"{base}/landing")
+    _store_reference(t, f"{base}/ref")
+    run_backfill(spark, f"{base}/landing", f"{base}/ref", f"{base}/wh", "2025-07-10", "2025-07-16", news_cap=BACKFILL_CAP)
+    wh = {n: read_table(spark, f"{base}/wh", n) for n in ("dim_news", "dim_time", "fact_candles", "fact_news_topics", "fact_news_companies", "dim_companies")}
+    day = lambda c: (F.col(c) - 20250710).cast("long")
+    news = wh["dim_news"].select(F.col("id").alias("new_id"), "published_day", F.col("url").cast("long").alias("key"), day("time_id").alias("day"))
+    companies = wh["dim_companies"].select(F.col("id").alias("company_id"), F.substring("ticker", 2, 20).cast("long").alias("key"))
+    found = {
+        "dim_news": news.select("day", "key"),
+        "fact_news_topics": wh["fact_news_topics"].join(news, ["new_id", "published_day"]).select("day", "key"),
+        "fact_news_companies": wh["fact_news_companies"].join(news, ["new_id", "published_day"]).select("day", "key"),
+        "fact_candles": wh["fact_candles"].select("company_id", day("time_id").alias("day")).join(companies, "company_id").select("day", "key"),
+        "dim_time": wh["dim_time"].select(day("id").alias("day"), F.lit(0).cast("long").alias("key")),
+        "news_incomplete": read_published(spark, f"{base}/wh", "_lake/news_incomplete", T.StructType([T.StructField("run_date", T.DateType()), T.StructField("reason", T.StringType())]))
+        .select(day_number("run_date").alias("day"), F.lit(0).cast("long").alias("key")),
+    }
+    parts = [rows.groupBy("day").agg(F.count(F.lit(1)).alias("rows"), F.sum("key").alias("keys")).select(F.lit(n).alias("table"), "day", "rows", "keys") for n, rows in found.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def day_number(c: str) -> F.Column:
+    return F.datediff(F.col(c), F.lit("2025-07-10")).cast("long")
+
+
+@query("hash_id_collisions", """
+SELECT count(*) AS "rows", count(*) AS ids, count(*) AS found, CAST(0 AS BIGINT) AS changed FROM orders
+""")
+def hash_id_collisions(spark, d):
+    """KEY-1 with a hash so narrow that ids meet, in two loads: ids are unique, found again from the key, and stable over a re-run."""
+    o = Tables(spark, d).orders
+    bits = max(4, o.count()).bit_length() + 1
+    rows = o.select("o_orderkey", (F.year("o_orderdate") * 10000 + 101).cast("int").alias("day"), "o_orderstatus", F.lit(None).cast("long").alias("id"))
+    cols = ["o_orderkey", "day", "id"]
+    empty = spark.createDataFrame([], "o_orderkey long, day int, id long")
+    done, maps = empty, spark.createDataFrame([], op.ID_MAP)
+    for part in (rows.where("o_orderstatus = 'F'"), rows.where("o_orderstatus <> 'F'")):
+        new, moved = op.settle_ids(part.select(*cols), done, ["o_orderkey"], "day", "orders", bits)
+        done = materialise(done.unionByName(new.select(*cols)), "settled")
+        maps = maps if moved is None else materialise(maps.unionByName(moved), "id-map")
+    again, _ = op.settle_ids(rows.where("o_orderstatus = 'F'").select(*cols), empty, ["o_orderkey"], "day", "orders", bits)
+    looked = op.mapped_ids(rows.select("o_orderkey", "day"), ["o_orderkey"], "day", "orders", "looked_up", maps, bits)
+    both = done.join(looked, ["o_orderkey", "day"]).join(again.select("o_orderkey", F.col("id").alias("again")), "o_orderkey", "left")
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"), F.count_if(F.col("id") == F.col("looked_up")).alias("found"),
+                    F.count_if(F.col("again") != F.col("id")).alias("changed"))
+
+
+@query("stream_late_rows", """
+WITH e AS (SELECT event_id, user_id, ts FROM events), m AS (SELECT max(ts) AS newest FROM e),
+     again AS (SELECT 10000000000 + event_id AS event_id, user_id, ts FROM e, m WHERE ts < TIMESTAMP '2024-01-05' OR ts >= newest - INTERVAL 2 DAY)
+SELECT event_id, user_id, false AS late FROM e
+UNION ALL SELECT event_id, user_id, ts < newest - INTERVAL 7 DAY FROM again, m
+""")
+def stream_late_rows(spark, d):
+    """STR-1: three drops one after the other (the second overlaps the first, the third holds late rows), each twice offered to the stream."""
+    ev = Tables(spark, d).events.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    base = scratch_path(spark, "stream")
+    newest = ev.agg(F.max("ts")).first()[0]
+    at = lambda x: F.lit(x).cast("timestamp")
+    third = ev.where((F.col("ts") < at("2024-01-05")) | (F.col("ts") >= at(newest) - F.expr("INTERVAL 2 DAYS"))).withColumn("event_id", F.col("event_id") + 10_000_000_000)
+    for i, drop in enumerate((ev.where(F.col("ts") < at("2024-01-20")), ev.where(F.col("ts") >= at("2024-01-10")), third)):
+        drop.write.parquet(f"{base}/landing/drop={i}")
+        for _ in range(2):  # the second run finds nothing new
+            run_increment_load(spark, f"{base}/landing/*", ev.schema, f"{base}/wh", "stream_events", ["event_id"], "ts", "7 DAYS", f"{base}/_checkpoint")
+    schema = T.StructType([*ev.schema.fields, T.StructField("time_id", T.IntegerType())])
+    late = read_published(spark, f"{base}/wh", "stream_events_late", schema.add("batch_id", T.LongType()))
+    kept = read_published(spark, f"{base}/wh", "stream_events", T.StructType(schema.fields[:4]))
+    return kept.select("event_id", "user_id", F.lit(False).alias("late")).unionByName(late.select("event_id", "user_id", F.lit(True).alias("late")))
+
+
 @query("stream_increment", """
 SELECT event_id, ts, user_id, event_type, value FROM events
 WHERE ts >= TIMESTAMP '2024-01-05'

@@ -1,3 +1,3 @@
-from .increment import run_increment
+from .increment import LateRows, apply_batch, run_increment, run_increment_load
 
-__all__ = ["run_increment"]
+__all__ = ["LateRows", "apply_batch", "run_increment", "run_increment_load"]
