@@ -1215,7 +1215,7 @@ def _land_responses(t: Tables, base: str) -> None:
     """Six run dates of raw capped news responses (orders as articles; some come again a day later) and of bars.
 
     A full-day request returns BACKFILL_CAP articles at most, the halves all of theirs; of the fourth day the second half
-    never landed.  A file holds up to some hundred articles, so files grow in number, not in size."""
+    never landed.  A file holds up to about a thousand articles, so files grow in number, not in size."""
     day = F.expr("CASE WHEN o_orderkey % 997 = 7 THEN 0 WHEN o_orderkey % 50 = 3 THEN 1 ELSE 2 + o_orderkey % 4 END")
     o = t.orders.select("o_orderkey", "o_custkey", day.alias("day"))
     landed = o.unionByName(o.where("o_orderkey % 7 = 0").withColumn("day", F.col("day") + 1))
@@ -1233,7 +1233,7 @@ def _land_responses(t: Tables, base: str) -> None:
     rank = F.row_number().over(Window.partitionBy("day").orderBy("o_orderkey"))  # keeps BACKFILL_CAP rows a partition
     full = rows.withColumn("rn", rank).where(F.col("rn") <= BACKFILL_CAP).drop("rn").withColumn("zone", F.lit(1))
     halves = rows.withColumn("zone", F.lit(2) + (F.col("o_orderkey") % 2).cast("int")).where("NOT (day = 3 AND zone = 3)")
-    count = max(1, t.orders.count() // 2000)
+    count = max(1, t.orders.count() // 8000)
     files = full.withColumn("part", F.lit(0)).unionByName(halves.withColumn("part", F.pmod(F.xxhash64("o_orderkey"), F.lit(count)).cast("int")))
     body = F.to_json(F.struct(F.collect_list("article").alias("feed")))
     bodies = files.groupBy("day", "zone", "part").agg(body.alias("value"))

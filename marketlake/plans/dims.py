@@ -38,9 +38,8 @@ def company_extract(companies: DataFrame, exchanges: DataFrame, regions: DataFra
                     as_of=None) -> DataFrame:
     """DIM-1 (JON-1, FLT-8, SRC-4): the denormalised company rows of one day.
 
-    Four left joins along the foreign keys.  Venues and regions are bounded
-    by the domain and broadcast; industry names are vendor text, so AQE
-    decides from their measured size.  ``as_of`` keeps
+    Four left joins along the foreign keys.  All four tables hold vendor text, so
+    none is forced into a broadcast: AQE decides from their measured size.  ``as_of`` keeps
     the rows changed on that calendar day, written as a range on
     ``updated_time`` so it reaches the scan."""
     c = companies if as_of is None else companies.where(day_range("updated_time", as_of))
@@ -49,8 +48,8 @@ def company_extract(companies: DataFrame, exchanges: DataFrame, regions: DataFra
     r = regions.select(F.col("id").alias("region_id"), "region")
     i = industries.select(F.col("id").alias("industry_id"), "industry", "sector")
     s = sic_industries.select(F.col("id").alias("sic_id"), "sic_industry", "sic_sector")
-    out = (c.join(F.broadcast(e), "exchange_id", "left")
-           .join(F.broadcast(r), "region_id", "left")
+    out = (c.join(e, "exchange_id", "left")
+           .join(r, "region_id", "left")
            .join(i, "industry_id", "left")
            .join(s, "sic_id", "left"))
     return out.select("name", "ticker", "is_delisted", "category", "currency", "location",

@@ -46,7 +46,8 @@ def write_run_date(df: DataFrame, root: str, prefix: str, run_date_col: str = "r
     Dynamic partition overwrite replaces the run dates present in the batch,
     other days are untouched.  ``run_dates`` names the days the batch stands
     for: those are replaced even where the batch has no row for them (a day
-    corrected to empty), so a re-run is idempotent.  Their old partitions go
+    corrected to empty), so a re-run is idempotent (jobs publish run dates by
+    ``publish.Load.replace`` instead, which deletes nothing before its commit).  Their old partitions go
     just before the write (``df`` must not read them); a failed write is
     repaired by running it again.
     The ``rebalance`` hint clusters rows by the partition column, so each
@@ -82,19 +83,17 @@ def append_rows(df: DataFrame, path: str, columns: list[str],
 # ``_SUCCESS`` file, and is never rewritten: a crash leaves the previous commit in force,
 # and readers see all tables of a load or none.
 
-def _commits(spark: SparkSession, root: str) -> list[int]:
-    base = f"{root.rstrip('/')}/_commits"
-    return sorted(int(n) for n in names(spark, base) if n.isdigit() and exists(spark, f"{base}/{n}/_SUCCESS"))
-
-
 def versions(spark: SparkSession, root: str) -> dict[str, int]:
-    """The version of every table in the latest commit (one row a table)."""
-    done = _commits(spark, root)
-    if not done:
+    """The version of every table in the newest valid commit (one row a table); commits are asked newest first."""
+    base = f"{root.rstrip('/')}/_commits"
+    for k in sorted((int(n) for n in names(spark, base) if n.isdigit()), reverse=True):
+        if exists(spark, f"{base}/{k}/_SUCCESS"):
+            break
+    else:
         return {}
-    rows = spark.read.schema("name string, version long").json(f"{root.rstrip('/')}/_commits/{done[-1]}").collect()
+    rows = spark.read.schema("name string, version long").json(f"{base}/{k}").collect()
     if not rows or any(r["name"] is None or r["version"] is None for r in rows):
-        raise ValueError(f"commit {done[-1]} of {root} cannot be read")
+        raise ValueError(f"commit {k} of {root} cannot be read")
     return {r["name"]: r["version"] for r in rows}
 
 
