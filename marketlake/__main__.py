@@ -41,16 +41,19 @@ def _parser() -> argparse.ArgumentParser:
         d.add_argument(name, required=True)
     d.add_argument("--extract-as-of", default=None, help="only companies changed on this day")
     d.add_argument("--news-cap", type=int, default=None, help="news are raw responses of at most this many articles")
+    d.add_argument("--split-hot", action="store_true", help="keep hot tickers out of the joins' shuffles")
 
     b = sub.add_parser("backfill", help="warehouse load of a run-date range (BKF-1)")
     for name in ("--landing", "--ref", "--warehouse", "--start", "--end"):
         b.add_argument(name, required=True)
     b.add_argument("--news-cap", type=int, default=None, help="news are raw responses of at most this many articles")
+    b.add_argument("--split-hot", action="store_true", help="keep hot tickers out of the joins' shuffles")
     b.add_argument("--chunk-days", type=int, default=None, help="days per commit; a broken run goes on behind its last commit")
 
     q = sub.add_parser("quality", help="data-quality report over the warehouse")
     q.add_argument("--warehouse", required=True)
     q.add_argument("--out", required=True)
+    q.add_argument("--days", default=None, help="only the partitions of these days (yyyymmdd, comma-separated)")
 
     e = sub.add_parser("export", help="export warehouse tables with a manifest")
     e.add_argument("--warehouse", required=True)
@@ -75,14 +78,15 @@ def main(argv=None, spark=None) -> int:
     elif args.cmd == "daily-load":
         print(json.dumps(jobs.run_daily_load(spark, args.landing, args.ref, args.warehouse,
                                              args.run_date, extract_as_of=args.extract_as_of,
-                                             news_cap=args.news_cap)))
+                                             news_cap=args.news_cap, split_hot=args.split_hot)))
     elif args.cmd == "backfill":
         print(json.dumps(jobs.run_backfill(spark, args.landing, args.ref, args.warehouse,
                                            args.start, args.end, news_cap=args.news_cap,
-                                           chunk_days=args.chunk_days)))
+                                           chunk_days=args.chunk_days, split_hot=args.split_hot)))
     elif args.cmd == "quality":
         wh = {n: read_table(spark, args.warehouse, n) for n in schemas.WAREHOUSE_TABLES}
-        jobs.warehouse_quality(wh).coalesce(1).write.mode("overwrite").json(args.out)
+        days = [int(d) for d in args.days.split(",")] if args.days else None
+        jobs.warehouse_quality(wh, days).coalesce(1).write.mode("overwrite").json(args.out)
     elif args.cmd == "export":
         names = [n for n in args.tables.split(",") if n]
         tables = {n: read_table(spark, args.warehouse, n) for n in names}

@@ -131,15 +131,17 @@ def mentions_per_day(fact_news_companies: DataFrame, dim_news: DataFrame,
                      companies: DataFrame, dim_time: DataFrame) -> DataFrame:
     """QRY-15 (JON-7, AGG-2, SRT-2): mentions per (ticker, date).
 
-    Star join fact → news → company → time.  ``dim_time`` is bounded by the
+    Star join fact → news, then mentions counted per company and day before they meet company and
+    calendar: a hot ticker reaches the company join as one row a day.  ``dim_time`` is bounded by the
     calendar and is broadcast; news and companies are left to AQE, which
     broadcasts them only when their measured size is under the threshold."""
     f = fact_news_companies.select("new_id", "company_id")
     n = dim_news.select(F.col("id").alias("new_id"), "time_id")
     c = companies.select(F.col("id").alias("company_id"), "ticker")
     t = F.broadcast(dim_time.select(F.col("id").alias("time_id"), "date"))
-    return (f.join(n, "new_id").join(c, "company_id").join(t, "time_id")
-            .groupBy("ticker", "date").agg(F.count(F.lit(1)).alias("num_mentions"))
+    counts = f.join(n, "new_id").groupBy("company_id", "time_id").agg(F.count(F.lit(1)).alias("num_mentions"))
+    return (counts.join(c, "company_id").join(t, "time_id")
+            .groupBy("ticker", "date").agg(F.sum("num_mentions").alias("num_mentions"))
             .orderBy(F.asc("date"), F.desc("num_mentions"), F.asc("ticker")))
 
 

@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import operators as op
-from ..functions import (epoch_ms_to_ts, exact_mean, format_compact_ts, round_half_up, row_hash_concat,
+from ..functions import (day_hash_id, epoch_ms_to_ts, exact_mean, format_compact_ts, round_half_up, row_hash_concat,
                          row_hash_json, time_id, ts_to_epoch_ms, word_tokens)
+from ..schemas import WAREHOUSE_DDL
 from ..session import materialise, scratch_path
 from ..sinks.publish import read_published
 from ..sinks.writers import append_rows, export_tables, write_json, write_json_arrays, write_run_date, write_snapshots
@@ -1178,6 +1179,60 @@ def dq_length(spark, d):
     return op.check_length(Tables(spark, d).part, {"p_name": 10}).select("p_partkey", "p_name")
 
 
+@query("heavy_keys", """
+SELECT l_suppkey, count(*) AS "rows" FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY 1
+HAVING count(*) >= CAST(0.01 AS DOUBLE) * (SELECT count(*) FROM lineitem WHERE l_suppkey IS NOT NULL)
+""")
+def heavy_keys(spark, d):
+    """Tickers with a hundredth of all mentions or more, and how many they have."""
+    return op.heavy_keys(Tables(spark, d).lineitem, ["l_suppkey"])
+
+
+@query("hot_key_join", """
+SELECT l_suppkey AS ticker, s_name AS name, count(*) AS mentions, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
+FROM lineitem LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal >= 0) ON s_suppkey = l_suppkey GROUP BY 1, 2
+""")
+def hot_key_join(spark, d):
+    """JON-2/7, KEY-3: mentions with their companies; hot tickers' rows never move for the join."""
+    t = Tables(spark, d)
+    companies = t.supplier.where("s_acctbal >= 0").select(F.col("s_suppkey").alias("ticker"), F.col("s_name").alias("name"))
+    mentions = t.lineitem.select(F.col("l_suppkey").alias("ticker"), F.col("l_quantity").cast("long").alias("quantity"))
+    return (op.split_join(mentions, companies, ["ticker"], "left").groupBy("ticker", "name")
+            .agg(F.count(F.lit(1)).alias("mentions"), F.sum("quantity").alias("quantity")))
+
+
+_DQ_MONTH = "1997-03"
+
+
+@query("dq_days", f"""
+WITH latest AS (SELECT o_custkey AS ticker, o_orderkey AS company_id, o_orderstatus AS status FROM {_latest_orders_sql()}),
+     f AS (SELECT o.o_orderkey AS new_id, company_id, status, o.o_orderstatus
+           FROM lineitem JOIN latest ON l_suppkey = ticker JOIN orders o ON l_orderkey = o.o_orderkey
+           WHERE strftime(o.o_orderdate, '%Y-%m') = '{_DQ_MONTH}')
+SELECT 'fact_news_companies' AS "table", 'unique' AS "check", 'id' AS column_name,
+       (SELECT count(*) FROM (SELECT 1 FROM f GROUP BY new_id, company_id HAVING count(*) > 1)) AS violations
+UNION ALL SELECT 'fact_news_companies', 'fk->dim_news', 'new_id', (SELECT count(*) FROM f WHERE o_orderstatus = 'P')
+UNION ALL SELECT 'fact_news_companies', 'fk->dim_companies', 'company_id', (SELECT count(*) FROM f WHERE status = 'F')
+UNION ALL SELECT 'dim_news', 'unique', 'id', 0
+UNION ALL SELECT 'dim_companies', 'unique', 'id', 0
+""")
+def dq_days(spark, d):
+    """DQ-2, DQ-3 over the partitions of one month: mentions not deduplicated, some without their article or company."""
+    from .jobs import warehouse_quality
+    t = Tables(spark, d)
+    news = materialise(_order_news(t, t.lineitem), "dq-articles")
+    companies = company_versions(t).withColumn("ticker", F.col("ticker").cast("string"))
+    stored = dims.news_rows(news, RUN_TS[:10])
+    links = facts.company_links(news, companies, stored)
+    ids = links.withColumn("id", day_hash_id(["new_id", "company_id"], F.col("published_day")))
+    wh = {"fact_news_companies": materialise(ids, "dq-days"), "dim_companies": companies.where("NOT is_delisted"),
+          "dim_news": stored.where("summary <> 'P'").select("id", "published_day")}
+    wh = {n: df.select("*", *[F.lit("").alias(c) for c in WAREHOUSE_DDL[n].names if c not in df.columns]) for n, df in wh.items()}
+    days = [int(f"{_DQ_MONTH.replace('-', '')}{i:02d}") for i in range(1, 32)]
+    report = warehouse_quality(wh, days)
+    return report.where("check = 'unique' OR check LIKE 'fk->%'")
+
+
 @query("export_manifest", " UNION ALL ".join(
     f"SELECT '{n}' AS name, count(*) AS \"rows\", 'ok' AS status FROM {n}" for n in DRIVER_TABLES))
 def export_manifest(spark, d):

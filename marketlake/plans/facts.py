@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import day_hash_id
 from ..functions.temporal import epoch_ms_to_ts, published_day, time_id
+from ..operators.hot import split_join
 from ..operators.keys import latest_id_per_key, mapped_ids
 from ..operators.merge import insert_new
 from .dims import NEWS_KEY
@@ -88,9 +89,10 @@ def new_topic_links(fact: DataFrame, news: DataFrame, dim_topics: DataFrame,
 
 
 def company_links(news: DataFrame, dim_companies: DataFrame, dim_news: DataFrame,
-                  first_by: str | None = None, id_map: DataFrame | None = None) -> DataFrame:
+                  first_by: str | None = None, id_map: DataFrame | None = None, split_hot: bool = False) -> DataFrame:
     """FCT-2 rows: one mention per (article, ticker) with its sentiment; each
-    ticker resolves to the id of its latest company row (KEY-3)."""
+    ticker resolves to the id of its latest company row (KEY-3).  ``split_hot`` keeps the mentions of
+    hot tickers out of the shuffle (for company tables too large for a broadcast)."""
     exploded = with_new_ids(news, id_map).select("new_id", *_first_cols(news, first_by),
                                                  "published_day", F.explode("ticker_sentiment").alias("s"))
     links = exploded.select(
@@ -101,7 +103,8 @@ def company_links(news: DataFrame, dim_companies: DataFrame, dim_news: DataFrame
         F.col("s.ticker_sentiment_label").alias("ticker_sentiment_label"))
     latest = latest_id_per_key(dim_companies, "ticker", ["updated_time", "id"]) \
         .withColumnRenamed("id", "company_id")
-    return (links.join(latest, "ticker")
+    links = split_join(links, latest, ["ticker"]) if split_hot else links.join(latest, "ticker")
+    return (links
             .join(_stored_news(dim_news, news), ["published_day", "new_id"], "left_semi")
             .select("new_id", "company_id", "relevance_score", "ticker_sentiment_score",
                     "ticker_sentiment_label", "published_day",
@@ -110,9 +113,9 @@ def company_links(news: DataFrame, dim_companies: DataFrame, dim_news: DataFrame
 
 def new_company_links(fact: DataFrame, news: DataFrame, dim_companies: DataFrame,
                       dim_news: DataFrame, first_by: str | None = None,
-                      id_map: DataFrame | None = None) -> DataFrame:
+                      id_map: DataFrame | None = None, split_hot: bool = False) -> DataFrame:
     """FCT-2: bridge rows not stored yet (key new_id, company_id), with ids."""
-    rows = insert_new(fact, company_links(news, dim_companies, dim_news, first_by, id_map),
+    rows = insert_new(fact, company_links(news, dim_companies, dim_news, first_by, id_map, split_hot),
                       ["new_id", "company_id", "published_day"], prune_on="published_day",
                       touched=_news_days(news),
                       **_dedupe_order(first_by, "ticker_sentiment_score", "relevance_score"))
@@ -126,7 +129,7 @@ def storable_volume() -> F.Column:
     return F.col("volume").isNull() | F.rint("volume").try_cast("long").isNotNull()
 
 
-def candle_rows(bars: DataFrame, dim_companies: DataFrame, run_date=None) -> DataFrame:
+def candle_rows(bars: DataFrame, dim_companies: DataFrame, run_date=None, split_hot: bool = False) -> DataFrame:
     """FCT-3 rows from the vendor's daily bars.
 
     ``bars`` carries our column names (:func:`sources.read_bars` /
@@ -136,7 +139,7 @@ def candle_rows(bars: DataFrame, dim_companies: DataFrame, run_date=None) -> Dat
     the volume to the nearest whole number, default a missing OTC flag to false.
     ``time_id`` is the run date's (PRJ-5) when ``run_date`` is given — one
     daily drop — else it is derived from each bar's own epoch-ms timestamp
-    (bars of many days, e.g. a backfill)."""
+    (bars of many days, e.g. a backfill).  ``split_hot`` as in :func:`company_links`."""
     if run_date is None:
         day = epoch_ms_to_ts("time_stamp")
     elif isinstance(run_date, F.Column):
@@ -145,7 +148,8 @@ def candle_rows(bars: DataFrame, dim_companies: DataFrame, run_date=None) -> Dat
         day = F.lit(run_date).cast("date")
     latest = latest_id_per_key(dim_companies, "ticker", ["updated_time", "id"]) \
         .withColumnRenamed("id", "company_id")
-    rows = (bars.join(latest, "ticker")
+    known = split_join(bars, latest, ["ticker"]) if split_hot else bars.join(latest, "ticker")
+    rows = (known
             .where(F.col("volume_weighted").isNotNull() & storable_volume())
             .select("company_id",
                     F.rint("volume").try_cast("long").alias("volume"),
@@ -158,7 +162,7 @@ def candle_rows(bars: DataFrame, dim_companies: DataFrame, run_date=None) -> Dat
 
 
 def new_candles(fact: DataFrame, bars: DataFrame, dim_companies: DataFrame,
-                run_date=None, days=None) -> DataFrame:
+                run_date=None, days=None, split_hot: bool = False) -> DataFrame:
     """FCT-3: candles whose (company_id, time_id) is not stored yet.  The
     anti-join reads only the fact partitions (time_id) the batch touches:
     ``days`` when the caller knows them (a list: a run date, a backfill
@@ -166,7 +170,7 @@ def new_candles(fact: DataFrame, bars: DataFrame, dim_companies: DataFrame,
     the batch's own days."""
     if days is None and run_date is not None and not isinstance(run_date, F.Column):
         days = [int(str(run_date).replace("-", "")[:8])]
-    rows = insert_new(fact, candle_rows(bars, dim_companies, run_date), ["company_id", "time_id"],
+    rows = insert_new(fact, candle_rows(bars, dim_companies, run_date, split_hot), ["company_id", "time_id"],
                       order_by=["time_stamp"], prune_on="time_id",
                       touched=days)
     return rows.select(day_hash_id(["company_id", "time_id"], F.col("time_id")).alias("id"), *rows.columns)

@@ -20,6 +20,7 @@ from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
 from ..functions.temporal import epoch_ms_to_ts, published_day
+from ..operators.hot import split_join
 from ..operators.keys import ID_MAP, assign_dense_ids, latest_per_key, max_id, resolve_fks, settle_ids
 from ..operators.merge import duplicate_count, insert_ignore, upsert
 from ..operators.quality import check_fk, check_unique, profile
@@ -212,16 +213,16 @@ def new_dimension_rows(wh: dict[str, DataFrame], extract: DataFrame, news: DataF
 
 
 def new_fact_rows(wh: dict[str, DataFrame], news: DataFrame, bars: DataFrame, run_date=None,
-                  id_map: DataFrame | None = None) -> dict[str, DataFrame]:
+                  id_map: DataFrame | None = None, split_hot: bool = False) -> dict[str, DataFrame]:
     """FCT-1..FCT-3: the rows to append to each fact, given dimensions that
     already include this run's new rows."""
     return {
         "fact_candles": facts.new_candles(wh["fact_candles"], bars, wh["dim_companies"],
-                                          run_date),
+                                          run_date, split_hot=split_hot),
         "fact_news_topics": facts.new_topic_links(wh["fact_news_topics"], news, wh["dim_topics"],
                                                   wh["dim_news"], id_map=id_map),
         "fact_news_companies": facts.new_company_links(wh["fact_news_companies"], news, wh["dim_companies"],
-                                                       wh["dim_news"], id_map=id_map),
+                                                       wh["dim_news"], id_map=id_map, split_hot=split_hot),
     }
 
 
@@ -284,7 +285,7 @@ def ingest(spark: SparkSession, landing: str, lake: _Lake, run_dates: list[str],
 
 
 def daily_quarantine(news: DataFrame, bars: DataFrame, dim_companies: DataFrame,
-                     run_date) -> DataFrame:
+                     run_date, split_hot: bool = False) -> DataFrame:
     """DQ-5 for flow B: the landed rows a daily load leaves out, with why.
 
     Articles whose key (title, url, time_published) has a null part or whose
@@ -301,10 +302,11 @@ def daily_quarantine(news: DataFrame, bars: DataFrame, dim_companies: DataFrame,
         .otherwise(F.lit("unparseable time_published")).alias("reason"),
         F.to_json(F.struct(*news.columns)).alias("row"), day)
     tickers = dim_companies.select("ticker").distinct()
-    unknown = bars.join(tickers, "ticker", "left_anti").select(
+    join = split_join if split_hot else DataFrame.join
+    unknown = join(bars, tickers, ["ticker"], "left_anti").select(
         F.lit("ohlcs").alias("source"), F.lit("unknown ticker").alias("reason"),
         F.to_json(F.struct(*bars.columns)).alias("row"), day)
-    no_vw = bars.join(tickers, "ticker", "left_semi").where(
+    no_vw = join(bars, tickers, ["ticker"], "left_semi").where(
         F.col("volume_weighted").isNull() | ~facts.storable_volume()).select(
         F.lit("ohlcs").alias("source"),
         F.when(F.col("volume_weighted").isNull(), F.lit("null volume_weighted"))
@@ -325,7 +327,7 @@ def _tables(load: Load) -> dict[str, DataFrame]:
 
 
 def run_daily_load(spark: SparkSession, landing: str, ref_root: str, root: str, run_date: str,
-                   lake: str | None = None, extract_as_of=None, news_cap: int | None = None):
+                   lake: str | None = None, extract_as_of=None, news_cap: int | None = None, split_hot: bool = False):
     """Daily flow B end to end for one run date.
 
     The landed news and bars of ``run_date`` are first converted into the
@@ -336,8 +338,8 @@ def run_daily_load(spark: SparkSession, landing: str, ref_root: str, root: str,
     superset is safe).  The dimensions are written first and re-read, then
     the facts; every step is insert-if-new, so running a day twice changes
     nothing.  Rows left out go to ``_quarantine`` with a
-    reason.  All of it becomes visible in one commit.  Returns the number of rows
-    appended per table (observed during the writes)."""
+    reason.  All of it becomes visible in one commit.  ``split_hot`` keeps the rows of hot tickers out of
+    the joins' shuffles (:func:`operators.split_join`).  Returns the number of rows appended per table (observed during the writes)."""
     load = Load(spark, root)
     store = _Lake(load, lake)
     ingest(spark, landing, store, [run_date], news_cap)
@@ -347,9 +349,9 @@ def run_daily_load(spark: SparkSession, landing: str, ref_root: str, root: str,
     for name, rows in new_dimension_rows(_tables(load), extract, news, bars, run_date).items():
         added[name] = _append(load, rows, name)
     wh = _tables(load)
-    for name, rows in new_fact_rows(wh, news, bars, run_date, _id_map(load)).items():
+    for name, rows in new_fact_rows(wh, news, bars, run_date, _id_map(load), split_hot).items():
         added[name] = _append(load, rows, name)
-    bad = daily_quarantine(news, bars, wh["dim_companies"], run_date)
+    bad = daily_quarantine(news, bars, wh["dim_companies"], run_date, split_hot)
     added["quarantine"] = load.replace("_quarantine", bad, [run_date])
     store.commit()
     load.commit()
@@ -358,7 +360,7 @@ def run_daily_load(spark: SparkSession, landing: str, ref_root: str, root: str,
 
 
 def run_backfill(spark: SparkSession, landing: str, ref_root: str, root: str, start: str,
-                 end: str, lake: str | None = None, news_cap: int | None = None, chunk_days: int | None = None):
+                 end: str, lake: str | None = None, news_cap: int | None = None, chunk_days: int | None = None, split_hot: bool = False):
     """BKF-1: load a whole range of run dates (inclusive) as ONE set of jobs, or one per ``chunk_days`` days.
 
     The result equals running :func:`run_daily_load` for every day of the
@@ -370,7 +372,8 @@ def run_backfill(spark: SparkSession, landing: str, ref_root: str, root: str, st
 
     Every chunk is a commit, which also notes that the chunk is done: a backfill that was
     broken off goes on behind its last commit when it is called again with the same range, chunks
-    and cap; the last commit of a range removes the notes, so that a finished one can be run anew."""
+    and cap; the last commit of a range removes the notes, so that a finished one can be run anew.
+    ``split_hot`` as in :func:`run_daily_load`."""
     days = run_dates_between(start, end)
     step = chunk_days or max(1, len(days))
     chunks = [days[i:i + step] for i in range(0, len(days), step)]
@@ -380,7 +383,7 @@ def run_backfill(spark: SparkSession, landing: str, ref_root: str, root: str, st
     for chunk in chunks:
         if chunk[0] in load.notes(key):
             continue
-        for name, rows in _backfill_chunk(load, landing, ref_root, chunk, lake, news_cap).items():
+        for name, rows in _backfill_chunk(load, landing, ref_root, chunk, lake, news_cap, split_hot).items():
             added[name] = added.get(name, 0) + rows
         load.note(key, chunk[0])
         if chunk is chunks[-1]:
@@ -390,7 +393,7 @@ def run_backfill(spark: SparkSession, landing: str, ref_root: str, root: str, st
     return added
 
 
-def _backfill_chunk(load: Load, landing: str, ref_root: str, run_dates: list[str], lake: str | None, news_cap: int | None) -> dict[str, int]:
+def _backfill_chunk(load: Load, landing: str, ref_root: str, run_dates: list[str], lake: str | None, news_cap: int | None, split_hot: bool) -> dict[str, int]:
     """The rows that daily loads of ``run_dates`` would add, written but not yet committed."""
     spark = load.spark
     store = _Lake(load, lake)
@@ -412,16 +415,16 @@ def _backfill_chunk(load: Load, landing: str, ref_root: str, run_dates: list[str
     new_facts = {
         "fact_candles": facts.new_candles(
             wh["fact_candles"], bars, wh["dim_companies"], F.col("run_date"),
-            days=[int(d.replace("-", "")) for d in run_dates]),
+            days=[int(d.replace("-", "")) for d in run_dates], split_hot=split_hot),
         "fact_news_topics": facts.new_topic_links(wh["fact_news_topics"], news,
                                                   wh["dim_topics"], wh["dim_news"],
                                                   first_by="run_date", id_map=id_map),
         "fact_news_companies": facts.new_company_links(wh["fact_news_companies"], news,
                                                        wh["dim_companies"], wh["dim_news"],
-                                                       first_by="run_date", id_map=id_map),
+                                                       first_by="run_date", id_map=id_map, split_hot=split_hot),
     }
     added.update({name: _append(load, rows, name) for name, rows in new_facts.items()})
-    bad = daily_quarantine(news, bars, wh["dim_companies"], F.col("run_date"))
+    bad = daily_quarantine(news, bars, wh["dim_companies"], F.col("run_date"), split_hot)
     added["quarantine"] = load.replace("_quarantine", bad, run_dates)
     store.commit()
     return added
@@ -469,11 +472,19 @@ def check_hash_ids(rows: DataFrame, stored: DataFrame, partition: str) -> None:
         raise HashIdCollision(f"hash ids meet: {twice.first()['id']}")
 
 
-def warehouse_quality(wh: dict[str, DataFrame]) -> DataFrame:
+def warehouse_quality(wh: dict[str, DataFrame], days: list[int] | None = None) -> DataFrame:
     """DQ-1..DQ-4 over the whole warehouse as ONE report DataFrame
     ``(table, check, column_name, violations)``: NOT NULL and text widths
-    (one scan per table), id uniqueness, and every foreign key of the DDL.
-    Nothing is collected; the caller writes or shows the report."""
+    (one scan per table), id uniqueness, and every foreign key of the DDL
+    between the tables given.  Nothing is collected; the caller writes or shows the report.
+
+    With ``days`` (yyyymmdd) the check covers what loads of those days touched: of the day-partitioned
+    tables only these partitions are read, as children and as parents.  Nothing is missed by that, for
+    ids hold their day, so equal ids lie in one partition, and a bridge row lies in its article's; the counts of
+    disjoint sets of days add up to those of the full check (a bridge row outside its article's day is reported
+    by the check of days alone)."""
+    if days is not None:
+        wh = {n: df.where(F.col(PARTITIONS[n]).isin(days)) if n in PARTITIONS else df for n, df in wh.items()}
     parts = []
     for name, df in wh.items():
         nn, widths = schemas.NOT_NULL.get(name, []), schemas.MAX_LENGTH.get(name, {})
@@ -483,6 +494,8 @@ def warehouse_quality(wh: dict[str, DataFrame]) -> DataFrame:
                      .select(F.lit(name).alias("table"), F.lit("unique").alias("check"),
                              F.lit("id").alias("column_name"), "violations"))
     for child, col, parent in schemas.FOREIGN_KEYS:
+        if child not in wh or parent not in wh:
+            continue
         bad = check_fk(wh[child], wh[parent], {col: "id"})
         parts.append(bad.agg(F.count(F.lit(1)).alias("violations"))
                      .select(F.lit(child).alias("table"), F.lit(f"fk->{parent}").alias("check"),

@@ -244,7 +244,7 @@ def test_backfill_equals_daily_loads(spark, landing, tmp_dir):
     daily, ranged = os.path.join(tmp_dir, "daily"), os.path.join(tmp_dir, "range")
     for day in ("2025-07-10", "2025-07-11", "2025-07-12"):
         jobs.run_daily_load(spark, landing, ref, daily, day)
-    added = jobs.run_backfill(spark, landing, ref, ranged, "2025-07-10", "2025-07-12")
+    added = jobs.run_backfill(spark, landing, ref, ranged, "2025-07-10", "2025-07-12", split_hot=True)
     assert added["fact_candles"] == 3
     for name in schemas.WAREHOUSE_TABLES:
         a = read_table(spark, daily, name)

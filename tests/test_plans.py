@@ -121,3 +121,11 @@ def test_counts_combine_before_the_shuffle(spark):
     for name in ("count_by_exchange", "dq_unique", "daily_totals", "mentions_star"):
         p = plan(Q[name](spark, SF), "simple")
         assert "partial_count" in p or "partial_sum" in p, name
+
+
+def test_mentions_are_counted_before_they_meet_their_company(spark):
+    """QRY-15: a hot ticker reaches the company join as one row a day."""
+    p = plan(Q["mentions_star"](spark, SF), "simple")
+    company = next(i for i, line in enumerate(p.splitlines()) if "FileScan" in line and "s_name" in line)
+    below = [line for line in p.splitlines()[:company] if "HashAggregate" in line]
+    assert sum("partial_count" in line for line in below) == 1
