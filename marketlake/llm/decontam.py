@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -202,8 +204,10 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
     if n == 1:
         yield [tuple(r) for r in rows.collect()]  # at most block_bytes, measured above
         return
+    # laid out by block once, so that a block's read skips the others
+    laid = materialise(rows.withColumn("k", part).repartition("k").sortWithinPartitions("k"), "decontam-items")
     for k in range(n):
-        yield [tuple(r) for r in rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()]
+        yield [tuple(r) for r in laid.filter(F.col("k") == k).select("i", "t").collect()]
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -230,8 +234,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     schema = arrow_schema(T.StructType(fields))
     spark = docs.sparkSession
 
-    def one(block: list[tuple], frame: DataFrame) -> DataFrame:
-        box = spark.sparkContext.broadcast(block)  # at most BLOCK_BYTES of text
+    def one(box, frame: DataFrame) -> DataFrame:
 
         def run(batches):
             tests = Tests(box.value, window)
@@ -269,30 +272,45 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
         return frame.select(*sent).mapInArrow(run, out)
 
-    parts = [one(b, docs) for b in blocks(benchmark, item_col, item_text_col)]
-    if len(parts) == 1:
-        return parts[0]
-    # several blocks: a document's spans from all of them are merged, so each row needs a key of its own
+    box = spark.sparkContext.broadcast  # of one block: at most BLOCK_BYTES of text
+    todo = blocks(benchmark, item_col, item_text_col)
+    first, second = next(todo), next(todo, None)
+    if second is None:
+        return one(box(first), docs)
+    # several blocks, one after the other: a document's results from all of them are merged, so each row needs a key
     keyed = materialise(docs.select(*sent).withColumn("_row", F.monotonically_increasing_id()), "decontam-rows")
     keep.append("_row")
     out = T.StructType([*[keyed.schema[c] for c in keep], *fields])
     sent.append("_row")
     sent = [*keep, *[c for c in sent if c not in keep]]
     n_keep, at = len(keep), sent.index(text_col)
-    found = None
-    for b in blocks(benchmark, item_col, item_text_col):
-        p = one(b, keyed)
-        found = p if found is None else found.unionByName(p)
-    words = F.array_distinct(F.flatten(F.transform(F.flatten(F.collect_list("spans")), lambda s: F.sequence(s["start"], s["start"] + s["n_words"] - 1))))
-    top = F.max(F.struct("longest", "longest_item", "longest_start"))
-    plain = [c for c in keep if c != "_row"]
-    merged = found.groupBy("_row").agg(*[F.first(c).alias(c) for c in plain], F.first("n_words").alias("n_words"), words.alias("_hit"),
-                                       F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), top.alias("_top"))
-    hit = F.array_sort("_hit")
-    runs = F.expr("transform(filter(_hit, x -> NOT array_contains(_hit, x - 1)), x -> named_struct('start', x, 'n_words', "
-                  "element_at(filter(_hit, y -> y >= x AND NOT array_contains(_hit, y + 1)), 1) - x + 1))")
-    return (merged.withColumn("_hit", hit).withColumn("spans", runs)
-            .select(*plain, "n_words", F.size("_hit").cast("long").alias("n_hit"), "items", "spans", "_top.longest", "_top.longest_item", "_top.longest_start"))
+    written = []
+    for b in chain([first, second], todo):
+        held = box(b)
+        part = one(held, keyed)
+        # the first block's rows tell all documents' words, the others' only hits
+        written.append(materialise(part.filter("n_hit > 0") if written else part, "decontam-hits"))
+        held.destroy()
+    return _merged(written, [c for c in keep if c != "_row"])
+
+
+def _merged(parts: list[DataFrame], keep: list[str]) -> DataFrame:
+    """The results of several blocks as one row per document; ``parts[0]`` holds all documents."""
+    hits = reduce(DataFrame.unionByName, [p.filter("n_hit > 0").select("_row", "items", "spans", "longest", "longest_item", "longest_start") for p in parts])
+    found = hits.groupBy("_row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+                                     F.max(F.struct("longest", "longest_item", "longest_start")).alias("_top"))
+    # spans are joined as intervals: a run begins where no earlier one reaches
+    w = Window.partitionBy("_row").orderBy("a", "b")
+    ends = hits.select("_row", F.explode("spans").alias("s")).select("_row", F.col("s.start").alias("a"), (F.col("s.start") + F.col("s.n_words")).alias("b"))
+    reach = ends.withColumn("far", F.max("b").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    runs = reach.withColumn("run", F.sum(F.when(F.col("a") <= F.col("far"), 0).otherwise(1)).over(w))
+    runs = runs.groupBy("_row", "run").agg(F.min("a").alias("start"), (F.max("b") - F.min("a")).alias("n_words"))
+    spans = runs.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "n_words"))).alias("spans"), F.sum("n_words").alias("n_hit"))
+    base = parts[0].select(*keep, "_row", "n_words")
+    return (base.join(found.join(spans, "_row"), "_row", "left")
+            .select(*keep, "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+                    F.coalesce("spans", F.array().cast(parts[0].schema["spans"].dataType)).alias("spans"),
+                    F.coalesce("_top.longest", F.lit(0).cast("long")).alias("longest"), "_top.longest_item", "_top.longest_start"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -53,6 +53,27 @@ def test_blocks_of_items_merge(docs_df):
         decontam.blocks.__defaults__ = ("item_id", "text", old)
 
 
+def test_blocks_give_the_spans_of_one_block(docs_df, monkeypatch):
+    """Every column, not only the digest, is the same from one block and from many; adjacent spans are one."""
+    docs, items = _corpus(7)
+    words = [f"q{i}" for i in range(24)]
+    items += [(200, " ".join(words[:12])), (201, " ".join(words[12:])), (202, " ".join(words[6:18]))]
+    docs += [(300, "x " + " ".join(words)), (300, "x " + " ".join(words[:12])), (None, " ".join(words[12:]) + " y")]
+    run = lambda: decontam.matches(docs_df(docs), docs_df(items, "item_id long, text string"))
+    whole = run()
+    key = lambda r: str(r)
+    want = sorted(whole.collect(), key=key)
+    assert [(x.start, x.n_words) for r in want if r["doc_id"] == 300 for x in r["spans"]] in ([(1, 24), (1, 12)], [(1, 12), (1, 24)])
+    freed = []
+    from pyspark.core.broadcast import Broadcast
+    destroy = Broadcast.destroy
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: (freed.append(1), destroy(self, *a)))
+    monkeypatch.setattr(decontam.blocks, "__defaults__", ("item_id", "text", 400))
+    parts = run()
+    assert parts.schema.names == whole.schema.names and len(freed) > 2  # each block's copy goes before the next comes
+    assert sorted(parts.collect(), key=key) == want
+
+
 def test_small_arrays_over_long_documents(monkeypatch):
     docs, items = _corpus(9)
     long = [(0, " ".join(t or "" for _, t in docs))]
