@@ -146,7 +146,8 @@ def resolve_fk(df: DataFrame, dim: DataFrame, on: list[str] | dict, id_col: str
 
     ``bounded=True`` broadcasts the dimension; only pass it for dimensions
     whose size is fixed by the domain (regions, exchanges, calendar).
-    Otherwise AQE decides at run time from the measured size.
+    Otherwise AQE decides at run time from the measured size.  Rows with a null
+    key part take no part in the join (they would all meet in one task).
     """
     mapping = dict(zip(on, on)) if isinstance(on, (list, tuple)) else dict(on)
     alias = alias or id_col
@@ -158,18 +159,14 @@ def resolve_fk(df: DataFrame, dim: DataFrame, on: list[str] | dict, id_col: str
     for s in mapping:
         part = df[s] == keyed[f"_k_{s}"]
         cond = part if cond is None else cond & part
-    joined = df.join(keyed, cond, "left")
+    null_key = reduce(lambda a, b: a | b, [F.col(s).isNull() for s in mapping])
+    joined = df.where(~null_key).join(keyed, cond, "left")
     cols = df.columns
     matched = joined.where(F.col(alias).isNotNull()).select(*cols, alias)
     why = reason or ("unknown " + "/".join(mapping))
-    null_key = None
-    for s in mapping:
-        t = F.col(s).isNull()
-        null_key = t if null_key is None else null_key | t
-    missed = (joined.where(F.col(alias).isNull())
-              .select(*cols, F.when(null_key, F.lit("null " + "/".join(mapping)))
-                      .otherwise(F.lit(why)).alias("reason")))
-    return matched, missed
+    missed = joined.where(F.col(alias).isNull()).select(*cols, F.lit(why).alias("reason"))
+    no_key = df.where(null_key).select(*cols, F.lit("null " + "/".join(mapping)).alias("reason"))
+    return matched, missed.unionByName(no_key)
 
 
 def resolve_fks(df: DataFrame, lookups: list[tuple]) -> tuple[DataFrame, DataFrame]:

@@ -25,7 +25,7 @@ from ..operators.keys import ID_MAP, assign_dense_ids, latest_per_key, max_id, r
 from ..operators.merge import duplicate_count, insert_ignore, upsert
 from ..operators.quality import check_fk, check_unique, profile
 from ..operators.sets import assemble_capped, capped_report
-from ..session import materialise
+from ..session import materialise, scratch_scope
 from ..sinks.publish import Load, is_published, read_published
 from ..sinks.writers import read_snapshot, write_json, write_snapshots
 from ..sources.landing import (empty_frame, read_bars_range, read_bodies_range, read_landing,
@@ -166,9 +166,10 @@ def run_reference_load(spark: SparkSession, landing: str, root: str, run_date: s
         snap = read_snapshot(spark, root, name)
         current[name] = snap if snap is not None else spark.createDataFrame([], ddl)
         current[name] = current[name].drop("action")
-    tables, quarantine, report = reference_load(current, normalised, run_ts, hash_mode)
     order = ("regions", "exchanges", "industries", "sic_industries", "companies")
-    write_snapshots(spark, {**{name: tables[name] for name in order}, "quarantine": quarantine, "load_report": report}, root)
+    with scratch_scope(spark):
+        tables, quarantine, report = reference_load(current, normalised, run_ts, hash_mode)
+        write_snapshots(spark, {**{name: tables[name] for name in order}, "quarantine": quarantine, "load_report": report}, root)
     return read_snapshot(spark, root, "quarantine"), read_snapshot(spark, root, "load_report")
 
 
@@ -340,22 +341,23 @@ def run_daily_load(spark: SparkSession, landing: str, ref_root: str, root: str,
     nothing.  Rows left out go to ``_quarantine`` with a
     reason.  All of it becomes visible in one commit.  ``split_hot`` keeps the rows of hot tickers out of
     the joins' shuffles (:func:`operators.split_join`).  Returns the number of rows appended per table (observed during the writes)."""
-    load = Load(spark, root)
-    store = _Lake(load, lake)
-    ingest(spark, landing, store, [run_date], news_cap)
-    news, bars = store.read("news", [run_date]).drop("run_date"), store.read("ohlcs", [run_date]).drop("run_date")
-    extract = _extract(spark, ref_root, extract_as_of)
-    added = {}
-    for name, rows in new_dimension_rows(_tables(load), extract, news, bars, run_date).items():
-        added[name] = _append(load, rows, name)
-    wh = _tables(load)
-    for name, rows in new_fact_rows(wh, news, bars, run_date, _id_map(load), split_hot).items():
-        added[name] = _append(load, rows, name)
-    bad = daily_quarantine(news, bars, wh["dim_companies"], run_date, split_hot)
-    added["quarantine"] = load.replace("_quarantine", bad, [run_date])
-    store.commit()
-    load.commit()
-    load.clean()
+    with scratch_scope(spark):
+        load = Load(spark, root)
+        store = _Lake(load, lake)
+        ingest(spark, landing, store, [run_date], news_cap)
+        news, bars = store.read("news", [run_date]).drop("run_date"), store.read("ohlcs", [run_date]).drop("run_date")
+        extract = _extract(spark, ref_root, extract_as_of)
+        added = {}
+        for name, rows in new_dimension_rows(_tables(load), extract, news, bars, run_date).items():
+            added[name] = _append(load, rows, name)
+        wh = _tables(load)
+        for name, rows in new_fact_rows(wh, news, bars, run_date, _id_map(load), split_hot).items():
+            added[name] = _append(load, rows, name)
+        bad = daily_quarantine(news, bars, wh["dim_companies"], run_date, split_hot)
+        added["quarantine"] = load.replace("_quarantine", bad, [run_date])
+        store.commit()
+        load.commit()
+        load.clean()
     return added
 
 
@@ -383,7 +385,9 @@ def run_backfill(spark: SparkSession, landing: str, ref_root: str, root: str, st
     for chunk in chunks:
         if chunk[0] in load.notes(key):
             continue
-        for name, rows in _backfill_chunk(load, landing, ref_root, chunk, lake, news_cap, split_hot).items():
+        with scratch_scope(spark):
+            done = _backfill_chunk(load, landing, ref_root, chunk, lake, news_cap, split_hot)
+        for name, rows in done.items():
             added[name] = added.get(name, 0) + rows
         load.note(key, chunk[0])
         if chunk is chunks[-1]:

@@ -10,9 +10,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .storage import delete
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 # Settings every job relies on.  Session-level SQL confs only; cluster sizing
@@ -86,9 +90,29 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/marketlake/{purpose}/{uuid.uuid4().hex}"
 
 
+_OPEN: ContextVar[list[str] | None] = ContextVar("open_scratch", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the tables that :func:`materialise` writes inside the block when it ends, also by an error.
+
+    For jobs whose results are stored by then; a frame read from scratch must not leave the block."""
+    written: list[str] = []
+    token = _OPEN.set(written)
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        for path in written:
+            delete(spark, path)
+
+
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once into the shared scratch folder and read it back: what
     comes after does not run it again, not even after losing an executor."""
     path, schema = scratch_path(df.sparkSession, purpose), df.schema
+    if (written := _OPEN.get()) is not None:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from ..functions.temporal import time_id
 from ..operators.merge import insert_new
-from ..session import materialise
+from ..session import materialise, scratch_scope
 from ..sinks.publish import Load
 
 
@@ -82,20 +82,21 @@ def apply_batch(batch: DataFrame, batch_id: int, stream: str, root: str, name: s
     seen, times = f"stream {stream}", f"stream {stream} newest"
     if str(batch_id) in load.notes(seen):
         return {"new": 0, "late": 0}
-    rows = materialise(batch.withColumn(day_col, time_id(late.event_time)), "stream-batch")
-    newest = max(load.notes(times), default=None)
-    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, day_col]])
-    new = insert_new(load.read(name, rows.schema), rows.where(whole), [*keys, day_col], prune_on=day_col)
-    timely, tardy = late.split(materialise(new.select(*rows.columns), "stream-new"), newest)
-    tardy = tardy.unionByName(rows.where(~whole))
-    added = {"new": load.append(name, timely, partition_by=day_col),
-             "late": load.append(f"{name}_late", tardy.withColumn("batch_id", F.lit(batch_id).cast("long")))}
-    top = rows.agg(F.max(late.event_time).cast("string")).first()[0]  # one value
-    load.note(seen, str(batch_id))
-    if top is not None and (newest is None or top > newest):
-        load.forget(times)
-        load.note(times, top)
-    load.commit()
+    with scratch_scope(spark):
+        rows = materialise(batch.withColumn(day_col, time_id(late.event_time)), "stream-batch")
+        newest = max(load.notes(times), default=None)
+        whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, day_col]])
+        new = insert_new(load.read(name, rows.schema), rows.where(whole), [*keys, day_col], prune_on=day_col)
+        timely, tardy = late.split(materialise(new.select(*rows.columns), "stream-new"), newest)
+        tardy = tardy.unionByName(rows.where(~whole))
+        added = {"new": load.append(name, timely, partition_by=day_col),
+                 "late": load.append(f"{name}_late", tardy.withColumn("batch_id", F.lit(batch_id).cast("long")))}
+        top = rows.agg(F.max(late.event_time).cast("string")).first()[0]  # one value
+        load.note(seen, str(batch_id))
+        if top is not None and (newest is None or top > newest):
+            load.forget(times)
+            load.note(times, top)
+        load.commit()
     return added
 
 

@@ -223,6 +223,26 @@ def test_stream_increment_rerun_adds_nothing(spark, tmp_dir):
     assert spark.read.parquet(out).count() == 8
 
 
+def scratch_files(spark):
+    base = os.path.join(spark.conf.get("spark.checkpoint.dir"), "marketlake")
+    return sorted(os.path.join(d, f) for d, _, fs in os.walk(base) for f in fs if f.endswith(".parquet"))
+
+
+def test_scratch_scope(spark):
+    from marketlake.session import materialise, scratch_scope
+    before = scratch_files(spark)
+    with pytest.raises(ValueError):
+        with scratch_scope(spark):
+            with scratch_scope(spark):
+                assert materialise(spark.range(5), "scope-inner").count() == 5
+            assert scratch_files(spark) == before
+            assert materialise(spark.range(7), "scope").count() == 7
+            raise ValueError("a job that fails leaves nothing either")
+    assert scratch_files(spark) == before
+    materialise(spark.range(3), "kept")
+    assert len(scratch_files(spark)) > len(before)
+
+
 def test_backfill_equals_daily_loads(spark, landing, tmp_dir):
     """BKF-1 invariant: one range job gives the same warehouse as daily runs."""
     ms = int(dt.datetime(2025, 7, 11).timestamp() * 1000)
@@ -242,10 +262,12 @@ def test_backfill_equals_daily_loads(spark, landing, tmp_dir):
     ref = os.path.join(tmp_dir, "ref")
     jobs.run_reference_load(spark, landing, ref, "2025-05-01", "2025-05-01 00:00:00")
     daily, ranged = os.path.join(tmp_dir, "daily"), os.path.join(tmp_dir, "range")
+    scratch = scratch_files(spark)
     for day in ("2025-07-10", "2025-07-11", "2025-07-12"):
         jobs.run_daily_load(spark, landing, ref, daily, day)
     added = jobs.run_backfill(spark, landing, ref, ranged, "2025-07-10", "2025-07-12", split_hot=True)
     assert added["fact_candles"] == 3
+    assert scratch_files(spark) == scratch  # what the loads wrote between their steps is gone
     for name in schemas.WAREHOUSE_TABLES:
         a = read_table(spark, daily, name)
         b = read_table(spark, ranged, name)
