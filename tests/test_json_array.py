@@ -3,12 +3,15 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.sinks import write_json_arrays
 from marketlake.sources import read_landing, read_landing_range
-from marketlake.sources.json_array import array_elements, read_array
+from marketlake.sources import json_array
+from marketlake.sources.json_array import SEPARATOR, array_elements, read_array
 
 def _struct(**fields):
     return T.StructType([T.StructField(k, v) for k, v in fields.items()])
@@ -79,3 +82,36 @@ def test_arrays_written_by_tasks(spark, tmp_dir):
     write_json_arrays(df.where("k < 0"), f"{tmp_dir}/y-20250710.json")
     got = read_landing(spark, tmp_dir, "2025-07-10", df.schema)
     assert sorted(tuple(r) for r in got.collect()) == sorted((i, f'"}},{i}') for i in range(1000))
+
+
+@pytest.mark.parametrize("between", ["\n,", " , ", ",\n", ","])
+def test_no_text_is_held_beyond_an_element(spark, tmp_dir, between):
+    path = f"{tmp_dir}/a-20250710.json"
+    open(path, "w").write("[" + between.join('{"k": %d, "s": "}"}' % i for i in range(20_000)) + "]")
+    pieces = spark.read.option("lineSep", SEPARATOR).text(path)
+    assert pieces.agg(F.max(F.length("value"))).first()[0] < 100
+    assert read_array(spark, path, SCHEMA).agg(F.count("k"), F.sum("k")).first() == (20_000, 199_990_000)
+
+
+@pytest.mark.parametrize("body", ['[{"k": 1}]}', '[{"k": 1}]},', "[]}", '[{"k": 1}', "﻿[{}]}"])
+def test_a_body_that_ends_with_the_separator_fails(spark, tmp_dir, body):
+    open(f"{tmp_dir}/a-20250710.json", "w").write(body)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_array(spark, f"{tmp_dir}/a-20250710.json", SCHEMA).collect()
+
+
+def test_a_split_is_read_a_few_kb_at_a_time(spark):
+    """The cutter gives the elements of a split while it reads it, and holds none but the open one."""
+    state = [False, 0, True, True, True]
+    texts = [*('%s{"k": %d' % ("[" if not i else ",", i) for i in range(300)), "]"]
+    names = ["value", "path", "start", "in_string", "depth", "first", "last", "unclosed"]
+    given = []
+
+    def batches():
+        for i in range(0, len(texts), 10):
+            part = texts[i:i + 10]
+            given.append(len(part))
+            yield pa.RecordBatch.from_pydict({n: c for n, c in zip(names, [part, *([v] * len(part) for v in ["p", 0, *state])])})
+
+    seen = [(len(given), b.num_rows) for b in json_array._cut(100)(batches())]
+    assert sum(n for _, n in seen) == 300 and max(n for _, n in seen) < 20 and seen[0][0] <= 2
