@@ -115,3 +115,14 @@ def test_a_split_is_read_a_few_kb_at_a_time(spark):
 
     seen = [(len(given), b.num_rows) for b in json_array._cut(100)(batches())]
     assert sum(n for _, n in seen) == 300 and max(n for _, n in seen) < 20 and seen[0][0] <= 2
+
+
+def test_the_pieces_of_written_arrays_are_rows(spark, tmp_dir):
+    """The arrays that tasks write have their commas at the start of a line; a range scan takes them row by row all the same."""
+    df = spark.range(30_000).selectExpr("id AS k", "concat('s', id) AS s")
+    write_json_arrays(df.where("k < 20000").coalesce(1), f"{tmp_dir}/e-20250709.json")
+    write_json_arrays(df.where("k >= 20000").coalesce(1), f"{tmp_dir}/e-20250711.json")
+    pieces = spark.read.option("lineSep", SEPARATOR).text([f"{tmp_dir}/e-20250709.json", f"{tmp_dir}/e-20250711.json"])
+    assert pieces.agg(F.max(F.length("value"))).first()[0] < 100
+    got = read_landing_range(spark, tmp_dir, ["2025-07-09", "2025-07-10", "2025-07-11"], df.schema)
+    assert sorted(tuple(map(str, r)) for r in got.groupBy("run_date").count().collect()) == [("2025-07-09", "20000"), ("2025-07-11", "10000")]
