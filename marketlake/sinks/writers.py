@@ -135,10 +135,16 @@ def write_snapshot(spark: SparkSession, df: DataFrame, root: str, name: str) ->
 # ---- export bundle (SNK-6) ---------------------------------------------------
 
 def export_tables(spark: SparkSession, tables: dict[str, DataFrame], out: str,
-                  fmt: str = "json") -> DataFrame:
+                  fmt: str = "json", compression: str = "gzip", file_rows: int = 1_000_000) -> DataFrame:
     """SNK-6: write each table to ``{out}/{name}`` (csv/json/parquet) and
     return a manifest ``(name, rows, status)``.
 
+    The bundle is compressed, as the workbook it stands for is (a zip): text
+    repeats its column names in every row, so plain it is over ten times the
+    size of the tables.  ``compression`` names the codec of csv and json
+    (``none``: plain text); compressed text is read whole by one task, so a
+    file holds ``file_rows`` rows at most.
+
     A table that fails to write is recorded with status ``failed: …`` and
     skipped; the others are still exported.  Row counts are observed while
     the rows are written (``DataFrame.observe``: accumulated on the
@@ -154,6 +160,8 @@ def export_tables(spark: SparkSession, tables: dict[str, DataFrame], out: str,
             writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
             if fmt == "csv":
                 writer = writer.option("header", "true")
+            if fmt != "parquet":
+                writer = writer.option("compression", compression).option("maxRecordsPerFile", file_rows)
             writer.format(fmt).save(path)
             manifest.append((name, observed_rows(seen, lambda: _count_back(spark, path, fmt)),
                              "ok"))
