@@ -976,13 +976,27 @@ def _order_news(t: Tables, lines: DataFrame) -> DataFrame:
     label = F.when(score < 0, F.lit("Bearish")).when(score > 0, F.lit("Bullish")).otherwise(F.lit("Neutral"))
     mention = F.struct(text("l_suppkey").alias("ticker"), text("l_quantity").alias("relevance_score"),
                        score.cast("string").alias("ticker_sentiment_score"), label.alias("ticker_sentiment_label"))
-    per = lines.groupBy("l_orderkey").agg(F.collect_list(topic).alias("topics"), F.collect_list(mention).alias("ticker_sentiment"))  # an order's few lines
+    # an order's few lines; they are moved as numbers, and collected where they meet
+    met = lines.repartition("l_orderkey").select("l_orderkey", topic.alias("topic"), mention.alias("mention"), (F.col("l_returnflag") == "R").alias("returned"))
+    per = met.groupBy("l_orderkey").agg(F.collect_list("topic").alias("topics"), F.collect_list("mention").alias("ticker_sentiment"),
+                                        F.collect_list(F.when(F.col("returned"), F.col("topic"))).alias("returned_topics"),
+                                        F.collect_list(F.when(F.col("returned"), F.col("mention"))).alias("returned_mentions"))
     o = t.orders
     return o.join(per, o.o_orderkey == per.l_orderkey, "left").select(
         F.concat("o_orderpriority", F.lit(" #"), text("o_orderkey")).alias("title"), F.concat(F.lit("order/"), text("o_orderkey")).alias("url"),
         format_compact_ts("o_orderdate").alias("time_published"), F.array(text("o_custkey")).alias("authors"), F.col("o_orderstatus").alias("summary"),
         F.lit("orders").alias("source"), F.col("o_totalprice").cast("double").alias("overall_sentiment_score"), F.lit("Neutral").alias("overall_sentiment_label"),
-        "topics", "ticker_sentiment")
+        "topics", "ticker_sentiment", "returned_topics", "returned_mentions")
+
+
+def _written_news(t: Tables, links: str, returned: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The orders' articles with their ``links``, joined and written once with their day; the same with the links of
+    returned lines alone; the keys of a dimension that holds them."""
+    lists = ("topics", "ticker_sentiment", "returned_topics", "returned_mentions")
+    written = materialise(facts.with_day(_order_news(t, t.lineitem).drop(*[c for c in lists if c not in (links, returned)])), "articles")
+    news = written.drop(returned)
+    stored = materialise(dims.news_rows(news, RUN_TS[:10]).select("published_day", "id"), "stored-articles")
+    return news, written.drop(links).withColumnRenamed(returned, links), stored
 
 
 def _order_of(rows: DataFrame, news: DataFrame) -> DataFrame:
@@ -1014,10 +1028,9 @@ GROUP BY 1, 2 HAVING count(*) FILTER (WHERE l_returnflag = 'R') = 0
 def topic_links_increment(spark, d):
     """FCT-1 on a bridge that holds the links of returned lines."""
     t = Tables(spark, d)
-    news = _order_news(t, t.lineitem)
+    news, returned, stored_news = _written_news(t, "topics", "returned_topics")
     topics = t.part.select(F.col("p_partkey").alias("id"), F.col("p_partkey").cast("string").alias("name"))
-    stored_news = dims.news_rows(news, RUN_TS[:10])
-    stored = facts.topic_links(_order_news(t, t.lineitem.where("l_returnflag = 'R'")), topics, stored_news)
+    stored = facts.topic_links(returned, topics, stored_news)
     return _order_of(facts.new_topic_links(stored, news, topics, stored_news), news)
 
 
@@ -1036,10 +1049,9 @@ FROM r JOIN orders USING (o_orderkey) WHERE rn = 1
 def company_links_increment(spark, d):
     """FCT-2 on a bridge that holds the mentions of returned lines."""
     t = Tables(spark, d)
-    news = _order_news(t, t.lineitem)
+    news, returned, stored_news = _written_news(t, "ticker_sentiment", "returned_mentions")
     companies = company_versions(t).withColumn("ticker", F.col("ticker").cast("string"))
-    stored_news = dims.news_rows(news, RUN_TS[:10])
-    stored = facts.company_links(_order_news(t, t.lineitem.where("l_returnflag = 'R'")), companies, stored_news)
+    stored = facts.company_links(returned, companies, stored_news)
     return _order_of(facts.new_company_links(stored, news, companies, stored_news), news)
 
 
@@ -1220,7 +1232,7 @@ def dq_days(spark, d):
     """DQ-2, DQ-3 over the partitions of one month: mentions not deduplicated, some without their article or company."""
     from .jobs import warehouse_quality
     t = Tables(spark, d)
-    news = materialise(_order_news(t, t.lineitem), "dq-articles")
+    news = materialise(_order_news(t, t.lineitem).drop("returned_topics", "returned_mentions"), "dq-articles")
     companies = company_versions(t).withColumn("ticker", F.col("ticker").cast("string"))
     stored = dims.news_rows(news, RUN_TS[:10])
     links = facts.company_links(news, companies, stored)

@@ -27,10 +27,14 @@ def _first_cols(news: DataFrame, first_by: str | None) -> list:
     return [F.col(first_by).alias("_first")] if first_by else []
 
 
+def with_day(news: DataFrame) -> DataFrame:
+    """Articles with their publication day; one that is stored with them is not derived again."""
+    return news if "published_day" in news.columns else news.withColumn("published_day", published_day("time_published"))
+
+
 def with_new_ids(news: DataFrame, id_map: DataFrame | None = None) -> DataFrame:
     """Articles with their publication day and ``new_id``."""
-    days = news.withColumn("published_day", published_day("time_published"))
-    return mapped_ids(days, NEWS_KEY, "published_day", "dim_news", "new_id", id_map)
+    return mapped_ids(with_day(news), NEWS_KEY, "published_day", "dim_news", "new_id", id_map)
 
 
 def topic_links(news: DataFrame, dim_topics: DataFrame, dim_news: DataFrame,
@@ -56,7 +60,7 @@ def topic_links(news: DataFrame, dim_topics: DataFrame, dim_news: DataFrame,
 def _news_days(news: DataFrame) -> DataFrame:
     """Publication days of the batch's articles — read off the article rows
     (one pruned column), a superset of the days of any bridge row."""
-    return news.select(published_day("time_published").alias("published_day"))
+    return with_day(news).select("published_day")
 
 
 def _stored_news(dim_news: DataFrame, news: DataFrame) -> DataFrame:
